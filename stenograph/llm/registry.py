@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import distinctive, pairs
+from . import distinctive, pairs, tokens
 
-MODULES = [distinctive, pairs]
+MODULES = [distinctive, pairs, tokens]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
