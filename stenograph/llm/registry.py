@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import distinctive, pairs, tokens
+from . import counts, distinctive, mixture, pairs, tokens
 
-MODULES = [distinctive, pairs, tokens]
+MODULES = [distinctive, pairs, counts, tokens, mixture]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
