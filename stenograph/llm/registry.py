@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, distinctive, mixture, pairs, scans, tokens
+from . import counts, distinctive, mixture, names, pairs, scans, tokens
 
-MODULES = [distinctive, scans, pairs, counts, tokens, mixture]
+MODULES = [names, distinctive, scans, pairs, counts, tokens, mixture]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

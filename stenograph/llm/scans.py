@@ -20,10 +20,10 @@ CUTS = "-‐¬­‑"
 CONFUSIONS = [
     ("o", "0"), ("l", "1"), ("i", "1"), ("l", "|"), ("i", "¡"), ("i", "!"), ("s", "5"), ("ó", "6"), ("b", "6"), ("g", "9"), ("q", "9"), ("z", "2"),
     ("b", "8"), ("e", "c"), ("c", "e"), ("n", "u"), ("u", "n"), ("a", "u"), ("ã", "ü"), ("i", "l"), ("l", "i"), ("r", "i"), ("t", "f"), ("f", "t"),
-    ("í", "i"), ("m", "rn"), ("d", "cl"), ("cl", "d"), ("rn", "m"), ("h", "li"), ("n", "ri"), ("m", "nn"), ("u", "ii"), ("õ", "ö"), ("é", "ó"),
+    ("m", "rn"), ("d", "cl"), ("cl", "d"), ("rn", "m"), ("h", "li"), ("n", "ri"), ("m", "nn"), ("u", "ii"), ("õ", "ö"),
 ]
 #: A printed word must be this many times as frequent as the misread form ...
-RATIO = 20
+RATIO = 10
 #: ... or this many times, if the form holds a digit or mark that words don't have.
 RATIO_MARKED = 2
 #: A running header's name must stand in this share of all header-like lines, and at least LEAST_HEADER
@@ -36,13 +36,21 @@ KNOWN_SHARE = 1 / 40_000
 _TOKEN = re.compile(r"[^\W_](?:[\w|¡]|!(?=\w))*(?:-[^\W_](?:[\w|¡]|!(?=\w))*)*|[|¡](?=[^\W\d_]{2})(?:[\w|¡])+")
 _PAGE = re.compile(r"\W*(?:(?:p[áa]g(?:ina)?s?|p|folio|fl)\W{0,2}\s*)?[\dSslIOo|]{1,6}(?:\s*/\s*[\dSslIOo|]{1,6})?\W*", re.IGNORECASE)
 _NUMERIC = re.compile(r"\S*\d\S*")
+
+
+def _without_number(token: re.Match) -> str:
+    """A token that is mostly a number goes; a word with a misread digit keeps its letters."""
+    text = token.group()
+    return " " if sum(c.isdigit() for c in text) * 2 >= sum(c.isalnum() for c in text) else text
+
+
 _AFFIX = re.compile(r"\b(?:n[úu]m|no|reun|p[áa]g(?:ina)?|sess?[ãa]o|sesi[óo]n n[úu]m)\b\.?|[ªº]", re.IGNORECASE)
 _CUT = re.compile(rf"([^\W\d_](?:[\w|¡])*)([{CUTS}])[ \t]*$")
 
 
 def skeleton(line: str) -> str:
     """A line's letters, folded, without numbers and the words that go with them."""
-    return re.sub(r"[\W\d_]+", "", fold_text(_NUMERIC.sub(" ", _AFFIX.sub(" ", line))))
+    return re.sub(r"[\W\d_]+", "", fold_text(_NUMERIC.sub(_without_number, _AFFIX.sub(" ", line))))
 
 
 def header_like(line: str) -> bool:
@@ -138,7 +146,7 @@ def words_of(lines: list[tuple[int, str, str | None]]) -> Iterator[tuple[int, st
         following = body[k + 1][1] if k + 1 < len(body) else ""
         begin = len(following) - len(following.lstrip())
         rest = _TOKEN.match(following, begin) if cut else None
-        last = cut.start() if cut and rest and (rest.group()[0].islower() or rest.group()[0] in "|¡0156") else len(line) + 1
+        last = cut.start() if cut and rest and (rest.group()[0].islower() or rest.group()[0] in "|¡0156" or cut.group(1).isupper() and len(cut.group(1)) > 1) else len(line) + 1
         end = skip
         for m in _TOKEN.finditer(line, skip):
             between = line[end : m.start()]
@@ -212,8 +220,8 @@ def corrections(words: DataFrame, ratio: int = RATIO, ratio_marked: int = RATIO_
 
     Rare words are joined with words ``ratio`` times as frequent by anagram hash: hash(printed) =
     hash(word) + the difference of one or two confusions whose misread strings the word holds. An edit
-    distance no larger than the confusions' own confirms the match. Fewest edits, then the most
-    frequent printed form, then the alphabet decide. Printed forms must occur in lower case.
+    distance no larger than the confusions' own confirms the match. Printed forms that are
+    ``ratio`` times as frequent come first, then fewest edits, the most frequent form, the alphabet. Printed forms must occur in lower case.
     """
     spark = words.sparkSession
     pairs = CONFUSIONS
@@ -235,7 +243,7 @@ def corrections(words: DataFrame, ratio: int = RATIO, ratio_marked: int = RATIO_
         & (F.col("n_printed") >= F.col("n") * F.when(F.col("marked"), ratio_marked).otherwise(ratio))
         & (F.levenshtein("word", "printed") <= F.col("cost"))
     )
-    best = F.struct(F.col("cost"), -F.col("n_printed"), F.col("printed"))
+    best = F.struct(F.col("n_printed") < F.col("n") * ratio, F.col("cost"), -F.col("n_printed"), F.col("printed"))
     return hits.groupBy("word").agg(F.min(best).alias("b")).select("word", F.col("b.printed").alias("printed"), F.col("b.cost").alias("edits"))
 
 
