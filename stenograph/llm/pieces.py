@@ -37,7 +37,7 @@ _EDGE = r"(?:^|[,;:.!?…)\]}>*#—–¿¡-]\s{1,2}|[¿¡\n]|\d\s)"
 _FILLER = re.compile(
     rf"{_EDGE}(?P<all>"
     rf"(?:{'|'.join(sorted(PHRASES, key=len, reverse=True)).replace(' ', chr(92) + 's+')})(?=\s*,)"
-    rf"|(?:{'|'.join(HESITATIONS)})(?=\s*[,.…])"
+    rf"|(?:{'|'.join(HESITATIONS)})(?:\.{{2,}}|…|(?=\s*[,.…]))"
     rf"|(?:{'|'.join(TRAILING)})(?:\.{{2,}}|…)"
     rf"|{'|'.join(TAGS)}"
     rf")",
