@@ -35,6 +35,8 @@ KNOWN_SHARE = 1 / 40_000
 
 _TOKEN = re.compile(r"[^\W_](?:[\w|¡]|!(?=\w))*(?:-[^\W_](?:[\w|¡]|!(?=\w))*)*|[|¡](?=[^\W\d_]{2})(?:[\w|¡])+")
 _PAGE = re.compile(r"\W*(?:(?:p[áa]g(?:ina)?s?|p|folio|fl)\W{0,2}\s*)?[\dSslIOo|]{1,6}(?:\s*/\s*[\dSslIOo|]{1,6})?\W*", re.IGNORECASE)
+_SPECIAL = re.compile(r"\d|[Nn][úuo]|[Rr][Ee][Uu]|[Pp][áa]g|[Ss]es|[ªº]")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _NUMERIC = re.compile(r"\S*\d\S*")
 
 
@@ -50,6 +52,8 @@ _CUT = re.compile(rf"([^\W\d_](?:[\w|¡])*)([{CUTS}])[ \t]*$")
 
 def skeleton(line: str) -> str:
     """A line's letters, folded, without numbers and the words that go with them."""
+    if not _SPECIAL.search(line):
+        return "".join(_LETTERS.findall(fold_text(line)))
     return re.sub(r"[\W\d_]+", "", fold_text(_NUMERIC.sub(_without_number, _AFFIX.sub(" ", line))))
 
 
@@ -86,11 +90,15 @@ class Headers:
 
     def __init__(self, names: Iterable[str]) -> None:
         self.names = set(names)
+        # With at most e edits, one of e + 1 parts of a name stays as it is.
+        self.parts = {n: (e := 2 + (len(n) > 12), [n[len(n) * k // (e + 1) : len(n) * (k + 1) // (e + 1)] for k in range(e + 1)]) for n in self.names}
         self.lengths = {k for n in self.names for k in range(len(n) - 2, len(n) + 4)}
         self._seen: dict[str, bool] = {}
+        #: Beyond this a line has more letters than a name with a date, a number and its marks.
+        self.longest = max(map(len, self.names), default=0) + 32
 
     def matches(self, line: str) -> bool:
-        if len(line) > 70 or not self.names:
+        if len(line) > self.longest or not self.names:
             return False
         key = skeleton(line)
         if key in self.names:
@@ -100,7 +108,7 @@ class Headers:
         if key not in self._seen:
             if len(self._seen) > 200_000:
                 self._seen.clear()
-            self._seen[key] = any(near(key, n, 2 + (len(n) > 12)) for n in self.names if abs(len(n) - len(key)) <= 3)
+            self._seen[key] = any(near(key, n, e) for n, (e, parts) in self.parts.items() if abs(len(n) - len(key)) <= e and any(p in key for p in parts))
         return self._seen[key]
 
 
@@ -132,40 +140,42 @@ def lines_of(text: str, headers: Headers) -> list[tuple[int, str, str | None]]:
     return out
 
 
-def words_of(lines: list[tuple[int, str, str | None]]) -> Iterator[tuple[int, str, str, bool]]:
-    """(start, word, cut form, opens) of every word of the running text.
+def _opens(line: str, at: int, before: str) -> bool:
+    """Whether the word at ``at`` opens a sentence."""
+    left = line[:at].rstrip(" \t\"“«¿¡([—–-") or before.rstrip(" \t\"”»)]")
+    return not left or left[-1] in ".!?…:"
+
+
+def words_of(lines: list[tuple[int, str, str | None]], known: frozenset | set = frozenset()) -> Iterator[tuple[int, str, str, bool]]:
+    """(start, word, cut form, opens) of the words of the running text that aren't in ``known``.
 
     A word cut at a line's end is given once, joined, with ``cut form`` holding both parts and the
     mark; pages' edges in between are stepped over. ``opens`` tells whether the word opens a sentence.
     """
     body = [(a, x) for a, x, kind in lines if kind is None and x.strip()]
     skip = 0
-    opens = True
     for k, (at, line) in enumerate(body):
-        cut = _CUT.search(line)
-        following = body[k + 1][1] if k + 1 < len(body) else ""
-        begin = len(following) - len(following.lstrip())
-        rest = _TOKEN.match(following, begin) if cut else None
-        last = cut.start() if cut and rest and (rest.group()[0].islower() or rest.group()[0] in "|¡0156" or cut.group(1).isupper() and len(cut.group(1)) > 1) else len(line) + 1
-        end = skip
-        for m in _TOKEN.finditer(line, skip):
-            between = line[end : m.start()]
-            opens = opens if not between.strip() and end == skip else bool(re.search(r"[.!?…:»\"“«¿¡]", between)) if between else False
+        last, rest, cut = len(line) + 1, None, None
+        if line.rstrip(" \t")[-1:] in CUTS and k + 1 < len(body) and (cut := _CUT.search(line)):
+            following = body[k + 1][1]
+            rest = _TOKEN.match(following, len(following) - len(following.lstrip()))
+            if rest and (rest.group()[0].islower() or rest.group()[0] in "|¡0156" or cut.group(1).isupper() and len(cut.group(1)) > 1):
+                last = cut.start()
+        fresh = {w for w in set(_TOKEN.findall(line, skip)) - known if not w.isdigit()}
+        for m in _TOKEN.finditer(line, skip) if fresh else ():
             if m.end() > last:
                 break
-            yield at + m.start(), m.group(), "", opens
-            end = m.end()
-        opens = bool(re.search(r"[.!?…:»\"]\s*$", line))
+            word = m.group()
+            if word in fresh:
+                yield at + m.start(), word, "", _opens(line, m.start(), body[k - 1][1] if k else "")
         skip = 0
         if last <= len(line):
-            # what stands before the mark may itself hold a hyphen: take the whole token
-            start = cut.start()
+            start = cut.start()  # what stands before the mark may itself hold a hyphen: take the whole token
             while start and (line[start - 1].isalnum() or (line[start - 1] == "-" and start > 1 and line[start - 2].isalnum())):
                 start -= 1
             head = line[start : cut.end(1)]
             yield at + start, head + rest.group(), f"{head}{cut.group(2)}{rest.group()}", False
             skip = rest.end()
-            opens = False
 
 
 _HEADS = "key string, kind string, n bigint, low bigint"
@@ -269,7 +279,7 @@ def candidates(texts: DataFrame, evidence: Evidence) -> DataFrame:
     names, often = evidence.headers, evidence.known
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        headers, known = Headers(names), set(often)
+        headers, known = Headers(names), {form for w in often for form in (w, w[:1].upper() + w[1:])}
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for identity, text in zip(batch.column("id_int").to_pylist(), batch.column("text").to_pylist()):
@@ -281,7 +291,7 @@ def candidates(texts: DataFrame, evidence: Evidence) -> DataFrame:
                         row = (identity, kind, at + len(line) - len(line.lstrip()), at + len(line), None, None)
                         for c, v in zip(out, row):
                             c.append(v)
-                for at, word, cut, opens in words_of(lines):
+                for at, word, cut, opens in words_of(lines, known):
                     low = word.lower()
                     named = word[0].isupper() and not opens and not (len(word) > 3 and word.isupper())
                     if cut:
