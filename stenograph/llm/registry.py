@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import counts, distinctive, mixture, names, pairs, scans, tokens, turns
+from . import counts, distinctive, mixture, names, pairs, scans, sentences, tokens, turns
 
-MODULES = [turns, names, distinctive, scans, pairs, counts, tokens, mixture]
+MODULES = [turns, names, distinctive, scans, pairs, counts, tokens, mixture, sentences]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
