@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core_problems
+from . import analysis, core_problems
 
-MODULES = [core_problems]
+MODULES = [core_problems, analysis]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return core_problems.p7_found(spark, folder)
+    return analysis.ngram_series(spark, folder)
