@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold
+from ..session import materialize
 
 #: Small-graph algorithms run on the driver; a graph may have at most this many edges there.
 DRIVER_EDGES = 200_000
@@ -64,23 +65,36 @@ def mention_edges(rows: DataFrame, aliases: Sequence[tuple[str, str]], least: in
     return j.groupBy(F.col("id_dep").alias("source"), F.col("entity").alias("target")).agg(F.countDistinct("id_int").alias("turns")).where(F.col("turns") >= least)
 
 
-def page_rank(edges: DataFrame, damping: float = 0.85, rounds: int = 30) -> DataFrame:
-    """(node, rank) by power iteration in DataFrame joins; the mass of nodes without edges is spread evenly.
+def page_rank(edges: DataFrame, damping: float = 0.85, rounds: int = 30, driver_edges: int = DRIVER_EDGES) -> DataFrame:
+    """(node, rank) by power iteration; the mass of nodes without edges is spread evenly.
 
-    Lineage is cut by checkpoint every ten rounds where a checkpoint folder is set.
+    A graph of at most ``driver_edges`` edges (counted first) is iterated on the driver. A larger one is
+    iterated by joins, each round written to the shared folder, so that no round repeats the ones before.
     """
     spark = edges.sparkSession
-    out = edges.groupBy("source").agg(F.sum("turns").alias("total"))
-    share = edges.join(out, "source").select("source", "target", (F.col("turns") / F.col("total")).alias("p")).persist()
-    nodes = edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct().persist()
+    some = edges.select("source", "target", F.col("turns").cast("double")).limit(driver_edges + 1).collect()
+    if len(some) <= driver_edges:
+        nodes = sorted({r[0] for r in some} | {r[1] for r in some})
+        n, total = len(nodes) or 1, defaultdict(float)
+        for r in some:
+            total[r[0]] += r[2]
+        rank = dict.fromkeys(nodes, 1.0 / n)
+        for _ in range(rounds):
+            spread = sum(v for k, v in rank.items() if k not in total) * damping / n + (1 - damping) / n
+            got = dict.fromkeys(nodes, spread)
+            for a, b, w in some:
+                got[b] += damping * rank[a] * w / total[a]
+            rank = got
+        return spark.createDataFrame([(k, v) for k, v in rank.items()], "node string, rank double")
+    out = materialize(edges.groupBy("source").agg(F.sum("turns").alias("total")), "rank-out")
+    share = materialize(edges.join(out, "source").select("source", "target", (F.col("turns") / F.col("total")).alias("p")), "rank-edges")
+    nodes = materialize(edges.select(F.col("source").alias("node")).union(edges.select("target")).distinct(), "rank-nodes")
     n = nodes.count() or 1
     rank = nodes.withColumn("rank", F.lit(1.0 / n))
-    for k in range(rounds):
+    for _ in range(rounds):
         dangling = rank.join(out, rank.node == out.source, "left_anti").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
         got = share.join(rank, share.source == rank.node).groupBy("target").agg(F.sum(F.col("p") * F.col("rank")).alias("g"))
-        rank = nodes.join(got, nodes.node == got.target, "left").select("node", (F.lit((1 - damping) / n + damping * dangling / n) + damping * F.coalesce("g", F.lit(0.0))).alias("rank"))
-        if k % 10 == 9 and spark.sparkContext.getCheckpointDir():
-            rank = rank.checkpoint()
+        rank = materialize(nodes.join(got, nodes.node == got.target, "left").select("node", (F.lit((1 - damping) / n + damping * dangling / n) + damping * F.coalesce("g", F.lit(0.0))).alias("rank")), "rank-round")
     return rank
 
 

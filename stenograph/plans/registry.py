@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analysis, core_problems
+from . import analysis, core_problems, relations
 
-MODULES = [core_problems, analysis]
+MODULES = [core_problems, analysis, relations]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
