@@ -144,11 +144,12 @@ def resolve_labels(labels: DataFrame, register: DataFrame) -> DataFrame:
     def heard(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sound = pa.array([phonetic(x) for x in batch.column("form").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("country"), batch.column("id_dep"), batch.column("given"), batch.column("form"), sound], names=["country", "id_dep", "given", "form", "sound"])
+            yield pa.RecordBatch.from_arrays([batch.column("country"), batch.column("id_dep"), batch.column("given"), batch.column("forms"), sound], names=["country", "id_dep", "given", "forms", "sound"])
 
-    voices = roster.select("country", "id_dep", "given", "form").mapInArrow(heard, "country string, id_dep string, given string, form string, sound string")
+    people = roster.groupBy("country", "id_dep", "given").agg(F.sort_array(F.collect_set("form")).alias("forms"))  # two surnames a person
+    voices = people.select("country", "id_dep", "given", F.explode("forms").alias("form"), "forms").mapInArrow(heard, "country string, id_dep string, given string, forms array<string>, sound string")
     near = labels.mapInArrow(keys, "id_session string, country string, label string, clean string, sound string").join(voices, ["country", "sound"])
-    candidates = near.groupBy("id_session", "label", "clean", "id_dep", "given").agg(F.sort_array(F.collect_set("form")).alias("forms"))
+    candidates = near.select("id_session", "label", "clean", "id_dep", "given", "forms").distinct()
 
     def solve(pdf):
         import pandas as pd
