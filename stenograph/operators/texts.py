@@ -172,8 +172,8 @@ def recurring_lines(rows: DataFrame, least_sessions: int = 3) -> DataFrame:
 
 def speech_motive(text: Column) -> Column:
     """Why a text is no speech: vote list, reading or nothing said; null for speech."""
-    votes = F.regexp_count(text, F.lit(r"(?i)[\p{L}]+, [\p{L} ]+: (?:s[ií]|não|no|abstención|abstenção)(?!\p{L})"))
-    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", "empty").when(text.rlike(r"(?i)votaci[óo]n nominal|votação nominal|votan a favor|votam a favor") | (votes >= 3), "vote").when(text.rlike(r"(?i)^\s*se da lectura|^\s*lê-se|^\s*acta n"), "reading")
+    votes = F.regexp_count(text, F.lit(r"(?iu)[\p{L}]+, [\p{L} ]+: (?:s[ií]|não|no|abstención|abstenção)(?!\p{L})"))
+    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", "empty").when(text.rlike(r"(?iu)votaci[óo]n nominal|votação nominal|votan a favor|votam a favor") | (votes >= 3), "vote").when(text.rlike(r"(?iu)^\s*se da lectura|^\s*lê-se|^\s*acta n"), "reading")
 
 
 def tag_lines(texts: DataFrame, marker: str = r"^\s*(?:El|La|O|A)\s+(?:[Ss]r|[Ss]e[ñn]or|[Ss]enhor|SR|SRA)[^:]{2,60}:") -> DataFrame:

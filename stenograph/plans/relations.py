@@ -343,7 +343,7 @@ def themes(spark, d):
 def coder_agreement(spark, d):
     rows = turns(spark, d, "sex", "speaker_raw")
     a = F.when(F.upper(F.left(F.trim("sex"), F.lit(1))).isin("F", "M"), F.upper(F.left(F.trim("sex"), F.lit(1))))
-    b = F.when(F.col("speaker_raw").rlike(r"(?i)^\W*(la|a) |sra|señora|diputada|deputada"), "F").when(F.col("speaker_raw").rlike(r"(?i)^\W*(el|o) |sr|señor|diputado|deputado"), "M")
+    b = F.when(F.col("speaker_raw").rlike(r"(?iu)^\W*(la|a) |sra|señora|diputada|deputada"), "F").when(F.col("speaker_raw").rlike(r"(?iu)^\W*(el|o) |sr|señor|diputado|deputado"), "M")
     return N.kappa(rows.select(a.alias("a"), b.alias("b")), "a", "b")
 
 
