@@ -20,9 +20,9 @@ from ..sources.tables import table
 from .arrow import lists, map_batches
 
 
-def _class(category: str) -> str:
-    """The characters of a Unicode category as the inside of a regular-expression class."""
-    codes = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == category]
+def _marks(begin: int, end: int) -> re.Pattern:
+    """Runs of nonspacing marks within a range of code points."""
+    codes = [c for c in range(begin, end) if unicodedata.category(chr(c)) == "Mn"]
     out, k = [], 0
     while k < len(codes):
         j = k
@@ -30,22 +30,26 @@ def _class(category: str) -> str:
             j += 1
         out.append(f"\\U{codes[k]:08x}-\\U{codes[j]:08x}")
         k = j + 1
-    return "".join(out)
+    return re.compile(f"[{''.join(out)}]+")
 
 
+# A class within the first plane compiles to a bit table; one range beyond it makes every character slow.
 _MARKS: re.Pattern | None = None
+_FAR_MARKS: re.Pattern | None = None
+_FAR = re.compile("[\U00010000-\U0010ffff]")
 _WORD = re.compile(r"[^\W_]+")
 
 
 def fold_text(text: str) -> str:
     """Lower case, NFD, combining marks (Mn) removed; not trimmed."""
-    global _MARKS
+    global _MARKS, _FAR_MARKS
     low = text.lower()
     if low.isascii():
         return low
     if _MARKS is None:
-        _MARKS = re.compile(f"[{_class('Mn')}]+")
-    return _MARKS.sub("", unicodedata.normalize("NFD", low))
+        _MARKS, _FAR_MARKS = _marks(0, 0x10000), _marks(0x10000, sys.maxunicode + 1)
+    plain = _MARKS.sub("", unicodedata.normalize("NFD", low))
+    return _FAR_MARKS.sub("", plain) if _FAR.search(plain) else plain
 
 
 def content_words(text: str | None, least: int = 4) -> list[str]:
