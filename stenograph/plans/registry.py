@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analysis, core_problems, relations
+from . import analysis, core_problems, quality, relations
 
-MODULES = [core_problems, analysis, relations]
+MODULES = [core_problems, analysis, relations, quality]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

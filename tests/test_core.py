@@ -249,3 +249,41 @@ def test_series_keeps_empty_years(spark):
     t = spark.createDataFrame([("1", D(2001, 1, 1), 1, "s", 2, "paz paz"), ("2", D(2003, 1, 1), 1, "s", 1, "guerra")], "id_int string, date date, dm_speech int, id_session string, n_words int, text string")
     got = analysis.ngram_series(t, "paz", Filters())
     assert rows(got.select("year", "count", "value", "low_base")) == [(2001, 2, 1e6, True), (2002, None, None, True), (2003, 0, 0.0, True)]
+
+
+def test_speaker_variants_against_brute_force(spark):
+    import random
+
+    from stenograph.operators import quality
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            d, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                d, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, d + (x != y))
+        return row[-1]
+
+    r = random.Random(6)
+    common = ["".join(r.choice("abcde") for _ in range(r.randint(9, 16))) for _ in range(12)]
+    odd = {"".join(c for c in w if r.random() > 0.1) + r.choice(["", "a", "xy"]) for w in common for _ in range(4)} - set(common)
+    odd = {w for w in odd if len(w) >= 9}
+    t = spark.createDataFrame([("X", w) for w in common for _ in range(10)] + [("X", w) for w in odd], "country string, speaker_raw string")
+    want = set()
+    for w in odd:
+        near = [c for c in common if edits(w, c) <= 2]
+        if len(near) == 1:
+            want.add((w, near[0], edits(w, near[0])))
+    got = {(x["rare"], x["frequent"], x["d"]) for x in quality.rare_to_frequent(t).collect()}
+    assert got == want and got
+
+
+def test_verdicts_and_persons(spark):
+    from stenograph.operators import quality
+
+    t = spark.createDataFrame([("s", "1", 1, "p", 10, "bien"), ("s", "2", 1, None, 9000, "x\nEl señor PÉREZ: y"), ("e", "3", 0, None, 5, "z")], "id_session string, id_int string, dm_speech int, id_dep string, n_words int, text string")
+    assert rows(quality.verdicts(t)) == [("e", "FLAG", "no speech"), ("s", "FLAG", "markers left")]
+    s = spark.createDataFrame([("Una voz",), ("(sin identificar)",), ("LA PRESIDENCIA",), ("El señor PÉREZ",), (" ",), (None,)], "s string")
+    assert [r[0] for r in s.select(quality.no_person(F.col("s"))).collect()] == ["voices", "unknown", "office", None, "blank", "blank"]
+    c = spark.createDataFrame([("a", 0.9), ("a", 0.7), ("b", 0.0)], "g string, s double")
+    assert {r["g"]: r["level"] for r in quality.confidence(c, ["g"], "s").collect()} == {"a": "FLAG", "b": "HALT"}
