@@ -78,6 +78,8 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
     Null items are ignored; empty baskets count in N only; an empty table gives no rows.
     """
     spark = baskets.sparkSession
+    if not 0 < heavy < 1 << 15:
+        raise ValueError("heavy items are numbered in 15 bits")
     single = baskets.select(F.explode(items).alias("item")).where(F.col("item").isNotNull())
     most = n_records / least_lift if least_lift else float("inf")
     frequency = materialize(single.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= least_together), "item-frequency")
@@ -103,7 +105,7 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
         .select("x", "nx", "y", "ny", "n_ab")
     )
 
-    parts = f"`{key}` {baskets.schema[key].dataType.simpleString()}, h array<int>, rest array<string>"
+    parts = f"`{key}` {baskets.schema[key].dataType.simpleString()}, h array<smallint>, rest array<string>"
     known = names
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +119,7 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
             parent = pc.list_parent_indices(array).to_numpy()
             inside = at.is_valid().to_numpy(zero_copy_only=False)
             outside = ~inside & flat.is_valid().to_numpy(zero_copy_only=False)
-            ids = lists(at.drop_null().cast(pa.int32()), np.bincount(parent[inside], minlength=batch.num_rows))
+            ids = lists(at.drop_null().cast(pa.int16()), np.bincount(parent[inside], minlength=batch.num_rows))
             rest = lists(flat.filter(pa.array(outside)), np.bincount(parent[outside], minlength=batch.num_rows))
             yield pa.RecordBatch.from_arrays([batch.column(key), ids, rest], names=[key, "h", "rest"])
 
@@ -127,7 +129,7 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
     )
     mixed = (
         postings.repartition("item").select("item", "n", F.explode("h").alias("h")).groupBy("item", "n", "h").agg(F.count("*").alias("n_ab")).where(F.col("n_ab") >= least_together)
-        .join(F.broadcast(lookup.select("h", F.col("item").alias("y"), F.col("n").alias("ny"))), "h")
+        .join(F.broadcast(lookup.select(F.col("h").cast("smallint").alias("h"), F.col("item").alias("y"), F.col("n").alias("ny"))), "h")
         .select(F.col("item").alias("x"), F.col("n").alias("nx"), "y", "ny", "n_ab")
     )
     together = postings.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("item", "n"))).alias("l")).where(F.size("l") > 1)
