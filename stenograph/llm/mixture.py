@@ -45,12 +45,13 @@ def mixture(documents: DataFrame, targets: DataFrame, total_tokens: int | None =
     a document. Documents without tokens aren't chosen.
 
     Running sums are formed in two levels: per slice of the key range, then within a slice, so a source
-    with a third of all documents is spread over ``slices`` groups. Ties in the key go by doc_id.
+    with a third of all documents is spread over ``slices`` groups. Ties in the key go by doc_id. A null
+    weight counts 0.05; other columns of either table are ignored; empty tables give no rows.
     """
     spark = documents.sparkSession
-    sized = documents.where(F.col("n_tokens") > 0).withColumn("key", exponential_key(F.col("doc_id"), F.col("weight"), seed))
+    sized = documents.select("doc_id", "source", "n_tokens", F.greatest(F.coalesce("weight", F.lit(0.05)), F.lit(1e-9)).alias("weight")).where(F.col("n_tokens") > 0).withColumn("key", exponential_key(F.col("doc_id"), F.col("weight"), seed))
     have = sized.groupBy("source").agg(F.sum("n_tokens").alias("available"))
-    plan = targets.join(have, "source").where((F.col("target_share") > 0) & (F.col("max_repeats") > 0)).collect()
+    plan = targets.select("source", "target_share", "max_repeats").join(have, "source").where((F.col("target_share") > 0) & (F.col("max_repeats") > 0)).collect()
     whole = sum(r["target_share"] for r in plan)
     if not plan:
         return spark.createDataFrame([], "doc_id bigint, source string, n_tokens bigint, times int")

@@ -65,8 +65,8 @@ def speech_rows(spark, folder: str, columns: list[str]) -> DataFrame:
 
 
 def with_counts(df: DataFrame, text: str = "text", least: int = 4) -> DataFrame:
-    """Replace ``text`` by ``length`` (content words) and ``terms`` (array of word, tf)."""
-    keep = [c for c in df.columns if c != text]
+    """Replace ``text`` by ``length`` (content words) and ``terms`` (array of word, tf); columns so named before are replaced."""
+    keep = [c for c in df.columns if c not in (text, "length", "terms")]
     inner = "array<struct<word:string,tf:int>>"
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep), "length int", f"terms {inner}"])
 
@@ -86,8 +86,8 @@ def with_counts(df: DataFrame, text: str = "text", least: int = 4) -> DataFrame:
 
 
 def with_distinct(df: DataFrame, text: str = "text", least: int = 4) -> DataFrame:
-    """Replace ``text`` by ``words``, the distinct content words in order of first use."""
-    keep = [c for c in df.columns if c != text]
+    """Replace ``text`` by ``words``, the distinct content words in order of first use; a column so named before is replaced."""
+    keep = [c for c in df.columns if c not in (text, "words")]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep), "words array<string>"])
 
     def run(batch: pa.RecordBatch) -> dict:

@@ -175,9 +175,10 @@ def encode(documents: DataFrame, text: str = "text", output: str = "ids", name:
 
     Strings of special tokens are ordinary text. Null and empty texts give an empty list. A text is
     split into the pieces that merges can't cross; each distinct piece is encoded once per worker by
-    ``PrefixEncoding``, in time linear in its length. No shuffle, no order, all other columns kept.
+    ``PrefixEncoding``, in time linear in its length. No shuffle, no order; all other columns are kept, but one already named
+    as the output, which is replaced. Repeated rows give repeated rows, an empty table an empty one.
     """
-    keep = [c for c in documents.columns if c != text]
+    keep = [c for c in documents.columns if c not in (text, output)]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in keep]
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -190,8 +191,8 @@ def encode(documents: DataFrame, text: str = "text", output: str = "ids", name:
 
 
 def token_counts(documents: DataFrame, text: str = "text", output: str = "n_tokens", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
-    """Replace ``text`` by its number of tokens; null and empty count 0."""
-    keep = [c for c in documents.columns if c != text]
+    """Replace ``text`` by its number of tokens; null and empty count 0; a column named as the output is replaced."""
+    keep = [c for c in documents.columns if c not in (text, output)]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in keep]
 
     def run(batch: pa.RecordBatch) -> dict:

@@ -97,6 +97,7 @@ def test_radius_join_is_exact(spark):
     bound = lambda s: 0 if len(s) < 5 else 1 if len(s) < 8 else 2 if len(s) < 13 else 3 if len(s) < 18 else 4
     want = {(c, a, b, names.edits(a, b)) for c, a in queries for k, b in points if c == k and names.edits(a, b) <= bound(a)}
     assert got == want and len(want) > 50
+    assert names.radius_join(q.union(spark.createDataFrame([("X", None), (None, "abcdef")], q.schema)), p, "country", "q", "p", pivots=9).count() == len(want)
     assert names.radius_join(q, p.limit(0), "country", "q", "p").count() == 0
 
 
@@ -251,13 +252,17 @@ def test_encode_keeps_other_columns(spark):
     got = sorted((r["doc_id"], len(r["ids"]), r["extra"]) for r in tokens.encode(df).collect() if r["extra"] != None)  # noqa: E711
     assert got == [(1, 2, "x"), (1, 2, "x"), (3, 0, "y")]
     assert {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(df).collect()} == {1: 2, 2: 0, 3: 0}
+    clash = tokens.encode(df.withColumn("ids", F.lit("old")))
+    assert clash.columns == ["doc_id", "extra", "ids"] and clash.where("doc_id = 3").first()["ids"] == []
+    assert tokens.encode(df.limit(0)).count() == 0
 
 
 # --- 9 ---
 def test_mixture(spark):
     r = random.Random(3)
     docs = [(k, r.choice("aaaaab"), r.randint(1, 50), r.random() + 0.1) for k in range(2000)] + [(9000, "c", 0, 1.0), (9001, "none", 30, 1.0)]
-    d = spark.createDataFrame(docs, "doc_id bigint, source string, n_tokens bigint, weight double")
+    docs += [(9002, "a", None, 1.0), (9003, "a", 3, None)]
+    d = spark.createDataFrame(docs, "doc_id bigint, source string, n_tokens bigint, weight double").withColumns({"slice": F.lit("x"), "rest": F.lit(1), "key": F.lit(None)})
     t = spark.createDataFrame([("a", 0.5, 1), ("b", 0.75, 4), ("absent", 0.2, 2), ("c", 0.1, 2), ("off", 0.0, 2)], "source string, target_share double, max_repeats int")
     chosen = mixture.mixture(d, t, slices=8).collect()
     used = Counter()
@@ -265,7 +270,7 @@ def test_mixture(spark):
         used[x["source"]] += x["n_tokens"] * x["times"]
     available = Counter()
     for _, s, n, _ in docs:
-        available[s] += n
+        available[s] += n or 0
     assert set(used) == {"a", "b"} and max(x["times"] for x in chosen if x["source"] == "b") <= 4 and max(x["times"] for x in chosen if x["source"] == "a") == 1
     assert abs(used["a"] / (used["a"] + used["b"]) - 0.4) < 0.01
     assert used["b"] <= 4 * available["b"] and abs(used["b"] - 4 * available["b"]) <= 50 or used["a"] >= available["a"] - 50
