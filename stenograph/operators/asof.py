@@ -83,8 +83,8 @@ def attributes_as_of(
     no later de-duplication is needed. A busy entity's events are spread over its buckets.
 
     Events with a null date or entity, or without an active change, keep null attributes (``how`` =
-    "left") or are dropped ("inner"). Attribute columns are prefixed, so clashing names are kept
-    apart. An empty table of changes or events gives a result with the same columns.
+    "left") or are dropped ("inner"). Attribute columns are prefixed; a column of ``events`` that
+    already has such a name is replaced. An empty table of changes or events gives a result with the same columns.
     """
     bounds = events.agg(F.min(F.unix_date(event_date)).alias("a"), F.max(F.unix_date(event_date)).alias("b")).first()
     first, last = (bounds["a"], bounds["b"]) if bounds["a"] is not None else (0, 0)
@@ -97,6 +97,7 @@ def attributes_as_of(
         F.col("_to").alias("_rt"),
         *[F.col(a).alias(f"{prefix}{a}") for a in attributes],
     )
+    events = events.drop(*[f"{prefix}{a}" for a in attributes], "_rb", "_rf", "_rt", *[f"_r{k}" for k in range(len(event_entity))])
     at = F.unix_date(F.col(event_date))
     on = (F.floor(at / width) == F.col("_rb")) & (F.col("_rf") <= at) & (at < F.col("_rt"))
     for k, c in enumerate(event_entity):

@@ -84,6 +84,8 @@ def test_as_of_is_half_open_and_bitemporal(spark):
     empty = attributes_as_of(events, changes.limit(0), **args)
     assert empty.count() == 8 and "known_party" in empty.columns
     assert attributes_as_of(events.limit(0), changes, **args).count() == 0
+    clash = attributes_as_of(events.withColumn("known_party", F.lit("old")).withColumn("_rb", F.lit(1)), changes, **args)
+    assert clash.where("e = '3'").first()["known_party"] == "B" and clash.columns.count("known_party") == 1
 
 
 def test_as_of_matches_brute_force(spark):
