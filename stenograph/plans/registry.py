@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analysis, core_problems, quality, relations
+from . import analysis, core_problems, loading, quality, relations
 
-MODULES = [core_problems, analysis, relations, quality]
+MODULES = [core_problems, analysis, relations, quality, loading]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
