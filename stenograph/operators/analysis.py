@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.terms import Filters, is_chair, occurrences, parse_terms
 from ..functions.text import words
+from ..sources.tables import one_per_key
 
 #: Below these a yearly value rests on too little text.
 LOW_WORDS, LOW_SESSIONS = 250_000, 10
@@ -27,7 +28,24 @@ def denominators(rows: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def ngram_series(rows: DataFrame, terms: str, filters: Filters, by_country: bool = False, measure: str = "per_million", smoothing: int = 0) -> DataFrame:
+def counted_turns(rows: DataFrame, filters: Filters, columns: Sequence[str], counts: Sequence[Column], version: str | None) -> DataFrame:
+    """The filtered turns with their counts, texts left behind.
+
+    With ``version`` the rows may hold copies of an ``id_int``: the lowest version is kept. Counting comes first,
+    so that only ids, a few columns and numbers are shuffled to bring copies together, never texts.
+    """
+    keep = list(dict.fromkeys(columns))
+    if version is None:
+        return filters.apply(rows).select(*keep, *counts)
+    marked = rows.select("id_int", version, *[c for c in keep if c != "id_int"], filters.where().alias("_kept"), *counts)
+    names = [c for c in marked.columns if c not in ("id_int", version)]
+    single = one_per_key(marked, "id_int", version, ["id_int", *names]).where("_kept").drop("_kept")
+    if filters.members is not None:
+        single = single.join(filters.members.select("id_int").distinct(), "id_int", "left_semi")
+    return single
+
+
+def ngram_series(rows: DataFrame, terms: str, filters: Filters, by_country: bool = False, measure: str = "per_million", smoothing: int = 0, version: str | None = None) -> DataFrame:
     """(series, [country], year, count, value, words, turns, sessions, low_base) of each term series.
 
     ``value`` is per million words, the count, or the share of turns that use the term. Years without
@@ -35,9 +53,9 @@ def ngram_series(rows: DataFrame, terms: str, filters: Filters, by_country: bool
     around that have one. Undated rows are left out.
     """
     group = ["country"] if by_country else []
-    kept = filters.apply(rows).where(F.col("date").isNotNull())
     series = parse_terms(terms)
-    counted = kept.select(*group, F.year("date").alias("year"), "id_session", "n_words", *[occurrences("text", v).alias(f"s{k}") for k, (_, v) in enumerate(series)])
+    uses = [occurrences("text", v).alias(f"s{k}") for k, (_, v) in enumerate(series)]
+    counted = counted_turns(rows, filters, [*group, "date", "id_session", "n_words"], uses, version).where(F.col("date").isNotNull()).withColumn("year", F.year("date"))
     sums = counted.groupBy(*group, "year").agg(
         F.sum("n_words").cast("bigint").alias("words"),
         F.count("*").alias("turns"),
@@ -76,9 +94,9 @@ def ngram_from_unigrams(unigrams: DataFrame, word: str, filters: Filters) -> Dat
     return kept.groupBy(F.col("year").cast("int").alias("year")).agg(F.sum(hit).cast("bigint").alias("count"), F.sum("n").cast("bigint").alias("words"))
 
 
-def term_counter(rows: DataFrame, variants: Sequence[str], filters: Filters) -> DataFrame:
+def term_counter(rows: DataFrame, variants: Sequence[str], filters: Filters, version: str | None = None) -> DataFrame:
     """Per country: uses, turns, sittings, speakers, share linked, first and last use."""
-    counted = filters.apply(rows).withColumn("occ", occurrences("text", variants)).where(F.col("occ") > 0)
+    counted = counted_turns(rows, filters, ["id_int", "country", "id_session", "id_dep", "date"], [occurrences("text", variants).alias("occ")], version).where(F.col("occ") > 0)
     return counted.groupBy("country").agg(
         F.sum("occ").cast("bigint").alias("uses"),
         F.count("*").alias("turns"),
@@ -91,17 +109,17 @@ def term_counter(rows: DataFrame, variants: Sequence[str], filters: Filters) ->
     )
 
 
-def term_frequency(rows: DataFrame, variants: Sequence[str], by: Column, filters: Filters) -> DataFrame:
+def term_frequency(rows: DataFrame, variants: Sequence[str], by: Column, filters: Filters, version: str | None = None) -> DataFrame:
     """(grp, uses, turns, words, per_million) by any grouping expression; rows without text are left out."""
-    kept = filters.apply(rows).where(F.col("text").isNotNull())
-    g = kept.select(by.alias("grp"), "n_words", occurrences("text", variants).alias("occ")).groupBy("grp")
+    parts = [by.alias("grp"), occurrences("text", variants).alias("occ"), F.col("text").isNotNull().alias("_text")]
+    g = counted_turns(rows, filters, ["n_words"], parts, version).where("_text").groupBy("grp")
     out = g.agg(F.sum("occ").cast("bigint").alias("uses"), F.count_if(F.col("occ") > 0).alias("turns"), F.sum("n_words").cast("bigint").alias("words"))
     return out.withColumn("per_million", F.round(F.col("uses") * 1e6 / F.nullif("words", F.lit(0)), 2))
 
 
-def top_groups(rows: DataFrame, variants: Sequence[str], filters: Filters, group: str, k: int) -> DataFrame:
+def top_groups(rows: DataFrame, variants: Sequence[str], filters: Filters, group: str, k: int, version: str | None = None) -> DataFrame:
     """The ``k`` values of ``group`` with most uses in each country; ties by value."""
-    counted = filters.apply(rows).select("country", group, occurrences("text", variants).alias("occ")).where((F.col("occ") > 0) & F.col(group).isNotNull())
+    counted = counted_turns(rows, filters, ["country", group], [occurrences("text", variants).alias("occ")], version).where((F.col("occ") > 0) & F.col(group).isNotNull())
     sums = counted.groupBy("country", group).agg(F.sum("occ").cast("bigint").alias("uses"))
     rank = F.row_number().over(Window.partitionBy("country").orderBy(F.desc("uses"), group))
     return sums.withColumn("rank", rank).where(F.col("rank") <= k)

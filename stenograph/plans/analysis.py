@@ -15,7 +15,7 @@ PEOPLE = Filters(without_chair=True, longest_turn=10_000)
 
 
 def ngram_series(spark, d):
-    return A.ngram_series(turns(spark, d, "date", "dm_speech", "id_session", "n_words", "text"), "presupuesto + orçamento, adjudic*, agua potable", SPEECH)
+    return A.ngram_series(table(spark, d, "interventions"), "presupuesto + orçamento, adjudic*, agua potable", SPEECH, version="row_n")
 
 
 _SERIES = [("presupuesto + orçamento", [" presupuesto ", " orcamento "]), ("adjudic*", [r" adjudic[\p{L}\p{N}]* "]), ("agua potable", [" agua  potable "])]
@@ -31,8 +31,8 @@ f AS (SELECT * FROM spine LEFT JOIN y USING (year))
 
 
 def ngram_smoothed(spark, d):
-    rows = turns(spark, d, "country", "date", "dm_speech", "id_session", "n_words", "text")
-    return A.ngram_series(rows, "hospital", SPEECH, by_country=True, measure="interventions_pct", smoothing=1).select("series", "country", "year", "count", "value", "turns")
+    rows = table(spark, d, "interventions")
+    return A.ngram_series(rows, "hospital", SPEECH, by_country=True, measure="interventions_pct", smoothing=1, version="row_n").select("series", "country", "year", "count", "value", "turns")
 
 
 _SMOOTH_SQL = f"""WITH {TURNS},
@@ -48,13 +48,12 @@ def ngram_index(spark, d):
 
 
 def term_counter(spark, d):
-    return A.term_counter(turns(spark, d, "country", "date", "dm_speech", "id_session", "id_dep", "text"), ["señor presidente", "senhor presidente"], SPEECH)
+    return A.term_counter(table(spark, d, "interventions"), ["señor presidente", "senhor presidente"], SPEECH, "row_n")
 
 
-def _frequency(by, columns, variants=("deuda", "dívida")):
+def _frequency(by, variants=("deuda", "dívida")):
     def query(spark, d):
-        rows = turns(spark, d, "dm_speech", "n_words", "text", *columns)
-        return A.term_frequency(rows, list(variants), by(), SPEECH)
+        return A.term_frequency(table(spark, d, "interventions"), list(variants), by(), SPEECH, "row_n")
 
     return query
 
@@ -65,7 +64,7 @@ SELECT grp, sum(occ)::BIGINT AS uses, count(*) FILTER (occ > 0) AS turns, sum(n_
 
 
 def top_parties(spark, d):
-    return A.top_groups(turns(spark, d, "country", "dm_speech", "party", "text"), ["corrupción", "inflación", "inflação"], SPEECH, "party", 3)
+    return A.top_groups(table(spark, d, "interventions"), ["corrupción", "inflación", "inflação"], SPEECH, "party", 3, "row_n")
 
 
 def share_of_voice(spark, d):
@@ -185,10 +184,10 @@ QUERIES = {
     "ngram_smoothed": ngram_smoothed,
     "ngram_index": ngram_index,
     "term_counter": term_counter,
-    "term_by_year": _frequency(lambda: F.year("date").cast("string"), ["date"]),
-    "term_by_decade": _frequency(lambda: (F.floor(F.year("date") / 10) * 10).cast("string"), ["date"]),
-    "term_by_party": _frequency(lambda: F.col("party"), ["party"]),
-    "term_by_session": _frequency(lambda: F.col("id_session"), ["id_session"]),
+    "term_by_year": _frequency(lambda: F.year("date").cast("string")),
+    "term_by_decade": _frequency(lambda: (F.floor(F.year("date") / 10) * 10).cast("string")),
+    "term_by_party": _frequency(lambda: F.col("party")),
+    "term_by_session": _frequency(lambda: F.col("id_session")),
     "top_parties": top_parties,
     "share_of_voice": share_of_voice,
     "coverage": coverage,
