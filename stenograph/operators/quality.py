@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import written_date
 from ..functions.text import fold
+from .texts import indel_ratio
 
 
 def fingerprint(rows: DataFrame) -> DataFrame:
@@ -121,6 +126,70 @@ def rare_to_frequent(rows: DataFrame, rare: int = 3, frequent: int = 10, most: i
     return pairs.withColumn("c", alone).where("c = 1").select("country", F.col("k").alias("rare"), F.col("f").alias("frequent"), "d")
 
 
+#: Shares of the letters in Spanish and Portuguese names, per mille; others are rarer.
+_SHARES = dict(a=140, e=100, o=90, r=85, n=75, i=75, l=60, s=60, d=50, c=40, t=35, u=35, m=35, b=25, z=20, p=20, g=18, v=15, f=10, h=10, j=8, q=5, y=5, x=3)
+
+
+def _rarest_first(k: str) -> list[str]:
+    """The letters of a skeleton, each with its number among its equals, those first that few skeletons have."""
+    seen: dict[str, int] = {}
+    items = []
+    for c in k:
+        n = seen[c] = seen.get(c, 0) + 1
+        mean = _SHARES.get(c, 1) / 50
+        items.append((mean**n / math.factorial(min(n, 100)), c, n))
+    return [f"{c}{n}" for _, c, n in sorted(items)]
+
+
+def variants_of_frequent(rows: DataFrame, frequent: int = 20, similarity: float = 92, margin: float = 6) -> DataFrame:
+    """(country, rare, frequent, d): every skeleton below ``frequent`` uses that is like one skeleton with as many uses or more.
+
+    The likest one counts if its indel ratio is at least ``similarity`` and ``margin`` above any other frequent
+    skeleton. Short names can't reach the ratio with one edit: if none reaches it, ``rare_to_frequent`` decides,
+    for names of 9 letters and more; shorter ones go by the ratio alone.
+
+    Blocking loses no pair above ``similarity - margin``: for lengths a and m such a pair has at least c letters in
+    common, so the a - c + 1 first and the m - c + 1 first letters of the two, in one order of all letters, share one.
+    """
+    low = similarity - margin
+    n = rows.where(F.col("speaker_raw").isNotNull()).select("country", skeleton(F.col("speaker_raw")).alias("k")).where("k <> ''").groupBy("country", "k").agg(F.count("*").alias("n"))
+
+    def keys(rare: bool):
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                country, name, key = [], [], []
+                for c, k in zip(b.column("country").to_pylist(), b.column("k").to_pylist()):
+                    a, items = len(k), _rarest_first(k)
+                    for m in range(math.floor(a * low / (200 - low)), math.ceil(a * (200 - low) / low) + 1):
+                        least = max(1, math.ceil(low * (a + m) / 200 - 1e-9))
+                        if least <= min(a, m):
+                            found = [f"{a} {m} {x}" if rare else f"{m} {a} {x}" for x in items[: a - least + 1]]
+                            country += [c] * len(found)
+                            name += [k] * len(found)
+                            key += found
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (country, name, key)], names=["country", "k", "key"])
+
+        return run
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s = [indel_ratio(x, y) for x, y in zip(b.column("k").to_pylist(), b.column("f").to_pylist())]
+            out = pa.RecordBatch.from_arrays([b.column("country"), b.column("k"), b.column("f"), pa.array(s, pa.float64())], names=["country", "k", "f", "s"])
+            yield out.filter(pa.array([x > low for x in s], pa.bool_()))
+
+    form = "country string, k string, key string"
+    odd = n.where(F.col("n") < frequent).select("country", "k").mapInArrow(keys(True), form)
+    usual = n.where(F.col("n") >= frequent).select("country", "k").mapInArrow(keys(False), form).withColumnRenamed("k", "f")
+    pairs = odd.join(usual, ["country", "key"]).select("country", "k", "f")
+    scored = pairs.mapInArrow(score, "country string, k string, f string, s double").distinct()
+    w = Window.partitionBy("country", "k").orderBy(F.desc("s"), "f")
+    best = scored.withColumn("place", F.row_number().over(w)).withColumn("second", F.lead("s").over(w)).where((F.col("place") == 1) & (F.col("s") >= similarity))
+    clear = F.coalesce("second", F.lit(0.0)) <= F.col("s") - margin
+    like = best.select("country", F.col("k").alias("rare"), F.col("f").alias("frequent"), F.levenshtein("k", "f").alias("d"), clear.alias("clear"))
+    edited = rare_to_frequent(rows, frequent - 1, frequent).join(like.select("country", "rare"), ["country", "rare"], "left_anti")
+    return like.where("clear").drop("clear").unionByName(edited)
+
+
 def register_duplicates(register: DataFrame) -> DataFrame:
     """(country, a, b, name): different ids whose names have the same three or more tokens, whatever their order."""
     key = F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(fold("speaker_name"), F.lit(r"[\p{L}]{3,}"), F.lit(0)))), " ")

@@ -190,16 +190,23 @@ def tag_lines(texts: DataFrame, marker: str = r"^\s*(?:El|La|O|A)\s+(?:[Ss]r|[Ss
     return g.select("id_int", "turn", "speaker", F.trim(F.array_join(F.transform("l", lambda x: x["said"]), " ")).alias("text"))
 
 
+def common_letters(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer."""
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    every = row = (1 << len(a)) - 1
+    for y in b:
+        hit = row & at.get(y, 0)
+        row = (row + hit | row - hit) & every
+    return len(a) - row.bit_count()
+
+
 def indel_ratio(a: str, b: str) -> float:
     """100 times the share of characters kept by insertions and deletions alone."""
     if not a and not b:
         return 100.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-    return 200.0 * row[-1] / (len(a) + len(b))
+    return 200.0 * common_letters(a, b) / (len(a) + len(b))
 
 
 def token_set_ratio(a: str, b: str) -> float:

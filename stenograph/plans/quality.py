@@ -66,7 +66,7 @@ SELECT country, speaker_raw, first_value(speaker_raw) OVER (PARTITION BY country
 
 
 def speaker_variants(spark, d):
-    return K.rare_to_frequent(turns(spark, d, "country", "speaker_raw"))
+    return K.variants_of_frequent(turns(spark, d, "country", "speaker_raw"))
 
 
 def register_duplicates(spark, d):

@@ -280,6 +280,48 @@ def test_speaker_variants_against_brute_force(spark):
     assert got == want and got
 
 
+def test_every_form_below_the_threshold_is_compared(spark):
+    import random
+
+    from stenograph.operators import quality
+
+    r = random.Random(8)
+    common = ["".join(r.choice("abcdeorn") for _ in range(r.randint(4, 24))) for _ in range(40)]
+    common += [w[:-1] + "y" for w in common[:8]]
+    uses = dict.fromkeys(common, 20)
+    for w in common:
+        for n in (1, 3, 4, 9, 10, 19):
+            at = r.randrange(len(w))
+            uses.setdefault(w[:at] + r.choice(["", "s", w[at] + "l"]) + w[at + 1 :], n)
+    t = spark.createDataFrame([("X", w) for w, n in uses.items() for _ in range(n)] + [("Y", common[0])], "country string, speaker_raw string")
+
+    def lengths(a, b):
+        common, edits = [0] * (len(b) + 1), list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            c, e, edits[0] = 0, edits[0], i
+            for j, y in enumerate(b, 1):
+                c, common[j] = common[j], c + 1 if x == y else max(common[j], common[j - 1])
+                e, edits[j] = edits[j], min(edits[j] + 1, edits[j - 1] + 1, e + (x != y))
+        return 200 * common[-1] / (len(a) + len(b)), edits[-1]
+
+    want = set()
+    for w in (w for w, n in uses.items() if n < 20):
+        near = sorted(((*lengths(w, c), c) for c, n in uses.items() if n >= 20), reverse=True)
+        if near[0][0] >= 92:
+            want |= {("X", w, c, d) for s, d, c in near[:1] if near[1][0] <= s - 6}
+        elif len(one := [(d, c) for _, d, c in near if d <= 2 and min(len(w), len(c)) >= 9]) == 1:
+            want.add(("X", w, one[0][1], one[0][0]))
+    got = {(x["country"], x["rare"], x["frequent"], x["d"]) for x in quality.variants_of_frequent(t).collect()}
+    assert got == want and {uses[w] for _, w, _, _ in want} >= {1, 4, 10, 19}
+
+
+def test_missed_band_of_frequencies(spark):
+    from stenograph.operators import quality
+
+    t = spark.createDataFrame([("BR", "DARZENLANIDN")] * 4 + [("BR", "DARZENLANDIN")] * 20, "country string, speaker_raw string")
+    assert rows(quality.variants_of_frequent(t)) == [("BR", "darzenlanidn", "darzenlandin", 2)]
+
+
 def test_verdicts_and_persons(spark):
     from stenograph.operators import quality
 
