@@ -68,7 +68,7 @@ FROM q l JOIN q p ON l.id_dep = p.id_dep AND l.a < p.b AND l.b > p.a WHERE l.leg
 
 
 def unknown_ids(spark, d):
-    return R.unknown_ids(turns(spark, d, "id_dep"), table(spark, d, "deputies").where("legislature > '60'"))
+    return R.unknown_ids(turns(spark, d, "id_dep"), table(spark, d, "deputies"))
 
 
 def ambiguous_keys(spark, d):

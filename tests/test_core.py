@@ -322,6 +322,15 @@ def test_missed_band_of_frequencies(spark):
     assert rows(quality.variants_of_frequent(t)) == [("BR", "darzenlanidn", "darzenlandin", 2)]
 
 
+def test_unknown_ids_against_the_whole_register(spark, tmp_path):
+    from stenograph.plans import registry
+
+    turns = [("a1", "A", 1), ("a2", "A", 2), ("b1", "B", 3), ("x1", "X", 4), ("x2", "X", 5), ("x2", "X", 6), ("n", None, 7)]
+    spark.createDataFrame(turns, "id_int string, id_dep string, row_n bigint").write.parquet(f"{tmp_path}/interventions.parquet")
+    spark.createDataFrame([("A", "40"), ("B", "61"), (None, "61")], "id_dep string, legislature string").write.parquet(f"{tmp_path}/deputies.parquet")
+    assert rows(registry.queries()["unknown_ids"](spark, str(tmp_path))) == [("X", 2)]
+
+
 def test_verdicts_and_persons(spark):
     from stenograph.operators import quality
 
