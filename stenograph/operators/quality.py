@@ -226,8 +226,9 @@ def header_dates(rows: DataFrame) -> DataFrame:
 
     OK if the commonest printed date is the date (ties to the earliest), DIFFERENT if not, NONE without any.
     """
-    first = F.regexp_extract("text", r"(?m)^.{0,40}?(\d{2}/\d{2}/\d{4})", 1)
-    seen = rows.select("id_session", written_date(first).alias("printed")).where(F.col("printed").isNotNull()).groupBy("id_session", "printed").agg(F.count("*").alias("n"))
+    every = F.regexp_extract_all("text", F.lit(r"(?m)^.{0,40}?(\d{2}/\d{2}/\d{4})"), F.lit(1))
+    found = rows.select("id_session", F.explode(every).alias("found")).groupBy("id_session", "found").agg(F.count("*").alias("n"))
+    seen = found.withColumn("printed", written_date(F.col("found"))).where(F.col("printed").isNotNull())
     usual = seen.groupBy("id_session").agg(F.min_by("printed", F.struct(-F.col("n"), "printed")).alias("printed"))
     s = rows.groupBy("id_session").agg(F.min("date").alias("date"))
     verdict = F.when(F.col("printed").isNull(), "NONE").when(F.col("printed").eqNullSafe(F.col("date")), "OK").otherwise("DIFFERENT")

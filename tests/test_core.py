@@ -331,6 +331,15 @@ def test_unknown_ids_against_the_whole_register(spark, tmp_path):
     assert rows(registry.queries()["unknown_ids"](spark, str(tmp_path))) == [("X", 2)]
 
 
+def test_dates_of_all_page_headers_count(spark):
+    from stenograph.operators import quality
+
+    page = "Diario de la Cámara   {}   Núm. 25\nuno dos\n".format
+    t = [("s", D(2019, 2, 18), page("10/02/2019") + page("18/02/2019") + "x\n" + page("18/02/2019")), ("s", D(2019, 2, 18), None), ("d", D(2019, 2, 18), page("99/02/2019") + page("19/02/2019")), ("n", D(2019, 2, 18), "nada")]
+    df = spark.createDataFrame(t, "id_session string, date date, text string")
+    assert rows(quality.header_dates(df)) == [("d", D(2019, 2, 18), D(2019, 2, 19), "DIFFERENT"), ("n", D(2019, 2, 18), None, "NONE"), ("s", D(2019, 2, 18), D(2019, 2, 18), "OK")]
+
+
 def test_verdicts_and_persons(spark):
     from stenograph.operators import quality
 
