@@ -14,6 +14,10 @@ from ..functions.terms import search_pattern
 from ..functions.text import fold, fold_str, words
 
 
+#: Parts of a country's names when they are matched with its persons.
+SLICES = 16
+
+
 def flat(c: Column) -> Column:
     """White space collapsed to single blanks."""
     return F.trim(F.regexp_replace(c, r"\s+", " "))
@@ -224,17 +228,23 @@ def token_set_ratio(a: str, b: str) -> float:
 def match_names(typed: DataFrame, register: DataFrame, threshold: float = 85, margin: float = 4) -> DataFrame:
     """(country, name, id_dep, score) of typed names whose best person scores enough and clear of the second.
 
-    Names meet persons only through a token they share (blocking); scores are token-set ratios.
+    A name meets every person of its country, so none over the threshold is missed and the margin is tested against
+    all; scores are token-set ratios. The register doesn't grow with the turns; persons are repeated over slices of
+    the names, so that a large country is many keys. Scores that can't matter are dropped at once.
     """
-    tokens = lambda c: F.array_distinct(F.filter(words(c), lambda t: F.length(t) >= 4))
-    left = typed.select("country", "name", F.array_join(words("name"), " ").alias("l"), F.explode(tokens("name")).alias("t"))
-    people = register.where(F.col("speaker_name").isNotNull()).select("country", "id_dep", F.array_join(words("speaker_name"), " ").alias("r"), F.explode(tokens("speaker_name")).alias("t")).distinct()
-    pairs = left.join(people, ["country", "t"]).select("country", "name", "l", "id_dep", "r").distinct()
+    parts = int(typed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    piece = F.pmod(F.xxhash64("name"), F.lit(SLICES))
+    left = typed.where(F.col("name").isNotNull()).select("country", "name", F.array_join(words("name"), " ").alias("l"), piece.alias("piece")).where("l <> ''").distinct()
+    people = register.where(F.col("speaker_name").isNotNull()).select("country", "id_dep", F.array_join(words("speaker_name"), " ").alias("r")).where("r <> ''").distinct()
+    people = people.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SLICES - 1).cast("bigint"))))
+    pairs = left.repartition(parts, "country", "piece").join(people, ["country", "piece"]).select("country", "name", "l", "id_dep", "r")
+    low = threshold - margin
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = [token_set_ratio(x, y) for x, y in zip(b.column("l").to_pylist(), b.column("r").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("country"), b.column("name"), b.column("id_dep"), pa.array(s, pa.float64())], names=["country", "name", "id_dep", "score"])
+            out = pa.RecordBatch.from_arrays([b.column("country"), b.column("name"), b.column("id_dep"), pa.array(s, pa.float64())], names=["country", "name", "id_dep", "score"])
+            yield out.filter(pa.array([x > low for x in s], pa.bool_()))
 
     scored = pairs.mapInArrow(score, "country string, name string, id_dep string, score double").groupBy("country", "name", "id_dep").agg(F.max("score").alias("score"))
     w = Window.partitionBy("country", "name").orderBy(F.desc("score"), "id_dep")

@@ -340,6 +340,20 @@ def test_dates_of_all_page_headers_count(spark):
     assert rows(quality.header_dates(df)) == [("d", D(2019, 2, 18), D(2019, 2, 19), "DIFFERENT"), ("n", D(2019, 2, 18), None, "NONE"), ("s", D(2019, 2, 18), D(2019, 2, 18), "OK")]
 
 
+def test_names_without_an_intact_word_are_matched(spark):
+    people = [("X", "1", "Teresa Roscomendi Zarnabriz"), ("X", "2", "Ana Talcumbosque"), ("X", "3", "Ana Talcumbosquet"), ("Y", "4", "Teresa Roscomendi Zarnabriz"), ("X", "5", None)]
+    register = spark.createDataFrame(people, "country string, id_dep string, speaker_name string")
+    names = [("X", "Teresaa Roscommendi Zarnaabriz"), ("X", "Anna Talcumbosqueta"), ("X", "Otro Nombre"), ("X", "--"), ("X", None)]
+    got = rows(texts.match_names(spark.createDataFrame(names, "country string, name string"), register))
+    # 27 letters and blanks all kept of 30; the second name is too near to two persons
+    assert got == [("X", "Teresaa Roscommendi Zarnaabriz", "1", round(200 * 27 / 57, 3))]
+
+
+def test_a_person_met_by_no_word_counts_for_the_margin(spark):
+    register = spark.createDataFrame([("X", "1", "Marta Talcumbosque"), ("X", "2", "Martaa Talcumbosques")], "country string, id_dep string, speaker_name string")
+    assert rows(texts.match_names(spark.createDataFrame([("X", "Marta Talcumbosqes")], "country string, name string"), register)) == []
+
+
 def test_verdicts_and_persons(spark):
     from stenograph.operators import quality
 
