@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import written_date
 from ..functions.text import fold
+from .asof import flexible_date
 from .texts import indel_ratio
 
 
@@ -198,6 +199,39 @@ def register_duplicates(register: DataFrame) -> DataFrame:
     return p.join(first, ["country", "name"]).where("id_dep <> a").select("country", "a", F.col("id_dep").alias("b"), "name")
 
 
+_SHORT = dict(ma="maria", jo="jose", fco="francisco", fca="francisca", ant="antonio", ml="manuel", mnl="manuel", gmo="guillermo", fdo="fernando", dgo="domingo", mgl="miguel", rfl="rafael", edo="eduardo", alb="alberto", jn="juan")
+_PARTICLES = "de del la las los y vda viuda da do dos das e".split()
+
+
+def register_variants(register: DataFrame, contiguous: int = 730) -> DataFrame:
+    """(country, a, b, kind): different ids whose names share the first three tokens of their core but differ beyond.
+
+    The core is the name without particles, abbreviations written out. ``married``: one name alone has "de" or "vda"
+    before a name, and the cores differ; else ``abbreviation``, also if only written-out abbreviations make the cores
+    equal. Two national ids in the notes that differ tell persons apart, and so do terms more than ``contiguous`` days apart.
+    """
+    national = F.nullif(F.regexp_extract("notes", r"\b(\d{3}-\d{7}-\d|\d{7,11})\b", 1), F.lit(""))
+    first = lambda c: F.min(F.when(c.isNotNull(), F.struct(F.col("reg_n"), c.alias("v"))))["v"]
+    g = register.where(F.col("id_dep").isNotNull()).groupBy("country", "id_dep").agg(
+        first(F.nullif(F.trim("speaker_name"), F.lit(""))).alias("name"), first(national).alias("national"),
+        F.min(flexible_date(F.col("start_date"))).alias("opens"), F.max(flexible_date(F.col("end_date"))).alias("ends"),
+    )
+    tokens = F.filter(F.split(F.regexp_replace(fold("name"), r"[^a-z\s]", " "), r"\s+"), lambda t: t != "")
+    short = F.create_map(*[F.lit(x) for kv in _SHORT.items() for x in kv])
+    p = g.withColumn("tokens", tokens).withColumn("plain", F.filter("tokens", lambda t: ~t.isin(_PARTICLES)))
+    p = p.withColumn("core", F.filter(F.transform("tokens", lambda t: F.coalesce(F.try_element_at(short, t), t)), lambda t: ~t.isin(_PARTICLES)))
+    p = p.withColumn("marked", F.col("name").rlike(r"(?iu)(?<![\p{L}\p{N}_])(?:de|del|vda\.?|viuda)\s+[a-záéíóúñ]")).withColumn("ends", F.coalesce("ends", "opens"))
+    p = p.where(F.size("core") >= 3).withColumn("key", F.array_join(F.slice("core", 1, 3), " ")).withColumn("tokens", F.array_sort(F.array_distinct("tokens")))
+    a, b = [p.select("country", "key", F.struct("id_dep", "national", "opens", "ends", "tokens", "plain", "core", "marked").alias(x)) for x in "ab"]
+    away = F.least(F.abs(F.datediff("b.opens", "a.ends")), F.abs(F.datediff("a.opens", "b.ends")))
+    apart = ((F.col("a.ends") < F.col("b.opens")) | (F.col("b.ends") < F.col("a.opens"))) & (away > contiguous)
+    j = a.join(b, ["country", "key"]).where((F.col("a.id_dep") < F.col("b.id_dep")) & (F.col("a.plain") != F.col("b.plain")))
+    j = j.where(~F.coalesce(F.col("a.national") != F.col("b.national"), F.lit(False)) & ~F.coalesce(apart, F.lit(False)))
+    married = (F.col("a.marked") != F.col("b.marked")) & (F.col("a.core") != F.col("b.core"))
+    kind = F.when(married, "married").when(F.col("a.tokens") != F.col("b.tokens"), "abbreviation")
+    return j.select("country", F.col("a.id_dep").alias("a"), F.col("b.id_dep").alias("b"), kind.alias("kind")).where("kind IS NOT NULL")
+
+
 def adopt_neighbour(rows: DataFrame, within: int = 10) -> DataFrame:
     """(id_int, id_dep): unlinked turns whose letter skeleton is that of exactly one linked speaker at most ``within`` places away in the sitting.
 

@@ -73,6 +73,10 @@ def register_duplicates(spark, d):
     return K.register_duplicates(table(spark, d, "deputies"))
 
 
+def register_variants(spark, d):
+    return K.register_variants(table(spark, d, "deputies"))
+
+
 def adopt_neighbour(spark, d):
     return K.adopt_neighbour(turns(spark, d, "id_session", "id_dep", "speaker_raw"))
 
@@ -100,7 +104,7 @@ s AS (SELECT id_int, theme, count(*) / any_value(size) AS share FROM w JOIN m US
 k AS (SELECT *, row_number() OVER (PARTITION BY id_int ORDER BY share DESC, theme) AS k, lead(share) OVER (PARTITION BY id_int ORDER BY share DESC, theme) AS second FROM s)
 SELECT id_int, theme, round(share, 6) AS share FROM k WHERE k = 1 AND coalesce(second, 0) < share"""
 
-_NAMES = "fingerprint conformity verdicts confidence usual_spelling speaker_variants register_duplicates adopt_neighbour no_person header_dates theme_dominance".split()
+_NAMES = "fingerprint conformity verdicts confidence usual_spelling speaker_variants register_duplicates register_variants adopt_neighbour no_person header_dates theme_dominance".split()
 QUERIES = {name: globals()[name] for name in _NAMES}
 SQL = {
     "fingerprint": _PRINT_SQL,

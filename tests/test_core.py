@@ -354,6 +354,27 @@ def test_a_person_met_by_no_word_counts_for_the_margin(spark):
     assert rows(texts.match_names(spark.createDataFrame([("X", "Marta Talcumbosqes")], "country string, name string"), register)) == []
 
 
+def test_register_variants(spark):
+    from stenograph.operators import quality
+
+    people = [
+        ("X", "1", "Betzaida María Santana Sierra", "2010-01-01", "2014-01-01", None),
+        ("X", "2", "Betzaida María Santana de Báez", "2015-12-01", None, None),
+        ("X", "3", "Betzaida Ma. Santana Sierra", "01/01/2011", "2012-01-01", "céd. 001-1234567-1"),
+        ("X", "4", "Betzaida María Santana Soto", "2011-01-01", "2012-01-01", "céd. 001-1234567-2"),
+        ("X", "5", "Betzaida María Santana Sierra Gil", "2016-02-01", None, None),
+        ("X", "6", "Betzaida Maria Santana y Sierra", "1950-01-01", "1951-01-01", None),
+        ("Y", "7", "Betzaida María Santana Sola", "2011-01-01", "2012-01-01", None),
+        ("X", "8", "Ana Gil", None, None, None),
+        ("X", "9", "Betzaida María Santana", None, None, None),
+    ]
+    df = spark.createDataFrame([(*x, n) for n, x in enumerate(people)], "country string, id_dep string, speaker_name string, start_date string, end_date string, notes string, reg_n bigint")
+    got = {(a, b): k for _, a, b, k in rows(quality.register_variants(df))}
+    short = {("1", "3"), ("1", "4"), ("1", "9"), ("3", "9"), ("4", "9"), ("5", "9"), ("6", "9")}
+    # 1 and 5, 3 and 2 are too far apart; 3 and 4 have two national ids; 1 and 6 are one spelling
+    assert got == dict.fromkeys(short, "abbreviation") | {("1", "2"): "married", ("2", "5"): "married", ("2", "9"): "married"}
+
+
 def test_verdicts_and_persons(spark):
     from stenograph.operators import quality
 
