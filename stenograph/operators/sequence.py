@@ -99,13 +99,21 @@ def normal_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "))
 
 
-def doubled_sessions(rows: DataFrame, least_chars: int = 80, least_repeated: int = 2, least_share: float = 0.05) -> DataFrame:
-    """Sittings in which many long texts stand exactly twice: (id_session, n_rows, repeated, twice)."""
-    key = F.substring(normal_text(F.col("text")), 1, 200)
-    long = rows.where(F.length("text") >= least_chars).select("id_session", key.alias("k"))
-    per = long.groupBy("id_session", "k").agg(F.count("*").alias("n"))
-    s = per.groupBy("id_session").agg(F.sum("n").alias("n_rows"), F.count_if(F.col("n") > 1).alias("repeated"), F.count_if(F.col("n") == 2).alias("twice"))
-    return s.where((F.col("repeated") >= least_repeated) & (F.col("repeated") >= F.col("n_rows") * least_share))
+def doubled_sessions(rows: DataFrame, least_chars: int = 80, least_repeated: int = 20, least_twice: float = 0.7, least_share: float = 0.25) -> DataFrame:
+    """Sittings in which many long texts stand exactly twice: (id_session, n_rows, repeated, twice).
+
+    A sitting is doubled if ``least_repeated`` different whole texts stand several times in it, ``least_twice`` of them
+    exactly twice, and the copies beyond the first are ``least_share`` of all its rows; ``n_rows`` counts the long ones.
+    """
+    key = F.when(F.length("text") >= least_chars, F.md5(normal_text(F.col("text"))))
+    per = rows.select("id_session", key.alias("k")).groupBy("id_session", "k").agg(F.count("*").alias("n"))
+    long = F.col("k").isNotNull()
+    s = per.groupBy("id_session").agg(
+        F.sum(F.when(long, F.col("n"))).alias("n_rows"), F.count_if(long & (F.col("n") > 1)).alias("repeated"), F.count_if(long & (F.col("n") == 2)).alias("twice"),
+        F.sum(F.when(long, F.col("n") - 1)).alias("extra"), F.sum("n").alias("every"),
+    )
+    kept = (F.col("repeated") >= least_repeated) & (F.col("twice") >= F.col("repeated") * least_twice) & (F.col("extra") >= F.col("every") * least_share)
+    return s.where(kept).drop("extra", "every")
 
 
 def keep_best(rows: DataFrame, least_chars: int = 80) -> DataFrame:

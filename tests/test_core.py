@@ -375,6 +375,17 @@ def test_register_variants(spark):
     assert got == dict.fromkeys(short, "abbreviation") | {("1", "2"): "married", ("2", "5"): "married", ("2", "9"): "married"}
 
 
+def test_doubled_sessions(spark):
+    opening = "señor presidente pido la palabra " * 10
+    doubled = [("d", f"{opening} asunto {k}") for k in range(25) for _ in range(2)] + [("d", "sí")] * 50
+    speeches = [("o", f"{opening} asunto {k}") for k in range(50)] + [("o", f"{'x' * 90} {k}") for k in range(3) for _ in range(2)]
+    formula = [("f", f"{opening} {k}") for k in range(3) for _ in range(30)]
+    many = [("m", f"{opening} {k}") for k in range(25) for _ in range(3)]
+    thin = [("t", f"{opening} {k}") for k in range(25) for _ in range(2)] + [("t", "sí")] * 51
+    df = spark.createDataFrame(doubled + speeches + formula + many + thin, "id_session string, text string")
+    assert rows(sequence.doubled_sessions(df)) == [("d", 50, 25, 25)]
+
+
 def test_verdicts_and_persons(spark):
     from stenograph.operators import quality
 
