@@ -51,14 +51,17 @@ THAI_MORE = ("และ", "หรือ", "แต่", "ว่า", "เพื
 QUOTE_MORE = ("と", "って", "とは", "は", "が", "を", "に", "の", "も", "で", "など", "という", "然后", "随后", "接着", "说", "道", "表示", "问", "答", "的", "和", "与", "而", "後", "後に")
 
 # The characters of the standard's classes, taken from the Unicode database of the regex module.
-_PLANE = [chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF]
-_STERM = "".join(c for c in _PLANE if regex.match(r"\p{Sentence_Break=STerm}", c))
-_ATERM = "".join(c for c in _PLANE if regex.match(r"\p{Sentence_Break=ATerm}", c))
+_ALL = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
+_EVERY = "".join(regex.findall(r"[\p{Sentence_Break=STerm}\p{Sentence_Break=ATerm}]", _ALL))
+_TERM = "".join(c for c in _EVERY if c <= "\uffff")
+#: Terminators that need no blank behind them: those of scripts that set none between words, and some that are often set close.
+_CLOSE = {*"।॥።။៕۔"} | {c for c in _EVERY if regex.match(r"[\p{Khmer}\p{Myanmar}\p{Balinese}\p{Javanese}\p{Tai_Tham}\p{Cham}\p{Brahmi}\p{Ahom}]", c)}
 _WIDE = "。！？｡．"
 _PAIRS = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“", "‹": "›", "「": "」", "『": "』", "（": "）", "【": "】", "〈": "〉", "《": "》", "〔": "〕", "［": "］", "‚": "‘"}
 _CLOSERS = "".join(dict.fromkeys([*_PAIRS.values(), '"', "'", "’"]))
 _OPENING = "¿¡«“„\"'‘‹([{「『（【〈《—–―-•*"
-_RUN = re.compile(rf"([{re.escape(_STERM + _ATERM)}…;;]+)([{re.escape(_CLOSERS)}]*)(\s*)")
+_RUN = re.compile(rf"([{re.escape(_TERM)}…;;]+)([{re.escape(_CLOSERS)}]*)(\s*)")
+_RUN_EVERY = re.compile(rf"([{re.escape(_EVERY)}…;;]+)([{re.escape(_CLOSERS)}]*)(\s*)")  # slower, for texts beyond the first plane
 _MARKS = re.compile("[" + re.escape("".join({*_PAIRS, *_PAIRS.values(), '"'})) + "]")
 _PARAGRAPH = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+| ")
 _BEFORE = re.compile(r"[^\s«»\"“”„()\[\]{}¿¡—–,;:/]+\Z")
@@ -165,7 +168,8 @@ def _within(text: str) -> list[int]:
     out = [start]
     spans = _protected(text) if _MARKS.search(text) else []
     k = 0
-    for m in _RUN.finditer(text, start):
+    run_of = _RUN if max(text) <= "\uffff" else _RUN_EVERY
+    for m in run_of.finditer(text, start):
         run, closers, space = m.groups()
         after = m.end()
         if after >= len(text):
@@ -192,7 +196,7 @@ def _within(text: str) -> list[int]:
             out.append(after)
             continue
         if not space:
-            if not (run[-1] in "।॥።။៕۔" and first.isalpha()):
+            if not (run[-1] in _CLOSE and first.isalpha()):
                 continue
         if all(c in ";;" for c in run):  # the Greek question mark
             if not ("Ͱ" <= text[position - 1] <= "Ͽ" or "ἀ" <= text[position - 1] <= "῿") or not _upper_next(following):

@@ -308,6 +308,11 @@ def test_sentences(text, units):
     assert [text[a : found[k + 1] if k + 1 < len(found) else len(text)].strip() for k, a in enumerate(found)] == units
 
 
+@pytest.mark.parametrize("text,starts", [("ខ្ញុំទៅ។គាត់មក។", [0, 8]), ("𑀅𑀲𑁇 𑀓𑀮𑁇 𑀅", [0, 4, 8]), ("𑀅𑀲𑁇𑀓𑀮", [0, 3]), ("𑄇𑅁 𑄈", [0, 3]), ("Hola. 😀 Adiós. Sí", [0, 6, 15])])
+def test_sentences_of_scripts_beyond_the_first_plane_or_without_blanks(text, starts):
+    assert sentences.boundaries(text) == starts
+
+
 def test_sentences_of_odd_texts(spark):
     for odd in ("(" * 5000, '"' * 4001, "a. " * 20000, "«" + "B. " * 3000, ".\n\n.\n\n!?", "​﻿", "x" * 100_000):
         sentences.boundaries(odd)
