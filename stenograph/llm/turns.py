@@ -122,8 +122,8 @@ UNKNOWN = 3.0
 def resolve_labels(labels: DataFrame, register: DataFrame) -> DataFrame:
     """(id_session, label, id_dep) of labels that an optimal assignment links to the register.
 
-    ``labels``: distinct (id_session, country, label). The roster of the country, gathered across all
-    transcripts, is blocked by the sound of its surnames; within a sitting each distinct name is
+    ``labels``: distinct (id_session, country, label). The roster is the country's register alone (persons
+    outside it have no entry), blocked by the sound of its surnames; within a sitting each distinct name is
     assigned to at most one person so that the total of edits is least, a name being left alone where
     that is cheaper or where two persons fit it equally. Names that say less than a surname stay null.
     A sitting's distinct labels form the group, so its size doesn't grow with the corpus.
