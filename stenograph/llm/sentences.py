@@ -50,29 +50,104 @@ THAI_MORE = ("และ", "หรือ", "แต่", "ว่า", "เพื
 #: What carries a sentence on behind a closing quotation mark in Chinese and Japanese.
 QUOTE_MORE = ("と", "って", "とは", "は", "が", "を", "に", "の", "も", "で", "など", "という", "然后", "随后", "接着", "说", "道", "表示", "问", "答", "的", "和", "与", "而", "後", "後に")
 
+#: Lao words that carry a sentence on behind a blank.
+LAO_MORE = ("ແລະ", "ຫຼື", "ແຕ່", "ວ່າ", "ເພື່ອ", "ຊຶ່ງ", "ໂດຍ", "ເພາະ", "ໃຫ້", "ຄົນ", "ປີ", "ວັນ", "ໆ")
+
 # The characters of the standard's classes, taken from the Unicode database of the regex module.
 _ALL = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF)
-_EVERY = "".join(regex.findall(r"[\p{Sentence_Break=STerm}\p{Sentence_Break=ATerm}]", _ALL))
-_TERM = "".join(c for c in _EVERY if c <= "\uffff")
-#: Terminators that need no blank behind them: those of scripts that set none between words, and some that are often set close.
-_CLOSE = {*"।॥።။៕۔"} | {c for c in _EVERY if regex.match(r"[\p{Khmer}\p{Myanmar}\p{Balinese}\p{Javanese}\p{Tai_Tham}\p{Cham}\p{Brahmi}\p{Ahom}]", c)}
-_WIDE = "。！？｡．"
+_STERM, _ATERM, _CONTINUE = (frozenset(regex.findall(rf"\p{{Sentence_Break={c}}}", _ALL)) for c in ("STerm", "ATerm", "SContinue"))
+_STANDARD = _STERM | _ATERM
+#: Added to the standard's terminators: the ellipsis, the Greek question mark as typed, the Tibetan shads.
+_SHADS = frozenset("།༎༏༑")
+_ADDED = frozenset("…;;") | _SHADS
+#: Dashes open speech in many languages, so behind a blank they don't carry a sentence on as the standard has it.
+_DASHES = frozenset("-–—")
+#: Terminators that need no blank behind them: those of one script alone, and the dandas several scripts share.
+_CLOSE = {c for c in _STERM if not regex.match(r"\p{Script=Common}", c)} | {*"।॥"}
+_WIDE = frozenset("。！？｡．")
 _PAIRS = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“", "‹": "›", "「": "」", "『": "』", "（": "）", "【": "】", "〈": "〉", "《": "》", "〔": "〕", "［": "］", "‚": "‘"}
-_CLOSERS = "".join(dict.fromkeys([*_PAIRS.values(), '"', "'", "’"]))
+_CLOSED_BY = {c: [a for a, b in _PAIRS.items() if b == c] for c in _PAIRS.values()}
 _OPENING = "¿¡«“„\"'‘‹([{「『（【〈《—–―-•*"
-_RUN = re.compile(rf"([{re.escape(_TERM)}…;;]+)([{re.escape(_CLOSERS)}]*)(\s*)")
-_RUN_EVERY = re.compile(rf"([{re.escape(_EVERY)}…;;]+)([{re.escape(_CLOSERS)}]*)(\s*)")  # slower, for texts beyond the first plane
+
+
+def _class(chars: Iterable[str], most: str = "\uffff") -> str:
+    return "[" + "".join(re.escape(c) for c in sorted(chars) if c <= most) + "]"
+
+
+# A class within the first plane compiles to a table; the other is slower, for texts beyond it.
+_RUNS = {(tailored, far): re.compile(_class(_STANDARD | _ADDED if tailored else _STANDARD, "\U0010ffff" if far else "\uffff") + "+") for tailored in (False, True) for far in (False, True)}
+_EXTEND = r"[\p{Sentence_Break=Extend}\p{Sentence_Break=Format}]*+"
+#: Closing marks, then blanks; a single line break is a blank here.
+_TAIL = regex.compile(rf"{_EXTEND}((?:\p{{Sentence_Break=Close}}{_EXTEND})*+)((?:[\p{{Sentence_Break=Sp}}\p{{Sentence_Break=Sep}}\r\n]{_EXTEND})*+)")
+_BARRED = r"\p{Sentence_Break=OLetter}\p{Sentence_Break=Upper}\p{Sentence_Break=Lower}\p{Sentence_Break=Sep}\r\n\p{Sentence_Break=STerm}\p{Sentence_Break=ATerm}"
+_LOWER_AHEAD = {False: regex.compile(rf"[^{_BARRED}]*+\p{{Sentence_Break=Lower}}"), True: regex.compile(rf"[^{_BARRED}\p{{Sentence_Break=Numeric}}]*+\p{{Sentence_Break=Lower}}")}
+_NUMERIC = regex.compile(r"\p{Sentence_Break=Numeric}")
+_UPPER = regex.compile(r"\p{Sentence_Break=Upper}")
+_CASED = regex.compile(r"[\p{Sentence_Break=Upper}\p{Sentence_Break=Lower}]")
+_SKIPPED = regex.compile(r"[\p{Sentence_Break=Extend}\p{Sentence_Break=Format}]")
 _MARKS = re.compile("[" + re.escape("".join({*_PAIRS, *_PAIRS.values(), '"'})) + "]")
-_PARAGRAPH = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+| ")
-_BEFORE = re.compile(r"[^\s«»\"“”„()\[\]{}¿¡—–,;:/]+\Z")
-_THAI_GAP = re.compile(r"(?:(?<=[฀-๿0-9)\]\"”])|(?<=น\.))\s+(?=[฀-๿\"“(])")
+_PARAGRAPH = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+|\u2029")
+_DELIMITERS = frozenset("«»\"“”„()[]{}¿¡—–,;:/")
+_UNSPACED = re.compile("[\u0e00-\u0eff]")  # Thai and Lao
+_GAP = re.compile(r"(?:(?<=[\u0e00-\u0eff0-9)\]\"”])|(?<=น\.))\s+(?=[\u0e00-\u0eff\"“(])")
 _ROMAN = re.compile(r"[IVXLCDM]+(?:\b|[.,])")
-_WORDISH = re.compile(r"[^\s.,;:!?…()\"«»“”]+")
+_LETTER = re.compile(r"[^\W_]")
+_SHORT = re.compile(r"[^\W\d_]{1,3}\.")
+
+
+def standard_breaks(text: str, begin: int = 0, tailored: bool = True) -> Iterator[tuple[int, int, int, int]]:
+    """(first, behind, closed, next) of every break of rules SB5 to SB11 of Unicode's sentence segmentation.
+
+    ``text[first:behind]`` are the terminators, closing marks reach to ``closed``, blanks to ``next``, where
+    the break is. Rules SB3 and SB4 (line and paragraph separators) are the caller's: a separator counts as
+    a blank here. Tailored, the ellipsis, the Greek question mark and the Tibetan shads are terminators too,
+    a number may open a sentence (SB8), and so may a dash behind a blank (SB8a).
+    """
+    ahead = _LOWER_AHEAD[tailored]
+    for m in _RUNS[tailored, max(text, default="") > "\uffff"].finditer(text, begin):
+        first, behind = m.span()
+        tail = _TAIL.match(text, behind)
+        closed, after = tail.end(1), tail.end()
+        if after >= len(text):
+            return
+        c, last = text[after], text[behind - 1]
+        if c in _STANDARD or c in _CONTINUE and not (tailored and c in _DASHES and after > closed):  # SB8a
+            continue
+        if last in _ATERM or tailored and last == "…":
+            if not _TAIL.match(text, behind).group(1) and after == closed:
+                if _NUMERIC.match(c):  # SB6
+                    continue
+                k = behind - 2
+                while k >= 0 and _SKIPPED.match(text[k]):
+                    k -= 1
+                if k >= 0 and _CASED.match(text[k]) and _UPPER.match(c):  # SB7
+                    continue
+            if ahead.match(text, after):  # SB8
+                continue
+        yield first, behind, closed, after  # SB9 to SB11
+
+
+def standard_sentences(text: str) -> list[str]:
+    """The sentences of the standard's own rules, separators (SB3, SB4) included; nothing tailored."""
+    out = []
+    for part in regex.findall(r"[^\r\n\p{Sentence_Break=Sep}]*(?:\r\n|[\r\n\p{Sentence_Break=Sep}])|[^\r\n\p{Sentence_Break=Sep}]+", text):
+        at = 0
+        for *_, after in standard_breaks(part, 0, False):
+            if part[after] not in "\r\n\x85\u2028\u2029":
+                out.append(part[at:after])
+                at = after
+        out.append(part[at:])
+    return out
 
 
 def _protected(text: str) -> list[tuple[int, int]]:
-    """Outermost (open, close) of the paired brackets and quotation marks; unpaired ones count for nothing."""
+    """Outermost (open, close) of the paired brackets and quotation marks; unpaired ones count for nothing.
+
+    One sweep: the open marks lie on a stack, with the places of each kind beside it, so a closing mark
+    finds its partner at once and every mark is pushed and popped at most once.
+    """
     stack: list[tuple[str, int]] = []
+    places: dict[str, list[int]] = {}
     spans: list[tuple[int, int]] = []
     straight = [m.start() for m in re.finditer('"', text)]
     pairs = dict(zip(straight[::2], straight[1::2])) if len(straight) > 1 else {}
@@ -82,12 +157,13 @@ def _protected(text: str) -> list[tuple[int, int]]:
             if at in pairs:
                 spans.append((at, pairs[at]))
             continue
-        closes = [k for k in range(len(stack) - 1, -1, -1) if _PAIRS[stack[k][0]] == c]
-        if closes and (c not in _PAIRS or stack[closes[0]][0] == "„" or c not in "“"):
-            opened = stack[closes[0]][1]
-            del stack[closes[0] :]
-            spans.append((opened, at))
+        partner = max((places[a][-1] for a in _CLOSED_BY.get(c, ()) if places.get(a)), default=-1)
+        if partner >= 0:
+            spans.append((stack[partner][1], at))
+            while len(stack) > partner:
+                places[stack.pop()[0]].pop()
         elif c in _PAIRS:
+            places.setdefault(c, []).append(len(stack))
             stack.append((c, at))
     spans.sort()
     outer: list[tuple[int, int]] = []
@@ -95,25 +171,34 @@ def _protected(text: str) -> list[tuple[int, int]]:
         if not outer or a > outer[-1][1]:
             outer.append((a, b))
         elif b > outer[-1][1]:
-            outer[-1] = (outer[-1][0], max(b, outer[-1][1]))
+            outer[-1] = (outer[-1][0], b)
     return outer
 
 
-def _ends_at_dot(text: str, at: int, following: str) -> bool:
-    """Whether the dot at ``at`` ends a sentence although ``following``, not in lower case, comes next."""
-    before = _BEFORE.search(text, max(0, at - 40), at)
-    if not before:
+def _token_start(text: str, end: int, start: int) -> int:
+    """Where the run of characters that ends at ``end`` and holds no blank or delimiter begins."""
+    while end > start and text[end - 1] not in _DELIMITERS and not text[end - 1].isspace():
+        end -= 1
+    return end
+
+
+def _ends_at_dot(text: str, at: int, following: int, start: int) -> bool:
+    """Whether the dot at ``at`` ends a sentence although what stands at ``following``, not in lower case, comes next."""
+    begin = _token_start(text, at, start)
+    if begin == at:
         return True
-    token = before.group().strip(".'’·")
+    token = text[begin:at].strip(".'’·")
     low = token.lower()
     if "'" in low or "’" in low:
         low = re.split(r"['’]", low)[-1]
-    number = following[0].isdigit() or bool(_ROMAN.match(following))
-    previous = _BEFORE.search(text, max(0, before.start() - 30), len(text[: before.start()].rstrip()))
-    prior = previous.group().strip(".'’").lower() if previous else ""
-    dotted = bool(previous) and previous.group().endswith(".") or "." in low
-    if dotted:
-        first, last = (low.rsplit(".", 1) if "." in low else (prior, low))
+    number = text[following].isdigit() or bool(_ROMAN.match(text, following))
+    end = begin
+    while end > start and text[end - 1].isspace():
+        end -= 1
+    previous = text[_token_start(text, end, start) : end]
+    prior = previous.strip(".'’").lower()
+    if previous.endswith(".") or "." in low:
+        first, last = low.rsplit(".", 1) if "." in low else (prior, low)
         first = first.rsplit(".", 1)[-1]
         if (first, last) in COMPOUND_END:
             return not number
@@ -121,7 +206,7 @@ def _ends_at_dot(text: str, at: int, following: str) -> bool:
             return False
     if number and (low in NUMBERED or low in TITLES):
         return False
-    if token.isupper() and len(token) <= 3 and re.match(r"[^\W\d_]{1,3}\.", following) and following[:2].isupper():
+    if token.isupper() and len(token) <= 3 and _SHORT.match(text, following) and text[following : following + 2].isupper():
         return False  # the first half of a doubled abbreviation
     if low in CLOSING and (len(low) > 1 or prior[-1:].isdigit()):
         return True
@@ -133,22 +218,19 @@ def _ends_at_dot(text: str, at: int, following: str) -> bool:
         return bool(re.search(r"\d$", prior))
     if len(token) == 1 and token.isalpha():
         return not token.isupper() and token.islower() and prior[-1:].isdigit()
-    if token.isdigit():
-        if not text[: before.start()].strip() and len(token) <= 3:
-            return False  # the number of an item
-        if len(token) <= 3 and (prior in BEFORE_ORDINAL):
-            return False
+    if token.isdigit() and len(token) <= 3:
+        return end > start and prior not in BEFORE_ORDINAL  # the number of an item, an ordinal
     return True
 
 
 def boundaries(text: str | None) -> list[int]:
     """Offset of the first character of every sentence, opening marks included.
 
-    The standard's sentence terminators of all scripts are candidates. A blank line ends a sentence,
-    a single line break is a blank. Terminators inside paired quotation marks or brackets end nothing,
+    The breaks of Unicode's sentence segmentation (``standard_breaks``), tailored: a blank line ends a
+    sentence, a single line break is a blank. Breaks inside paired quotation marks or brackets end nothing,
     unless the closing mark follows at once and a new sentence begins behind it. A dot after an
-    abbreviation, initial, ordinal or inside a number ends nothing. Thai sentences end at blanks that
-    don't belong to a number or a carried-on clause. Null and blank texts have no sentence.
+    abbreviation, initial or ordinal ends nothing. Thai and Lao sentences end at blanks that don't belong
+    to a number or a carried-on clause. Null and blank texts have no sentence. Time is linear in the text.
     """
     if not text or text.isspace():
         return []
@@ -167,46 +249,44 @@ def _within(text: str) -> list[int]:
     start = len(text) - len(text.lstrip())
     out = [start]
     spans = _protected(text) if _MARKS.search(text) else []
-    k = 0
-    run_of = _RUN if max(text) <= "\uffff" else _RUN_EVERY
-    for m in run_of.finditer(text, start):
-        run, closers, space = m.groups()
-        after = m.end()
-        if after >= len(text):
-            break
-        position = m.start()
+    k, seen, letter = 0, -1, ""
+    for position, behind, closed, after in standard_breaks(text, start):
+        run, space = text[position:behind], after > closed
+        closers = closed > behind
         while k < len(spans) and spans[k][1] < position:
             k += 1
         quoted = False
         if k < len(spans) and spans[k][0] < position:
-            close = spans[k][1]
-            if not closers or close >= position + len(run) + len(closers):
+            if not closers or spans[k][1] >= closed:
                 continue
             quoted = True
-        elif closers and not quoted:
+        elif closers:
             # a mark that opens something behind the terminator isn't a closer
-            opening = next((s[0] for s in spans[k:] if position < s[0] < after), None)
-            if opening is not None:
-                after, closers, space = opening, text[position + len(run) : opening].strip(), text[position + len(run) : opening]
-        following = text[after:]
-        first = following[0]
-        if any(c in _WIDE for c in run):
-            if quoted and following.startswith(QUOTE_MORE) or first in "，、；：,;:）」』”":
-                continue
-            out.append(after)
+            j = k
+            while j < len(spans) and spans[j][0] < behind:
+                j += 1
+            if j < len(spans) and spans[j][0] < closed:
+                after = spans[j][0]
+                closers, space = bool(text[behind:after].strip()), text[behind:after] != ""
+        first = text[after]
+        if not _WIDE.isdisjoint(run):
+            if not (quoted and text.startswith(QUOTE_MORE, after) or first in "，、；：,;:）」』”"):
+                out.append(after)
             continue
-        if not space:
-            if not (run[-1] in _CLOSE and first.isalpha()):
-                continue
-        if all(c in ";;" for c in run):  # the Greek question mark
-            if not ("Ͱ" <= text[position - 1] <= "Ͽ" or "ἀ" <= text[position - 1] <= "῿") or not _upper_next(following):
-                continue
-            out.append(after)
+        if not _SHADS.isdisjoint(run):
+            if space:
+                out.append(after)
+            continue
+        if not space and not (run[-1] in _CLOSE and first.isalpha()):
             continue
-        letter = next((c for c in following[:12] if c.isalnum()), "")
-        if not letter or first in ",;:)]}»”%" or first in ".!?…" :
+        if seen < after:  # the next letter or digit, looked up once for all breaks before it
+            found = _LETTER.search(text, after)
+            seen, letter = (found.start(), found.group()) if found else (len(text), "")
+        if all(c in ";;" for c in run):  # the Greek question mark
+            if ("Ͱ" <= text[position - 1] <= "Ͽ" or "ἀ" <= text[position - 1] <= "῿") and (letter.isupper() or letter.isdigit()):
+                out.append(after)
             continue
-        if letter.islower():
+        if not letter or letter.islower() or first in ",;:)]}»”%.!?…":
             continue
         run = run.strip(";;")
         if set(run) <= {".", "…", "‥", "․"} and (len(run) > 1 or run in "…‥"):
@@ -214,26 +294,34 @@ def _within(text: str) -> list[int]:
                 out.append(after)
             continue
         if run == "." and not closers:
-            rest = following.lstrip(_OPENING)
-            if first not in _OPENING and rest and not _ends_at_dot(text, position, rest):
+            rest = after
+            while rest < len(text) and text[rest] in _OPENING:
+                rest += 1
+            if rest == after and not _ends_at_dot(text, position, rest, start):
                 continue
-            if first in _OPENING and first in "([" and letter.isdigit():
+            if first in "([" and letter.isdigit():
                 continue
         out.append(after)
-    if any("฀" <= c <= "๿" for c in text):
-        for m in _THAI_GAP.finditer(text):
-            if any(a < m.start() < b for a, b in spans) or text.startswith(THAI_MORE, m.end()):
-                continue
-            if "ๆ" == text[m.start() - 1] or not re.search("[฀-๿]", text[max(0, m.start() - 25) : m.start()]):
-                continue
-            out.append(m.end())
-        out = sorted(set(out))
+    if _UNSPACED.search(text):
+        out = sorted({*out, *_blank_breaks(text, spans)})
     return out
 
 
-def _upper_next(following: str) -> bool:
-    letter = next((c for c in following[:12] if c.isalnum()), "")
-    return letter.isupper() or letter.isdigit()
+def _blank_breaks(text: str, spans: list[tuple[int, int]]) -> Iterator[int]:
+    """Breaks at the blanks of scripts that set blanks between sentences and clauses only (Thai, Lao)."""
+    k, done, own = 0, 0, False
+    for m in _GAP.finditer(text):
+        for c in reversed(text[done : m.start()]):
+            if c.isalpha():
+                own = bool(_UNSPACED.match(c))  # whether the last letter so far is of such a script
+                break
+        done = m.start()
+        while k < len(spans) and spans[k][1] <= m.start():
+            k += 1
+        if k < len(spans) and spans[k][0] < m.start() or not own:
+            continue
+        if text[m.start() - 1] not in "ๆໆ" and not text.startswith(THAI_MORE, m.end()) and not text.startswith(LAO_MORE, m.end()):
+            yield m.end()
 
 
 def sentences(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
