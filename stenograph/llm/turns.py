@@ -13,28 +13,80 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from ..sources.tables import one_per_key, table
 from .names import edits, given_fit, name_part, persons
-from .pieces import pieces, strip_pieces
+from .pieces import candidates, note_form, strip_pieces
 from .terms import speech_rows
 
 
-def marked_pieces(rows: DataFrame, key: str = "id_int", text: str = "text") -> DataFrame:
-    """(key, kind, start_char, end_char) of every piece that isn't speech of the turn.
+#: A remark's form is judged by its uses if it has this share of all remarks in brackets, and LEAST_USES; so at
+#: most 1 / FORM_SHARE forms are judged, which bounds what is sent to executors. Others go by their words.
+FORM_SHARE = 1 / 20_000
+LEAST_USES = 5
+#: Sittings a form or a name must come from to count as recurring.
+LEAST_SITTINGS = 3
+#: Share of a form's uses that must be set off from the sentence if it is a note.
+SET_OFF = 0.9
 
-    One row per piece; null and empty texts give none; copies of a key give their pieces once.
+_CANDIDATES = "id_session string, country string, id_int string, kind string, start_char bigint, end_char bigint, sure int, set_off boolean, form string, label string"
+
+
+def doubtful_pieces(rows: DataFrame) -> DataFrame:
+    """Everything that may not be speech of the turn, with what decides the doubtful ones; stored, copies once.
+
+    ``rows``: id_session, country, id_int, text. One pass over the texts; only pieces go on from here.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, kinds, starts, ends = [], [], [], []
-            for identity, value in zip(batch.column(key).to_pylist(), batch.column(text).to_pylist()):
-                for a, b, kind in pieces(value):
-                    ids.append(identity)
-                    kinds.append(kind)
-                    starts.append(a)
-                    ends.append(b)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], names=[key, "kind", "start_char", "end_char"])
-
-    return rows.select(key, text).where(F.col(text).isNotNull()).mapInArrow(run, f"`{key}` string, kind string, start_char bigint, end_char bigint").distinct()
+            out: list[list] = [[] for _ in range(8)]
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                for a, b, kind, sure, evidence in candidates(text):
+                    label = evidence if kind in ("label", "bracket") else None
+                    form = note_form(evidence) if kind == "bracket" else evidence if kind == "sound" else None
+                    off = None if form is None else not form.startswith(" ")
+                    for c, v in zip(out, (row, kind, a, b, sure, off, form and form.strip(), label)):
+                        c.append(v)
+            at = pa.array(out[0], pa.int64())
+            own = [batch.column(c).take(at) for c in ("id_session", "country", "id_int")]
+            types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays(own + [pa.array(x, t) for x, t in zip(out[1:], types)], names=[f.split()[0] for f in _CANDIDATES.split(", ")])
+
+    found = rows.select("id_session", "country", "id_int", "text").where(F.col("text").isNotNull()).mapInArrow(run, _CANDIDATES)
+    return materialize(found.distinct(), "piece-candidates")
+
+
+def note_forms(found: DataFrame) -> DataFrame:
+    """(form, is_note) of the remarks in brackets that recur: notes stand between sentences in nearly all uses, and
+    in several sittings; asides, references and places stand within them. At most 1 / FORM_SHARE rows."""
+    uses = found.where(F.col("form").isNotNull())
+    total = uses.count()
+    per_sitting = uses.groupBy("form", "id_session").agg(F.count("*").alias("n"), F.count_if("set_off").alias("off"))
+    forms = per_sitting.groupBy("form").agg(F.sum("n").alias("n"), F.sum("off").alias("off"), F.count("*").alias("sittings"))
+    kept = forms.where((F.col("n") >= max(LEAST_USES, total * FORM_SHARE)) & (F.col("sittings") >= LEAST_SITTINGS))
+    return kept.select("form", (F.col("off") >= F.col("n") * SET_OFF).alias("is_note"))
+
+
+def marked_pieces(rows: DataFrame, register: DataFrame) -> DataFrame:
+    """(id_int, kind, start_char, end_char) of every piece that isn't speech of the turn.
+
+    ``rows``: id_session, country, id_int, speaker_raw, id_dep, text. Stamps, fillers and what is plainly a label or
+    a note are decided by the text; a remark in brackets by how its form is used in the whole corpus; a line that
+    merely opens with a name, and a name in square brackets, by whether ``resolve_labels`` finds somebody in the
+    roster whom it fits.
+    One row per piece; null and empty texts give none; copies of a key give their pieces once.
+    """
+    found = doubtful_pieces(rows)
+    asked = found.where(F.col("label").isNotNull())
+    known = materialize(resolve_labels(asked.select("id_session", "country", "label").distinct(), register, typed_names(rows, plain_labels(found))).select("id_session", "label", F.lit(True).alias("resolved")), "piece-labels")
+    doubtful = found.where((F.col("sure") < 2) & F.col("kind").isin("label", "bracket")).join(known, ["id_session", "label"], "left")
+    plain = found.where((F.col("sure") == 2) | (F.col("kind") == "sound")).withColumn("resolved", F.lit(False))
+    judged = plain.unionByName(doubtful).join(F.broadcast(note_forms(found)), "form", "left")  # bounded by FORM_SHARE
+    resolved, note = F.coalesce("resolved", F.lit(False)), F.coalesce("is_note", F.col("sure") == 1)
+    kind = (
+        F.when((F.col("kind") == "bracket") & resolved, "label")
+        .when(F.col("kind") == "bracket", F.when(note, "sound").otherwise("label"))
+        .when((F.col("sure") == 2) | (F.col("kind") == "sound") & note | (F.col("kind") == "label") & resolved, F.col("kind"))
+    )
+    return judged.select("id_int", kind.alias("kind"), "start_char", "end_char").where(F.col("kind").isNotNull())
 
 
 _SECONDS = re.compile(r"(\d{1,2})\D(\d{2})(?:\D(\d{2}))?")
@@ -45,29 +97,38 @@ def _clock(stamp: str) -> int | None:
     return int(m[1]) * 3600 + int(m[2]) * 60 + int(m[3] or 0) if m and int(m[1]) < 24 else None
 
 
-def segments(rows: DataFrame) -> DataFrame:
-    """Rows cut at the labels in their text: (id_session, id_int, row_order, segment, label, text, clock).
+def segments(rows: DataFrame, notes: dict[str, bool] | None = None) -> DataFrame:
+    """Rows cut at the labels in their text: (id_session, id_int, row_order, ..., segment, label, doubt, text, clock).
 
-    ``label`` is null for what the row's own speaker says. ``clock`` is the first stamp of the segment in
-    seconds. ``text`` is without stamps, fillers, sounds and labels; segments left empty are dropped.
+    ``label`` is null for what the row's own speaker says; ``doubt`` marks a label that only the roster can confirm.
+    ``clock`` is the first stamp of the segment in seconds. ``text`` is without stamps, fillers, sounds and
+    labels; segments left empty are dropped. ``notes``: the forms judged by ``note_forms``, a bounded set.
     """
-    schema = "id_session string, id_int string, row_order int, speaker_raw string, id_dep string, country string, segment int, label string, text string, clock int"
+    schema = "id_session string, id_int string, row_order int, speaker_raw string, id_dep string, country string, segment int, label string, doubt boolean, text string, clock int"
+    notes = notes or {}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[dict] = []
             for r in batch.to_pylist():
                 text = r.pop("text") or ""
-                found = pieces(text)
-                cuts = [None, *[p for p in found if p[2] == "label"]]
-                for k, cut in enumerate(cuts):
-                    a = cut[1] if cut else 0
+                cuts: list[tuple] = [(0, 0, False, None)]
+                inside: list[list] = [[]]
+                for a, b, kind, sure, evidence in candidates(text):
+                    if kind == "bracket":
+                        kind = "sound" if notes.get(note_form(evidence), sure == 1) else "label"
+                        sure = 2
+                    if kind == "label":
+                        cuts.append((a, b, sure < 2, text[a:b]))
+                        inside.append([])
+                    elif kind != "sound" or sure == 2 or notes.get(evidence.strip(), sure == 1):
+                        inside[-1].append((a, b, kind))
+                for k, (_, a, doubt, label) in enumerate(cuts):
                     b = cuts[k + 1][0] if k + 1 < len(cuts) else len(text)
-                    inside = [(x - a, y - a, kind) for x, y, kind in found if a <= x and y <= b and kind != "label"]
-                    said = strip_pieces(text[a:b], inside)
+                    said = strip_pieces(text[a:b], [(x - a, y - a, kind) for x, y, kind in inside[k]])
                     if said:
-                        clock = next((c for x, y, kind in inside if kind == "timestamp" and (c := _clock(text[a + x : a + y])) is not None), None)
-                        out.append(r | {"segment": k, "label": text[cut[0] : cut[1]] if cut else None, "text": said, "clock": clock})
+                        clock = next((c for x, y, kind in inside[k] if kind == "timestamp" and (c := _clock(text[x:y])) is not None), None)
+                        out.append(r | {"segment": k, "label": label, "doubt": doubt, "text": said, "clock": clock})
             yield pa.RecordBatch.from_pylist(out, schema=_arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -117,100 +178,254 @@ def assign(cost: np.ndarray) -> list[tuple[int, int]]:
 
 #: Cost of leaving a label unassigned, in edits.
 UNKNOWN = 3.0
+_LINKS = "country string, clean string, sound string"
+_PEOPLE = "country string, person string, id_dep string, voice string, given string, forms array<string>, sound string"
 
 
-def resolve_labels(labels: DataFrame, register: DataFrame) -> DataFrame:
-    """(id_session, label, id_dep) of labels that an optimal assignment links to the register.
+def _tolerance(form: str) -> int:
+    """Edits at which a token may still be a spelling of a surname of this length."""
+    return 0 if len(form) < 4 else 1 if len(form) < 6 else 2
+
+
+def label_cost(clean: str, given: str, forms: list[str]) -> float:
+    """Edits between a label's name and a person: its tokens are surnames, given names, or 2.5 edits each."""
+    tokens = clean.split()
+    nearest = [min((edits(t.rstrip("."), f), f) for f in forms) for t in tokens]
+    left = [t for t, (d, f) in zip(tokens, nearest) if d > _tolerance(f)]
+    if len(left) == len(tokens):
+        return 99.0
+    close = sum(d for d, f in nearest if d <= _tolerance(f))
+    fit = [t for t in left if len(t.rstrip(".")) <= 2 or given_fit([t], given.split()) is not None]
+    return close + 2.5 * (len(left) - len(fit)) - 0.01 * len(forms)
 
-    ``labels``: distinct (id_session, country, label). The roster is the country's register alone (persons
-    outside it have no entry), blocked by the sound of its surnames; within a sitting each distinct name is
-    assigned to at most one person so that the total of edits is least, a name being left alone where
-    that is cheaper or where two persons fit it equally. Names that say less than a surname stay null.
-    A sitting's distinct labels form the group, so its size doesn't grow with the corpus.
-    """
 
-    def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _clean_names(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with ``clean``, the folded name in ``column`` without titles, marks and commas; rows without one go."""
+    kept = rows.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", clean string"
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for session, country, label in zip(*(batch.column(c).to_pylist() for c in ("id_session", "country", "label"))):
-                clean = name_part(label).replace(",", " ")
-                for token in {t.rstrip(".") for t in clean.split() if len(t.rstrip(".")) > 3}:
-                    for c, value in zip(out, (session, country, label, clean, phonetic(token))):
-                        c.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], names=["id_session", "country", "label", "clean", "sound"])
+            clean = [name_part(x).replace(",", " ") or None for x in batch.column(column).to_pylist()]
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(clean, pa.string())], names=[*kept, "clean"])
+            yield out.filter(pa.array([x is not None for x in clean], pa.bool_()))
+
+    return rows.mapInArrow(run, schema)
 
-    roster = persons(register).where(F.col("kind") != "both")
 
-    def heard(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _heard(names: DataFrame) -> DataFrame:
+    """(country, clean, sound): each distinct name once for each sound of its tokens."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sound = pa.array([phonetic(x) for x in batch.column("form").to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("country"), batch.column("id_dep"), batch.column("given"), batch.column("forms"), sound], names=["country", "id_dep", "given", "forms", "sound"])
+            out: list[list] = [[], [], []]
+            for country, clean in zip(batch.column("country").to_pylist(), batch.column("clean").to_pylist()):
+                for sound in {phonetic(t.rstrip(".")) for t in clean.split() if len(t.rstrip(".")) > 1}:
+                    for c, v in zip(out, (country, clean, sound)):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], names=["country", "clean", "sound"])
 
-    people = roster.groupBy("country", "id_dep", "given").agg(F.sort_array(F.collect_set("form")).alias("forms"))  # two surnames a person
-    voices = people.select("country", "id_dep", "given", F.explode("forms").alias("form"), "forms").mapInArrow(heard, "country string, id_dep string, given string, forms array<string>, sound string")
-    near = labels.mapInArrow(keys, "id_session string, country string, label string, clean string, sound string").join(voices, ["country", "sound"])
-    candidates = near.select("id_session", "label", "clean", "id_dep", "given", "forms").distinct()
+    return names.mapInArrow(run, _LINKS)
+
+
+def _costs(names: DataFrame, people: DataFrame) -> DataFrame:
+    """(country, clean, person, id_dep, voice, cost) of distinct names and the people their tokens sound like."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cost = [label_cost(r["clean"], r["given"], r["forms"]) for r in batch.to_pylist()]
+            out = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("country", "clean", "person", "id_dep", "voice")), pa.array(cost, pa.float64())], names=["country", "clean", "person", "id_dep", "voice", "cost"])
+            yield out.filter(pa.array([c < UNKNOWN for c in cost], pa.bool_()))
+
+    pairs = _heard(names).join(people, ["country", "sound"]).select("country", "clean", "person", "id_dep", "voice", "given", "forms").distinct()
+    return pairs.mapInArrow(run, "country string, clean string, person string, id_dep string, voice string, cost double")
+
+
+def _people_of_register(register: DataFrame) -> DataFrame:
+    people = persons(register).where(F.col("kind") != "both").groupBy("country", "id_dep", "given").agg(F.sort_array(F.collect_set("form")).alias("forms"))  # two surnames a person
+    return people.select("country", F.col("id_dep").alias("person"), "id_dep", F.lit(None).cast("string").alias("voice"), "given", "forms")
+
+
+def _sounding(people: DataFrame) -> DataFrame:
+    """People once for each sound of their surnames."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            forms = batch.column("forms").to_pylist()
+            at = [(k, s) for k, f in enumerate(forms) for s in sorted({phonetic(x) for x in f})]
+            rows = batch.take(pa.array([k for k, _ in at], pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([s for _, s in at], pa.string())], names=[*rows.schema.names, "sound"])
+
+    return people.mapInArrow(run, _PEOPLE)
+
+
+def plain_labels(found: DataFrame) -> DataFrame:
+    """The labels that need no roster to be known as such, so that the roster can be gathered from them."""
+    return found.where((F.col("kind") == "label") & (F.col("sure") == 2))
+
+
+def typed_names(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id_session, country, clean): every name typed for a speaker without id, or standing in a label, once a sitting."""
+    typed = rows.where(F.col("id_dep").isNull() & (F.trim("speaker_raw") != "")).select("id_session", "country", F.col("speaker_raw").alias("raw"))
+    named = labels.select("id_session", "country", F.col("label").alias("raw"))
+    return _clean_names(typed.unionByName(named).distinct(), "raw").select("id_session", "country", "clean").distinct()
+
+
+def roster(register: DataFrame, typed: DataFrame) -> DataFrame:
+    """(country, person, id_dep, voice, given, forms): the register, and the speakers it lacks, from all transcripts.
+
+    A name of two or more parts that recurs in LEAST_SITTINGS sittings and is no spelling of anybody in the register
+    (``label_cost``) becomes a person of its own, known by ``voice``, the name. Its last two parts are its surnames.
+    """
+    known = _people_of_register(register)
+    often = typed.groupBy("country", "clean").agg(F.countDistinct("id_session").alias("sittings")).where((F.col("sittings") >= LEAST_SITTINGS) & F.col("clean").contains(" "))
+    often = materialize(often.select("country", "clean"), "roster-names")
+    fits = _costs(often, _sounding(known)).select("country", "clean").distinct()
+    parts = F.filter(F.split(F.regexp_replace("clean", r"\.", ""), " +"), lambda t: F.length(t) > 0)
+    surnames = F.when(F.size("parts") > 2, F.slice("parts", -2, 2)).otherwise(F.slice("parts", -1, 1))
+    given = F.array_join(F.slice("parts", 1, F.size("parts") - F.size("forms")), " ")
+    guests = often.join(fits, ["country", "clean"], "left_anti").withColumn("parts", parts).where(F.size("parts") > 1).withColumn("forms", F.sort_array(F.array_distinct(surnames)))
+    guests = guests.select("country", F.concat(F.lit("~"), "clean").alias("person"), F.lit(None).cast("string").alias("id_dep"), F.col("clean").alias("voice"), given.alias("given"), "forms")
+    return known.unionByName(guests)
+
+
+def resolve_labels(labels: DataFrame, register: DataFrame, typed: DataFrame | None = None) -> DataFrame:
+    """(id_session, label, id_dep, voice) of labels that fit somebody of the roster, with the person assigned, if any.
+
+    ``labels``: distinct (id_session, country, label). The roster is the register and, from ``typed``, the names that
+    recur across transcripts (``roster``). Names meet persons by the sound of their surnames, and each distinct name
+    is compared once however many sittings have it. Within a sitting the names are assigned to persons one to one
+    so that the total of edits is least, a name being left alone where that is cheaper or where two persons fit it
+    equally (both columns null then); what is left over goes to its one nearest person, so that two spellings of
+    a person meet. Names that say less than a surname give no row. Names and persons that share no candidate are solved
+    apart, so a group's matrix is as large as its confusable names, not as the sitting.
+    """
+    people = roster(register, typed) if typed is not None else _people_of_register(register)
+    named = materialize(_clean_names(labels.select("id_session", "country", "label"), "label"), "label-names")
+    costs = _costs(named.select("country", "clean").distinct(), _sounding(people))
+    asked = named.select("id_session", "country", "clean").distinct().join(costs, ["country", "clean"])
 
     def solve(pdf):
         import pandas as pd
 
-        names, people = sorted(pdf["clean"].unique()), sorted(pdf["id_dep"].unique())
-        cost = np.full((len(names), len(people) + len(names)), UNKNOWN)
-        cost[:, : len(people)] = 99
-        for r in pdf.itertuples():
-            tokens = r.clean.split()
-            left = [t for t in tokens if min(edits(t.rstrip("."), f) for f in r.forms) > 2]
-            close = sum(min(edits(t.rstrip("."), f) for f in r.forms) for t in tokens if t not in left)
-            given = [t for t in left if len(t.rstrip(".")) <= 2 or given_fit([t], r.given.split()) is not None]
-            cost[names.index(r.clean), people.index(r.id_dep)] = close + 2.5 * (len(left) - len(given)) - 0.01 * len(r.forms)
-        done = {}
-        for i, j in assign(cost):
-            if j < len(people) and cost[i, j] < UNKNOWN and (np.abs(cost[i, : len(people)] - cost[i, j]) < 0.5).sum() == 1:
-                done[names[i]] = people[j]
-        kept = pdf[["id_session", "label", "clean"]].drop_duplicates()
-        kept = kept.assign(id_dep=kept["clean"].map(done))
-        return kept.loc[kept["id_dep"].notna(), ["id_session", "label", "id_dep"]].astype(object) if len(kept) else pd.DataFrame(columns=["id_session", "label", "id_dep"])
-
-    return candidates.groupBy("id_session").applyInPandas(solve, "id_session string, label string, id_dep string")
+        edges: dict[str, dict[str, float]] = {}
+        who = {}
+        for clean, person, id_dep, voice, cost in zip(pdf["clean"], pdf["person"], pdf["id_dep"], pdf["voice"], pdf["cost"]):
+            edges.setdefault(clean, {})[person] = cost
+            who[person] = (id_dep, voice)
+        done: dict[str, str] = {}
+        for names, persons_ in _components(edges):
+            cost = np.full((len(names), len(persons_) + len(names)), UNKNOWN)
+            cost[:, : len(persons_)] = 99
+            at = {p: j for j, p in enumerate(persons_)}
+            for i, n in enumerate(names):
+                for p, c in edges[n].items():
+                    cost[i, at[p]] = c
+            for i, j in assign(cost):
+                near = cost[i, : len(persons_)]
+                if j >= len(persons_):
+                    j = int(np.argmin(near))
+                if cost[i, j] < UNKNOWN and (np.abs(near - cost[i, j]) < 0.5).sum() == 1:
+                    done[names[i]] = persons_[j]
+        rows = [(pdf["id_session"].iloc[0], pdf["country"].iloc[0], n, *who.get(done.get(n), (None, None))) for n in sorted(edges)]
+        return pd.DataFrame(rows, columns=["id_session", "country", "clean", "id_dep", "voice"]).astype(object)
+
+    solved = asked.groupBy("id_session", "country").applyInPandas(solve, "id_session string, country string, clean string, id_dep string, voice string")
+    return named.join(solved, ["id_session", "country", "clean"]).select("id_session", "label", "id_dep", "voice").distinct()
+
+
+def _components(edges: dict[str, dict[str, float]]) -> Iterator[tuple[list[str], list[str]]]:
+    """Names and persons that candidate pairs connect."""
+    back: dict[str, list[str]] = {}
+    for n, near in edges.items():
+        for p in near:
+            back.setdefault(p, []).append(n)
+    seen: set[str] = set()
+    for first in sorted(edges):
+        if first in seen:
+            continue
+        names, people, todo = [], set(), [first]
+        seen.add(first)
+        while todo:
+            n = todo.pop()
+            names.append(n)
+            for p in edges[n]:
+                if p not in people:
+                    people.add(p)
+                    for other in back[p]:
+                        if other not in seen:
+                            seen.add(other)
+                            todo.append(other)
+        yield sorted(names), sorted(people)
+
+
+#: Places of a sitting that are put in order by one task; a sitting of any length is many such slices.
+SLICE = 4096
 
 
 def clean_turns(rows: DataFrame, register: DataFrame) -> DataFrame:
     """(id_session, turn, id_dep, speaker, text, clock, n_segments): clean turns in sitting order.
 
-    Segments are ordered by the row's place in the sitting (the last five digits of ``id_int``, since
-    ``intervention_order`` repeats and swaps; it decides only where the id lacks the place), then by
-    segment. ``clock`` carries the last stamp heard so far in the sitting. Successive segments of one speaker become one
-    turn. A speaker is the row's ``id_dep``, else the person its label is assigned to, else the typed name.
-    Sittings are the groups of all windows. A null session or text gives no turn.
+    Segments are ordered by the row's place in the sitting, the last five digits of ``id_int``, then by segment.
+    Rows whose id lacks the place come by their clock stamp, then by ``intervention_order``, which repeats and
+    swaps. Stamps don't overrule a known place (README). ``clock`` carries the last stamp heard so far. Successive
+    segments of one speaker become one turn. A speaker is the row's ``id_dep``, else the person or voice of the
+    roster its label is assigned to, else the typed name; a doubtful label the roster doesn't know is speech.
+    Order, turn numbers and clocks are found within slices of a sitting and carried over between them. A null
+    session or text gives no turn.
     """
-    place = F.coalesce(F.expr("try_cast(right(id_int, 5) AS int)"), "row_order")
-    cut = materialize(segments(rows).where(F.col("id_session").isNotNull()), "turn-segments").withColumn("said_by", F.coalesce("label", "speaker_raw"))
-    typed = cut.where(F.col("label").isNotNull() | F.col("id_dep").isNull()).where(F.col("said_by").isNotNull())
-    linked = resolve_labels(typed.select("id_session", "country", F.col("said_by").alias("label")).distinct(), register).withColumnsRenamed({"id_session": "_s", "label": "_l", "id_dep": "_d"})
-    who = cut.join(linked, (F.col("id_session") == F.col("_s")) & (F.col("said_by") == F.col("_l")), "left")
+    found = doubtful_pieces(rows)
+    notes = {r["form"]: r["is_note"] for r in note_forms(found).collect()}  # bounded by FORM_SHARE
+    cut = materialize(segments(rows, notes).where(F.col("id_session").isNotNull()), "turn-segments").withColumn("said_by", F.coalesce("label", "speaker_raw"))
+    typed = cut.where((F.col("label").isNotNull() | F.col("id_dep").isNull()) & F.col("said_by").isNotNull())
+    names = typed_names(rows, plain_labels(found))
+    linked = resolve_labels(typed.select("id_session", "country", F.col("said_by").alias("label")).distinct(), register, names)
+    who = cut.join(linked.withColumnsRenamed({"label": "said_by", "id_dep": "_d", "voice": "_v"}), ["id_session", "said_by"], "left")
     own = F.when(F.col("label").isNull(), F.col("id_dep"))
-    who = who.select("id_session", "id_int", place.alias("place"), "segment", F.coalesce(own, "_d").alias("person"), F.col("said_by"), "text", "clock")
-    speaker = F.coalesce("person", F.lower(F.trim("said_by")), F.lit("?"))
-    order = Window.partitionBy("id_session").orderBy("place", "id_int", "segment")
-    runs = who.withColumn("_new", F.when(F.lag(speaker).over(order) == speaker, 0).otherwise(1)).withColumn("clock", F.last("clock", True).over(order)).withColumn("turn", F.sum("_new").over(order))
-    turns = runs.groupBy("id_session", "turn").agg(
-        F.first("person").alias("id_dep"),
-        F.min_by("said_by", F.struct("place", "id_int", "segment")).alias("speaker"),
-        F.array_sort(F.collect_list(F.struct("place", "id_int", "segment", "text"))).alias("parts"),
+    spoken = F.coalesce(own, "_d", "_v", F.lower(F.trim("said_by")), F.lit("?"))
+    unknown = F.col("doubt") & F.col("_d").isNull() & F.col("_v").isNull()
+    row_speaker = F.coalesce("id_dep", F.lower(F.trim("speaker_raw")), F.lit("?"))
+    place = F.coalesce(F.expr("try_cast(right(id_int, 5) AS int)"), F.lit(1 << 20) + F.coalesce("clock", "row_order", F.lit(0)))
+    at = F.struct(place.alias("place"), "row_order", "id_int", "segment")
+    who = who.select(
+        "id_session", at.alias("at"), F.floor(place / SLICE).alias("slice"), unknown.alias("unknown"), row_speaker.alias("row_speaker"), F.when(~unknown, spoken).alias("heard"),
+        F.when(~unknown, F.coalesce(own, "_d")).alias("person"), F.when(unknown, F.col("speaker_raw")).otherwise(F.coalesce("_v", "said_by")).alias("said_by"), "clock",
+        F.when(unknown, F.concat_ws(" ", "label", "text")).otherwise(F.col("text")).alias("text"), F.col("id_int").alias("_row"), F.col("id_dep").alias("_own"),
+    )
+    # What a doubtful label turned out to belong to: the segment before it in the row, else the row's own speaker.
+    in_row = Window.partitionBy("id_session", "_row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    carried = lambda c: F.last(F.when(~F.col("unknown"), F.struct(F.col(c).alias("v"))), True).over(in_row)
+    who = who.withColumn("speaker", F.coalesce(carried("heard")["v"], "row_speaker")).withColumn("_p", carried("person")).withColumn("person", F.when(F.col("_p").isNull(), F.col("_own")).otherwise(F.col("_p.v")))
+    who = materialize(who.drop("_p", "_own", "heard", "row_speaker", "unknown", "_row"), "turn-speakers")
+
+    order = Window.partitionBy("id_session", "slice").orderBy("at")
+    runs = who.withColumn("change", F.when(F.lag("speaker").over(order) != F.col("speaker"), 1).otherwise(0)).withColumn("inner", F.sum("change").over(order)).withColumn("heard_at", F.last("clock", True).over(order))
+    edge = runs.groupBy("id_session", "slice").agg(F.min_by("speaker", "at").alias("first"), F.max_by("speaker", "at").alias("last"), F.max("inner").alias("changes"), F.max_by("heard_at", "at").alias("left"))
+    slices = Window.partitionBy("id_session").orderBy("slice")
+    before = slices.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.when(F.lag("last").over(slices).eqNullSafe(F.col("first")), 0).otherwise(1)
+    edge = edge.withColumn("opens", opens).withColumn("base", F.coalesce(F.sum(F.col("opens") + F.col("changes")).over(before), F.lit(0)) + F.col("opens")).withColumn("carry", F.last("left", True).over(before))
+    numbered = runs.join(edge.select("id_session", "slice", "base", "carry"), ["id_session", "slice"]).withColumn("turn", F.col("base") + F.col("inner")).withColumn("clock", F.coalesce("heard_at", "carry"))
+    turns = numbered.groupBy("id_session", "turn").agg(
+        F.first("person", True).alias("id_dep"),
+        F.min_by("said_by", "at").alias("speaker"),
+        F.array_sort(F.collect_list(F.struct("at", "text"))).alias("parts"),  # what one speaker says without a break: the row that is asked for
         F.min("clock").alias("clock"),
     )
     return turns.select("id_session", "turn", "id_dep", "speaker", F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"), "clock", F.size("parts").alias("n_segments"))
 
 
+_PIECE_COLUMNS = ["id_session", "country", "speaker_raw", "id_dep", "text"]
+
+
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
     """Each piece in the text of a speech row that isn't speech of the turn."""
-    return marked_pieces(speech_rows(spark, folder, ["text"])).select("id_int", "kind", "start_char")
+    return marked_pieces(speech_rows(spark, folder, _PIECE_COLUMNS), table(spark, folder, "deputies")).select("id_int", "kind", "start_char")
 
 
 def p1_turns(spark: SparkSession, folder: str) -> DataFrame:
     """The sittings as clean turns in order, each with its speaker."""
-    columns = ["id_session", "intervention_order", "speaker_raw", "id_dep", "country", "text"]
-    rows = one_per_key(speech_rows(spark, folder, ["row_n", *columns]), "id_int", "row_n", ["id_int", *columns])
+    rows = one_per_key(speech_rows(spark, folder, ["row_n", "intervention_order", *_PIECE_COLUMNS]), "id_int", "row_n", ["id_int", "intervention_order", *_PIECE_COLUMNS])
     return clean_turns(rows, table(spark, folder, "deputies"))
 
 

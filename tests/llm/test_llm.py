@@ -80,10 +80,47 @@ def test_turns(spark):
     assert got == [(1, "p", "Empiezo. Sigue bien.", 36005), (2, "q", "No es así.", 36005)]
 
 
+PIECES = "id_session string, country string, id_int string, speaker_raw string, id_dep string, text string"
+
+
 def test_marked_pieces_counts_copies_once(spark):
-    df = spark.createDataFrame([("1", "a, eh, b"), ("1", "a, eh, b"), ("2", None), ("3", "")], "id_int string, text string")
-    assert [tuple(r) for r in turns.marked_pieces(df).collect()] == [("1", "filler", 3, 5)]
-    assert turns.marked_pieces(df.limit(0)).count() == 0
+    df = spark.createDataFrame([("s", "ES", "1", None, None, "a, eh, b"), ("s", "ES", "1", None, None, "a, eh, b"), ("s", "ES", "2", None, None, None), (None, None, "3", None, None, "")], PIECES)
+    reg = spark.createDataFrame([], REGISTER)
+    assert [tuple(r)[:3] for r in turns.marked_pieces(df, reg).collect()] == [("1", "filler", 3)]
+    assert turns.marked_pieces(df.limit(0), reg).count() == 0
+
+
+def test_marked_pieces_learn_notes_and_names_from_the_corpus(spark):
+    """Unlisted notes by recurrence, asides by standing within sentences, doubtful labels by the roster."""
+    rows = [(f"s{k % 4}", "ES", f"{k:02}", None, None, "Ya está. (Zumban abejas.) Hubo ruido (risas aparte) en la sala.") for k in range(12)]
+    rows += [("s1", "ES", "20", None, None, "Ya está. \nGil Sanz, Ana – No es así."), ("s1", "ES", "21", None, None, "Ya está. \nMesa Redonda, Lunes – No es así."), ("s2", "ES", "22", None, None, "Así es. [Toro] No es así.")]
+    rows += [(f"s{k}", "ES", f"3{k}", "Invitada Flor Quispe Mamani", None, "Hola.") for k in range(3)] + [("s3", "ES", "40", None, None, "Ya está. \nQuispe Mamani, Flor – No es así.")]
+    df = spark.createDataFrame(rows, PIECES)
+    reg = spark.createDataFrame([("ES", "p", "Ana", "Gil Sanz"), ("ES", "q", "Luis", "Toro Paz")], REGISTER)
+    got = Counter((r["id_int"], r["kind"]) for r in turns.marked_pieces(df, reg).collect())
+    assert got == Counter({**{(f"{k:02}", "sound"): 1 for k in range(12)}, ("20", "label"): 1, ("22", "label"): 1, ("40", "label"): 1})
+
+
+def test_labels_go_to_voices_the_register_lacks_and_two_spellings_to_one_person(spark):
+    reg = spark.createDataFrame([("ES", "p", "Ana", "Gil Sanz"), ("ES", "q", "Luis", "Toro Paz")], REGISTER)
+    typed = spark.createDataFrame([(f"s{k}", "ES", "flor quispe mamani") for k in range(3)] + [(f"s{k}", "ES", "ana gil sanz") for k in range(3)], "id_session string, country string, clean string")
+    labels = spark.createDataFrame([("x", "ES", "La Sra. QUISPE MAMANY:"), ("x", "ES", "GIL SANS.—"), ("x", "ES", "Ana Gil:"), ("x", "ES", "El PRESIDENTE:"), ("x", "ES", "Paz:")], "id_session string, country string, label string")
+    got = {r["label"]: (r["id_dep"], r["voice"]) for r in turns.resolve_labels(labels, reg, typed).collect()}
+    assert got == {"La Sra. QUISPE MAMANY:": (None, "flor quispe mamani"), "GIL SANS.—": ("p", None), "Ana Gil:": ("p", None), "Paz:": ("q", None)}
+
+
+def test_turns_across_slices_and_doubtful_labels(spark, monkeypatch):
+    monkeypatch.setattr(turns, "SLICE", 2)
+    reg = spark.createDataFrame([("ES", "p", "Ana", "Gil Sanz"), ("ES", "q", "Luis", "Toro Paz")], REGISTER)
+    said = [("p", "Uno [09:00:01] va."), ("p", "Dos va."), ("p", "Tres va."), ("q", "Cuatro va. \nMesa Redonda, Lunes – Aún va."), ("q", "Cinco va."), ("p", "Seis va. \nToro Paz, Luis – Siete va.")]
+    rows = [("ES0010001", f"ES0010001{k + 1:05}", 9, None, d, "ES", t) for k, (d, t) in enumerate(said)]
+    df = spark.createDataFrame(rows, "id_session string, id_int string, intervention_order int, speaker_raw string, id_dep string, country string, text string")
+    got = [(r["turn"], r["id_dep"], r["text"], r["clock"], r["n_segments"]) for r in turns.clean_turns(df, reg).orderBy("turn").collect()]
+    assert got == [
+        (1, "p", "Uno va. Dos va. Tres va.", 32401, 3), (2, "q", "Cuatro va. Mesa Redonda, Lunes – Aún va. Cinco va.", 32401, 3),
+        (3, "p", "Seis va.", 32401, 1), (4, "q", "Siete va.", 32401, 1),
+    ]
+    assert turns.clean_turns(df.limit(0), reg).count() == 0
 
 
 # --- 2 ---
@@ -280,6 +317,23 @@ def test_mixture(spark):
 
 
 # --- 10 ---
+@pytest.mark.parametrize(
+    "text,units",
+    [
+        ("He said. “Go?” he asked", ["He said. ", "“Go?” ", "he asked"]), ("(“Go.”) (He did.)", ["(“Go.”) ", "(He did.)"]), ("3.4", ["3.4"]), ("c.d", ["c.d"]), ("U.S.A. is", ["U.S.A. is"]),
+        ("etc.) ‘(the", ["etc.) ‘(the"]), ("the resp. leaders are", ["the resp. leaders are"]), ("字.字", ["字.", "字"]), ("字。字", ["字。", "字"]), ("etc.它", ["etc.", "它"]), ("A.\nB", ["A.\n", "B"]),
+        ("A.\r\nb", ["A.\r\n", "b"]), ("A!? B", ["A!? ", "B"]), ("a.\u0308B", ["a.\u0308B"]), ("A. , b", ["A. , b"]), ("Uno\u2029dos", ["Uno\u2029", "dos"]), ("𑀅𑁇 𑀅", ["𑀅𑁇 ", "𑀅"]), ("", []),
+    ],
+)
+def test_standard_rules(text, units):
+    assert sentences.standard_sentences(text) == units
+
+
+@pytest.mark.parametrize("text,count", [("Fin. " + "— " * 7 + "Otro comienza.", 2), ("Fin. " + "— " * 300 + "Otro comienza.", 2), ("x" * 60 + "sr. Gil viene.", 2), ("ལས་དོན། ལས་དོན།", 2), ("ຂ້ອຍໄປ ເຈົ້າມາ", 2), ("𝨀 a𝪈 B.", 2)])
+def test_sentences_without_windows(text, count):
+    assert len(sentences.boundaries(text)) == count
+
+
 @pytest.mark.parametrize(
     "text,units",
     [
