@@ -16,7 +16,7 @@ def turns(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     rows = table(spark, folder, "interventions")
     if columns == ("*",):
         keep = [c for c in COLUMNS if c in rows.columns]
-    return one_per_key(rows.select(*dict.fromkeys([*keep, "row_n"])), "id_int", "row_n", keep)
+    return one_per_key(rows.select(*dict.fromkeys([*keep, "row_n"])), "id_int", "row_n", keep, payload="text" in keep)
 
 
 def terms(spark: SparkSession, folder: str) -> DataFrame:

@@ -395,3 +395,19 @@ def test_verdicts_and_persons(spark):
     assert [r[0] for r in s.select(quality.no_person(F.col("s"))).collect()] == ["voices", "unknown", "office", None, "blank", "blank"]
     c = spark.createDataFrame([("a", 0.9), ("a", 0.7), ("b", 0.0)], "g string, s double")
     assert {r["g"]: r["level"] for r in quality.confidence(c, ["g"], "s").collect()} == {"a": "FLAG", "b": "HALT"}
+
+
+@pytest.mark.parametrize("sent", [200_000, 3, 0])
+def test_one_per_key_by_keys_first(spark, monkeypatch, sent):
+    """Copies, ties, nulls and many copies of one key: the same rows as the plain group-by, by broadcast or bitmap."""
+    from stenograph.sources import tables
+
+    monkeypatch.setattr(tables, "SENT_KEYS", sent)
+    monkeypatch.setattr(tables, "BITS_PER_KEY", 1)
+    rows = [(f"k{i}", i, f"text {i}") for i in range(300)] + [(f"k{i}", i - 1000, f"text {i}") for i in range(0, 300, 7)]
+    rows += [("hot", i, "b") for i in range(50)] + [("tie", 1, "b"), ("tie", 1, "a"), ("none", None, "n"), ("none", 5, "m"), ("alone", None, "x"), (None, 1, "y"), ("twice", None, "q"), ("twice", None, "p")]
+    df = spark.createDataFrame(rows, "k string, o int, t string")
+    got = sorted(tuple(r) for r in tables.one_per_key(df, "k", "o", ["k", "t", "o"], payload=True).collect())
+    assert got == sorted(tuple(r) for r in tables.one_per_key(df, "k", "o", ["k", "t", "o"]).collect())
+    assert len(got) == 305 and ("tie", "a", 1) in got and ("none", "m", 5) in got
+    assert tables.one_per_key(df.limit(0), "k", "o", ["k", "t"], payload=True).count() == 0
