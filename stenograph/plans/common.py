@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.register import typed_terms
-from ..sources.tables import one_per_key, table
+from ..sources.tables import one_per_key, spread, table
 
 COLUMNS = "country id_session id_int legislature legislative_session session_number date session_type intervention_order speaker_raw id_dep speaker_name sex party district dm_speech text n_words row_n".split()
 
@@ -16,7 +16,8 @@ def turns(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     rows = table(spark, folder, "interventions")
     if columns == ("*",):
         keep = [c for c in COLUMNS if c in rows.columns]
-    return one_per_key(rows.select(*dict.fromkeys([*keep, "row_n"])), "id_int", "row_n", keep, payload="text" in keep)
+    rows = rows.select(*dict.fromkeys([*keep, "row_n"]))
+    return one_per_key(spread(rows) if "text" in keep else rows, "id_int", "row_n", keep, payload="text" in keep)
 
 
 def terms(spark: SparkSession, folder: str) -> DataFrame:

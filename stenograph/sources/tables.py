@@ -13,6 +13,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer splits than there are cores, dealt over the cores; a larger one as it is.
+
+    For work that costs more than moving the rows (texts read by Python or by regular expressions), where a
+    small table of one row group would otherwise be one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 #: Repeated keys that may be sent to executors; with more of them a bitmap of bounded size is sent instead.
 SENT_KEYS = 200_000
 #: Bits of that bitmap at most (2^28 bits are 32 MB), and bits for each repeated key.
