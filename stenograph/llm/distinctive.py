@@ -43,13 +43,11 @@ def distinctive_terms(
     to N / ``value_one_in``. Null and empty texts give no words but count in N. A null key gives no
     row. Empty tables give an empty result.
 
-    Texts are reduced to word counts before anything is shuffled; one shuffle brings copies together,
-    and document frequencies are combined map-side, so a hot word costs one row per task.
+    Copies are found from the keys alone, so no texts or counts of unique keys are shuffled, and document
+    frequencies are combined map-side, so a hot word costs one row per task.
     """
-    columns = [key, version, text, *value_fields]
-    counted = with_counts(records.select(*columns), text)
-    kept = one_per_key(counted, key, version, [key, *value_fields, "length", "terms"])
-    base = materialize(kept, "term-counts")
+    rows = one_per_key(records.select(key, version, text, *value_fields), key, version, [key, text, *value_fields], payload=True)
+    base = materialize(with_counts(rows, text), "term-counts")
     totals = base.agg(F.count("*").alias("n"), F.avg("length").alias("average")).first()
     n, average = totals["n"], totals["average"] or 1.0
 
@@ -69,7 +67,7 @@ def distinctive_terms(
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     """Words used 3 times in a row and in 2 to N/200 rows; party and sex values held by 2 to N/1000."""
     rows = speech_rows(spark, folder, ["row_n", "text", "party", "sex"])
-    scored = distinctive_terms(rows, least_tf=3, text_one_in=200, value_one_in=1000, least_df=2)
+    scored = distinctive_terms(rows, least_tf=3, text_one_in=200, value_one_in=1000, least_df=2).where(F.col("score") > 0)
     return scored.select("id_int", "field", "value")
 
 

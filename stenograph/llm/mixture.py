@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .tokens import token_counts
 
 #: Slices of the key range within a source; bounds the largest group that is sorted in one task.
@@ -100,7 +100,7 @@ def clean_targets(targets: DataFrame) -> DataFrame:
 def sized_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, clean source, weight and tokens of the documents whose source has a target; stored."""
     targets = clean_targets(table(spark, folder, "mixture_targets"))
-    named = table(spark, folder, "documents").select("doc_id", source_name(F.col("source")).alias("source"), "text").join(targets.select("source"), "source", "left_semi")
+    named = spread(table(spark, folder, "documents").select("doc_id", source_name(F.col("source")).alias("source"), "text")).join(targets.select("source"), "source", "left_semi")
     weighed = named.withColumn("weight", F.coalesce(quality(F.col("text")), F.lit(0.05)))
     return materialize(token_counts(weighed), "document-sizes")
 

@@ -71,9 +71,9 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
 
     The ``heavy`` most frequent of the remaining items are counted against each other by dense bit
     matrices, merged once per task. Every light item's list of records is probed for the heavy items
-    of the same records, inside the partition that already holds that item, so mixed pairs need no
-    further shuffle. Pairs of light items are formed per record and hash-counted. A light item is in
-    at most (all occurrences) / ``heavy`` records, which bounds the largest group.
+    of the same records; these mixed pairs are combined map-side before their shuffle, so no task holds all
+    records of an item. Pairs of light items are formed per record, piece by piece, and hash-counted.
+    ``n_records`` may be any number up to 10^18.
 
     Null items are ignored; empty baskets count in N only; an empty table gives no rows.
     """
@@ -82,13 +82,13 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
         raise ValueError("heavy items are numbered in 15 bits")
     single = baskets.select(F.explode(items).alias("item")).where(F.col("item").isNotNull())
     most = n_records / least_lift if least_lift else float("inf")
-    frequency = materialize(single.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= least_together), "item-frequency")
-    chosen = frequency.where(F.col("n") <= most).orderBy(F.desc("n"), "item").limit(heavy).collect()
-    # At most avg(items per record) * least_lift items lie above the bound; they're dropped before the joins below.
+    # Numbered once they are stored, so that numbers, not words, go through the shuffles below.
+    counted = materialize(single.groupBy("item").agg(F.count("*").alias("n")).where((F.col("n") >= least_together) & (F.col("n") <= most)), "item-counts")
+    frequency = materialize(counted.withColumn("id", F.monotonically_increasing_id()), "item-frequency")
+    chosen = frequency.orderBy(F.desc("n"), "item").limit(heavy).collect()
     names = [r["item"] for r in chosen]
     sizes = [r["n"] for r in chosen]
-    floor = sizes[-1] if len(sizes) == heavy else 0
-    light_frequency = frequency.where((F.col("n") <= most) & ((F.col("n") < floor) | ((F.col("n") == floor) & ~F.col("item").isin(names)))) if floor else frequency.where(F.lit(False))
+    light_frequency = frequency.where((F.col("n") < sizes[-1]) | ((F.col("n") == sizes[-1]) & ~F.col("item").isin(names))) if len(sizes) == heavy else frequency.where(F.lit(False))
 
     schema = "a int, b int, n_ab bigint"
 
@@ -105,7 +105,7 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
         .select("x", "nx", "y", "ny", "n_ab")
     )
 
-    parts = f"`{key}` {baskets.schema[key].dataType.simpleString()}, h array<smallint>, rest array<string>"
+    parts = f"record {baskets.schema[key].dataType.simpleString()}, h array<smallint>, rest array<string>"
     known = names
 
     def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,23 +121,23 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
             outside = ~inside & flat.is_valid().to_numpy(zero_copy_only=False)
             ids = lists(at.drop_null().cast(pa.int16()), np.bincount(parent[inside], minlength=batch.num_rows))
             rest = lists(flat.filter(pa.array(outside)), np.bincount(parent[outside], minlength=batch.num_rows))
-            yield pa.RecordBatch.from_arrays([batch.column(key), ids, rest], names=[key, "h", "rest"])
+            yield pa.RecordBatch.from_arrays([batch.column(key), ids, rest], names=["record", "h", "rest"])
 
     postings = materialize(
-        baskets.select(key, items).mapInArrow(split, parts).select(key, "h", F.explode("rest").alias("item")).join(light_frequency, "item"),
+        baskets.select(key, items).mapInArrow(split, parts).select("record", "h", F.explode("rest").alias("item")).join(light_frequency.select("item", "id"), "item").drop("item"),
         "light-postings",
     )
+    numbered = light_frequency.select(F.col("id"), F.col("item").alias("x"), F.col("n").alias("nx"))
     mixed = (
-        postings.repartition("item").select("item", "n", F.explode("h").alias("h")).groupBy("item", "n", "h").agg(F.count("*").alias("n_ab")).where(F.col("n_ab") >= least_together)
+        postings.select("id", F.explode("h").alias("h")).groupBy("id", "h").agg(F.count("*").alias("n_ab")).where(F.col("n_ab") >= least_together)
         .join(F.broadcast(lookup.select(F.col("h").cast("smallint").alias("h"), F.col("item").alias("y"), F.col("n").alias("ny"))), "h")
-        .select(F.col("item").alias("x"), F.col("n").alias("nx"), "y", "ny", "n_ab")
+        .join(numbered, "id").select("x", "nx", "y", "ny", "n_ab")
     )
-    together = postings.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("item", "n"))).alias("l")).where(F.size("l") > 1)
+    together = postings.groupBy("record").agg(F.sort_array(F.collect_list("id")).alias("l")).where(F.size("l") > 1)
+    light = together.select("l").mapInArrow(_list_pairs, "a bigint, b bigint").groupBy("a", "b").agg(F.count("*").alias("n_ab")).where(F.col("n_ab") >= least_together)
     light = (
-        together.select("l", F.posexplode("l").alias("at", "first"))
-        .select("first", F.explode(F.slice("l", F.col("at") + 2, F.size("l"))).alias("second"))
-        .groupBy("first", "second").agg(F.count("*").alias("n_ab")).where(F.col("n_ab") >= least_together)
-        .select(F.col("first.item").alias("x"), F.col("first.n").alias("nx"), F.col("second.item").alias("y"), F.col("second.n").alias("ny"), "n_ab")
+        light.join(numbered.withColumnRenamed("id", "a"), "a")
+        .join(numbered.select(F.col("id").alias("b"), F.col("x").alias("y"), F.col("nx").alias("ny")), "b").select("x", "nx", "y", "ny", "n_ab")
     )
     swap = F.col("x") > F.col("y")
     out = heavy_pairs.unionByName(mixed).unionByName(light).select(
@@ -147,14 +147,46 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
         F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("n_a"),
         F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("n_b"),
     )
-    product = F.col("n_a") * F.col("n_b")
-    return out.where(F.col("n_ab") * n_records >= F.lit(least_lift) * product).withColumn("lift", F.col("n_ab") * n_records / product)
+    # Products of counts pass 2^63 at a few billion records: whole numbers of 38 digits, so the bound stays exact.
+    whole = lambda c: c.cast("decimal(19,0)")
+    common, product = whole(F.col("n_ab")) * whole(F.lit(n_records)), whole(F.col("n_a")) * whole(F.col("n_b"))
+    enough = common >= product * F.lit(int(least_lift)).cast("decimal(9,0)") if float(least_lift).is_integer() else common.cast("double") >= product.cast("double") * least_lift
+    return out.where(enough).withColumn("lift", common.cast("double") / product.cast("double"))
+
+
+#: Pairs of one Arrow batch at most, so that a record of any length is handed on piece by piece.
+_PAIRS_PER_BATCH = 1 << 18
+
+
+def _list_pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every pair of a record's sorted items, lower number first."""
+    for batch in batches:
+        array = batch.column("l")
+        flat, offsets = array.flatten().to_numpy(), array.offsets.to_numpy()
+        offsets = offsets - offsets[0]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for begin, end in zip(offsets[:-1], offsets[1:]):
+            n = int(end - begin)
+            step = max(1, _PAIRS_PER_BATCH // max(n, 1))
+            for low in range(0, n - 1, step):
+                high = min(low + step, n - 1)
+                counts = np.arange(n - 1 - low, n - 1 - high, -1)  # partners of each first item
+                first = np.repeat(np.arange(low, high), counts)
+                second = np.arange(len(first)) - np.repeat(np.cumsum(counts) - counts, counts) + first + 1
+                held.append((flat[begin + first], flat[begin + second]))
+                size += len(first)
+                if size >= _PAIRS_PER_BATCH:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=["a", "b"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names=["a", "b"])
 
 
 def speech_baskets(spark: SparkSession, folder: str) -> DataFrame:
     """One row per speech row (``id_int``) with its distinct content words; stored."""
-    rows = with_distinct(speech_rows(spark, folder, ["row_n", "text"]))
-    return materialize(one_per_key(rows, "id_int", "row_n", ["id_int", "words"]), "baskets")
+    rows = one_per_key(speech_rows(spark, folder, ["row_n", "text"]), "id_int", "row_n", ["id_int", "text"], payload=True)
+    return materialize(with_distinct(rows), "baskets")
 
 
 def p5_pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ..sources.tables import one_per_key, table
+from ..sources.tables import one_per_key, spread, table
 from .terms import fold_text
 
 #: Marks that a scan may show where a word is cut at a line's end.
@@ -357,8 +357,8 @@ def repair(text: str, found: list) -> str:
 
 def whole_rows(spark: SparkSession, folder: str) -> DataFrame:
     """id_int and text of every row, one per id_int; stored."""
-    rows = table(spark, folder, "interventions").select("id_int", "row_n", "text").where(F.col("text").isNotNull())
-    return materialize(one_per_key(rows, "id_int", "row_n", ["id_int", "text"]), "scan-texts")
+    rows = spread(table(spark, folder, "interventions").select("id_int", "row_n", "text").where(F.col("text").isNotNull()))
+    return materialize(one_per_key(rows, "id_int", "row_n", ["id_int", "text"], payload=True), "scan-texts")
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 
 # --- fixed values: abbreviations, lower case, without the final dot ---
 #: A name or word follows: never the end of a sentence.
@@ -351,12 +351,12 @@ def sentences(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
     """First character of every sentence of every document."""
-    return sentences(table(spark, folder, "documents")).select("doc_id", "start_char")
+    return sentences(spread(table(spark, folder, "documents").select("doc_id", "text"))).select("doc_id", "start_char")
 
 
 def p10_sentences(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as its sentences."""
-    return sentences(table(spark, folder, "documents"))
+    return sentences(spread(table(spark, folder, "documents").select("doc_id", "text")))
 
 
 QUERIES = {"p10_found": p10_found, "p10_sentences": p10_sentences}

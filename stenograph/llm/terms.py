@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .arrow import lists, map_batches
 
 
@@ -61,7 +61,7 @@ def content_words(text: str | None, least: int = 4) -> list[str]:
 
 def speech_rows(spark, folder: str, columns: list[str]) -> DataFrame:
     """Speech rows of interventions, copies included."""
-    return table(spark, folder, "interventions").where(F.col("dm_speech") == 1).select("id_int", *columns)
+    return spread(table(spark, folder, "interventions").where(F.col("dm_speech") == 1).select("id_int", *columns))
 
 
 def with_counts(df: DataFrame, text: str = "text", least: int = 4) -> DataFrame:

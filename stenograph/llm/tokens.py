@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .arrow import lists, map_batches
 
 #: Folder of the public vocabularies; a parameter of every function that loads one.
@@ -204,7 +204,7 @@ def token_counts(documents: DataFrame, text: str = "text", output: str = "n_toke
 
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, ids) of every document by byte_bpe_50k."""
-    return encode(table(spark, folder, "documents").select("doc_id", "text"))
+    return encode(spread(table(spark, folder, "documents").select("doc_id", "text")))
 
 
 QUERIES = {"p8_ids": p8_ids}

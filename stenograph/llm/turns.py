@@ -425,7 +425,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_turns(spark: SparkSession, folder: str) -> DataFrame:
     """The sittings as clean turns in order, each with its speaker."""
-    rows = one_per_key(speech_rows(spark, folder, ["row_n", "intervention_order", *_PIECE_COLUMNS]), "id_int", "row_n", ["id_int", "intervention_order", *_PIECE_COLUMNS])
+    rows = one_per_key(speech_rows(spark, folder, ["row_n", "intervention_order", *_PIECE_COLUMNS]), "id_int", "row_n", ["id_int", "intervention_order", *_PIECE_COLUMNS], payload=True)
     return clean_turns(rows, table(spark, folder, "deputies"))
 
 

@@ -228,6 +228,20 @@ def test_pairs_against_brute_force(spark, heavy):
         got = {(x["term_a"], x["term_b"], x["n_ab"], x["n_a"], x["n_b"]) for x in pairs.item_pairs(df, "id", "words", n, least, lift, heavy).collect()}
         assert got == want
     assert pairs.item_pairs(df.limit(0), "id", "words", 0).count() == 0
+    large = pairs.item_pairs(df, "id", "words", 10**10, 1, 0.0, heavy).orderBy("term_a", "term_b").first()
+    assert large["lift"] == large["n_ab"] * 10**10 / (large["n_a"] * large["n_b"])
+    product = df.sparkSession.range(1).select((F.lit(3 * 10**9).cast("decimal(19,0)") * F.lit(9 * 10**9).cast("decimal(19,0)")).alias("p")).first()["p"]
+    assert product == 27 * 10**18
+
+
+def test_pairs_of_a_long_record_come_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(pairs, "_PAIRS_PER_BATCH", 50)
+    batch = pa.RecordBatch.from_arrays([pa.array([[1], [2, 3], list(range(10, 40)), [], [7, 8, 9]], pa.list_(pa.int64()))], names=["l"])
+    out = list(pairs._list_pairs([batch.slice(1)]))
+    got = [p for b in out for p in zip(b.column("a").to_pylist(), b.column("b").to_pylist())]
+    assert got == [(2, 3), *combinations(range(10, 40), 2), (7, 8), (7, 9), (8, 9)] and max(b.num_rows for b in out) <= 150
 
 
 # --- 6 ---
