@@ -26,15 +26,21 @@ CONFUSIONS = [
 RATIO = 10
 #: ... or this many times, if the form holds a digit or mark that words don't have.
 RATIO_MARKED = 2
+#: Two misreadings in a word of letters alone need this many letters each to be believed.
+LETTERS_PER_ERROR = 4
 #: A running header's name must stand in this share of all header-like lines, and at least LEAST_HEADER
 #: times; so at most 1 / HEADER_SHARE names exist, which bounds what is sent to executors.
 HEADER_SHARE = 1 / 1000
 LEAST_HEADER = 5
-#: A word in this share of all words needs no check; at most 1 / KNOWN_SHARE words can be so frequent.
+#: Letters of a header's name; names of fewer than 8 must be met exactly, longer ones within a few edits.
+LEAST_NAME = 4
+#: Words in this share of all words, if nothing corrects them, are passed over at once; at most 1 / KNOWN_SHARE
+#: words can be so frequent. It saves time and changes no row.
 KNOWN_SHARE = 1 / 40_000
 
-_TOKEN = re.compile(r"[^\W_](?:[\w|¡]|!(?=\w))*(?:-[^\W_](?:[\w|¡]|!(?=\w))*)*|[|¡](?=[^\W\d_]{2})(?:[\w|¡])+")
-_PAGE = re.compile(r"\W*(?:(?:p[áa]g(?:ina)?s?|p|folio|fl)\W{0,2}\s*)?[\dSslIOo|]{1,6}(?:\s*/\s*[\dSslIOo|]{1,6})?\W*", re.IGNORECASE)
+_PART = r"[^\W_][\w|¡]*(?:!(?=\w)[\w|¡]*)*"
+_TOKEN = re.compile(rf"{_PART}(?:-{_PART})*|[|¡](?=[^\W\d_]{{2}})[\w|¡]+")
+_PAGE = re.compile(r"\W*+(?:(?:p[áa]g(?:ina)?s?|p|folio|fl)\W{0,2}\s*)?[\dSslIOo|]{1,6}(?:\s*/\s*[\dSslIOo|]{1,6})?\W*", re.IGNORECASE)
 _SPECIAL = re.compile(r"\d|[Nn][úuo]|[Rr][Ee][Uu]|[Pp][áa]g|[Ss]es|[ªº]")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _NUMERIC = re.compile(r"\S*\d\S*")
@@ -57,17 +63,20 @@ def skeleton(line: str) -> str:
     return re.sub(r"[\W\d_]+", "", fold_text(_NUMERIC.sub(_without_number, _AFFIX.sub(" ", line))))
 
 
+_DIGIT = re.compile(r"\d")
+
+
 def header_like(line: str) -> bool:
-    """Whether a line is built as running headers are: a short name with a page, date or number at its
-    edge, set apart by a bar, dash, dot or wide blank, or in square brackets."""
+    """Whether a line is built as running headers are: a name with a page, date or number at its edge, set
+    apart by a bar, dash, dot or wide blank, or in square brackets."""
     text = line.strip()
-    if not 8 <= len(text) <= 70 or not any(c.isdigit() for c in text):
+    if not _DIGIT.search(text):
         return False
     if text[0] == "[":
         return bool(re.fullmatch(r"\[[^\[\]]+,\s?\S*\d\S*[\]I|l]", text))
     return bool(
-        re.fullmatch(r"(?:\S*\d\S*(?:   | — | · ))?[^\d]{6,45}?(?:   | / | — |\.- )\S*\d\S*(?:   \S+\s\S*\d\S*)?", text)
-        or re.fullmatch(r"\S*\d\S*\s\S+ · \S*\d\S* · [^\d]{6,45}", text)
+        re.fullmatch(r"(?:\S*\d\S*(?:   | — | · ))?[^\d]{4,}?(?:   | / | — |\.- )\S*\d\S*(?:   \S+\s\S*\d\S*)?", text)
+        or re.fullmatch(r"\S*\d\S*\s\S+ · \S*\d\S* · [^\d]{4,}", text)
     )
 
 
@@ -133,7 +142,7 @@ def lines_of(text: str, headers: Headers) -> list[tuple[int, str, str | None]]:
         if line.strip():
             if headers.matches(line):
                 kind = "header"
-            elif len(line) <= 24 and _is_page(line, raw[k - 1] if k else "", width if len(raw) > 1 else 0) and len(raw) > 1:
+            elif _is_page(line, raw[k - 1] if k else "", width if len(raw) > 1 else 0) and len(raw) > 1:
                 kind = "page"
         out.append((at, line, kind))
         at += len(line) + 1
@@ -142,8 +151,10 @@ def lines_of(text: str, headers: Headers) -> list[tuple[int, str, str | None]]:
 
 def _opens(line: str, at: int, before: str) -> bool:
     """Whether the word at ``at`` opens a sentence."""
-    left = line[:at].rstrip(" \t\"“«¿¡([—–-") or before.rstrip(" \t\"”»)]")
-    return not left or left[-1] in ".!?…:"
+    while at and line[at - 1] in " \t\"“«¿¡([—–-":
+        at -= 1
+    last = line[at - 1] if at else before.rstrip(" \t\"”»)]")[-1:]
+    return not last or last in ".!?…:"
 
 
 def words_of(lines: list[tuple[int, str, str | None]], known: frozenset | set = frozenset()) -> Iterator[tuple[int, str, str, bool]]:
@@ -247,7 +258,7 @@ def corrections(words: DataFrame, ratio: int = RATIO, ratio_marked: int = RATIO_
     letters = list(dict.fromkeys(b for _, b in pairs))
     # The rules that can apply are found from the strings the word holds, so no rule is tried in vain.
     held = rare.withColumn("m1", F.explode(F.filter(F.array(*[F.when(F.instr("word", m) > 0, F.lit(m)) for m in letters]), lambda x: x.isNotNull())))
-    tried = held.join(rules, "m1").where(F.col("m2").isNull() | (F.col("marked") & (F.instr("word", F.col("m2")) > 0))).withColumn("hash", F.col("own") + F.col("shift"))
+    tried = held.join(rules, "m1").where(F.col("m2").isNull() | ((F.instr("word", F.col("m2")) > 0) & (F.col("marked") | (F.length("word") >= LETTERS_PER_ERROR * 2)))).withColumn("hash", F.col("own") + F.col("shift"))
     hits = tried.join(frequent, "hash").where(
         (F.col("word") != F.col("printed"))
         & (F.col("n_printed") >= F.col("n") * F.when(F.col("marked"), ratio_marked).otherwise(ratio))
@@ -258,24 +269,25 @@ def corrections(words: DataFrame, ratio: int = RATIO, ratio_marked: int = RATIO_
 
 
 class Evidence:
-    """What is known from the whole corpus: word counts (stored), header names, very frequent words."""
+    """What is known from the whole corpus: word counts and corrections (stored), header names, very frequent words
+    that nothing corrects."""
 
     def __init__(self, texts: DataFrame) -> None:
         counts = materialize(corpus_counts(texts), "scan-counts")
         self.words = counts.where(F.col("kind") == "w")
-        heads = counts.where((F.col("kind") == "h") & (F.length("key") >= 8))
+        heads = counts.where((F.col("kind") == "h") & (F.length("key") >= LEAST_NAME))
         totals = counts.groupBy("kind").agg(F.sum("n").alias("n")).collect()
         total = {r["kind"]: r["n"] for r in totals}
         least = max(LEAST_HEADER, total.get("h", 0) * HEADER_SHARE)
         self.headers = sorted(r["key"] for r in heads.where(F.col("n") >= least).select("key").collect())
-        often = max(20, total.get("w", 0) * KNOWN_SHARE)
-        known = self.words.where((F.col("n") >= often) & F.col("key").rlike(r"^\p{L}+$") & (F.col("low") > 0)).select("key")
-        self.known = sorted(r["key"] for r in known.collect())
+        self.corrections = materialize(corrections(self.words), "scan-corrections")
+        often = self.words.where((F.col("n") >= total.get("w", 0) * KNOWN_SHARE) & F.col("key").rlike(r"^\p{L}+$")).select("key")
+        self.known = sorted(r["key"] for r in often.join(self.corrections, F.col("key") == F.col("word"), "left_anti").collect())
 
 
 def candidates(texts: DataFrame, evidence: Evidence) -> DataFrame:
-    """(id_int, kind, start_char, end_char, word, cut): edge lines as they are, cut words, and words not
-    known to be frequent."""
+    """(id_int, kind, start_char, end_char, word, cut): edge lines as they are, cut words, and words not known to
+    be right."""
     names, often = evidence.headers, evidence.known
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,10 +335,13 @@ def faults(texts: DataFrame, evidence: Evidence | None = None) -> DataFrame:
     hyphened = evidence.words.where(F.col("key").contains("-")).select(F.col("key").alias("hyphened"), F.col("n").alias("hyphened_n"))
     cuts = cuts.join(counted, "word", "left").join(hyphened, "hyphened", "left")
     hyphen = cuts.where(F.coalesce("hyphened_n", F.lit(0)) <= F.coalesce("joined_n", F.lit(0))).select("id_int", "kind", "start_char", "end_char", F.col("word").alias("repaired"))
-    wrong = found.where(F.col("kind") == "char").join(corrections(evidence.words), "word").select("id_int", "kind", "start_char", "end_char", F.col("printed").alias("repaired"))
+    wrong = found.where(F.col("kind") == "char").join(evidence.corrections, "word").select("id_int", "kind", "start_char", "end_char", F.col("printed").alias("repaired"))
     return edge.unionByName(hyphen).unionByName(wrong)
 
 
+_CUT_WORD = re.compile(rf"[^\W\d_][\w|¡-]*[{CUTS}]\s*")
+
+
 def repair(text: str, found: list) -> str:
     """The text with edge lines removed, cut words joined, misread words corrected and lines reflowed.
 
@@ -344,15 +359,16 @@ def repair(text: str, found: list) -> str:
             at = b + 1 if text[b : b + 1] == "\n" else b
         else:
             if f["kind"] == "hyphen":  # the rest of the word may lie behind a page's edge
-                m = re.match(rf"[^\W\d_][\w|¡-]*[{CUTS}]\s*", text[a:])
-                b = a + (m.end() if m else b - a)
+                m = _CUT_WORD.match(text, a)
+                b = m.end() if m else b
                 tail = _TOKEN.match(text, b)
                 b = tail.end() if tail else b
             out.append(new.upper() if old.isupper() and len(old) > 1 else new[:1].upper() + new[1:] if old[:1].isupper() else new)
             at = b
     out.append(text[at:])
     paragraphs = re.split(r"\n\s*\n", "".join(out))
-    return "\n\n".join(p for p in (re.sub(r"\s*\n\s*", " ", x).strip() for x in paragraphs) if p)
+    joined = (" ".join(line for line in map(str.strip, x.split("\n")) if line) for x in paragraphs)
+    return "\n\n".join(p for p in joined if p)
 
 
 def whole_rows(spark: SparkSession, folder: str) -> DataFrame:
