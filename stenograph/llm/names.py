@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -14,8 +16,9 @@ from ..session import materialize
 from ..sources.tables import table
 from .terms import fold_text
 
-#: Pivots of the metric partitioning; bounds the array each name is compared with.
-PIVOTS = 48
+#: Pivots of the metric partitioning: the square root of the number of points, at most this many. It bounds the
+#: array each name is compared with; cells are split further by rings, so a cell needn't stay small.
+MOST_PIVOTS = 1024
 
 # --- fixed values: usual pet names and short forms of Spanish and Portuguese given names, folded ---
 PET_NAMES = {
@@ -34,10 +37,10 @@ PET_NAMES = {
     "luisito": "luis", "lupe": "guadalupe", "lupita": "guadalupe", "maite": "maria", "malena": "magdalena", "mane": "manuel", "manel": "manuel", "manolo": "manuel",
     "manu": "manuel manuela", "manolito": "manuel", "maneco": "manuel", "marita": "maria", "mari": "maria", "maruja": "maria", "mariquita": "maria", "martita": "marta", "martinha": "marta", "meche": "mercedes",
     "memo": "guillermo", "merche": "mercedes", "merceditas": "mercedes", "moncho": "ramon", "monchi": "ramon", "monchito": "ramon", "nacho": "ignacio", "nachito": "ignacio", "nanda": "fernanda", "nando": "fernando",
-    "nena": "elena", "neco": "manuel", "nela": "manuela", "nelo": "manuel", "nina": "catalina", "olito": "manuel", "paca": "francisca", "paco": "francisco",
+    "nena": "elena", "neco": "manuel", "nela": "manuela", "nelo": "manuel", "nina": "catalina", "paca": "francisca", "paco": "francisco",
     "pancha": "francisca", "pancho": "francisco", "paquita": "francisca", "paquito": "francisco", "pepa": "josefa", "pepe": "jose", "pepita": "josefa", "pepito": "jose",
     "perico": "pedro", "pili": "pilar", "pilarin": "pilar", "pilarica": "pilar", "quico": "francisco", "quim": "joaquim", "quique": "enrique", "rafa": "rafael", "rafi": "rafael", "rafinha": "rafael", "rai": "raimundo", "rosi": "rosario",
-    "rita": "margarita", "roque": "enrique", "santi": "santiago", "sebas": "sebastian sebastiao", "teo": "teodoro", "tere": "teresa", "teresita": "teresa", "teresinha": "teresa",
+    "rita": "margarita", "santi": "santiago", "sebas": "sebastian sebastiao", "teo": "teodoro", "tere": "teresa", "teresita": "teresa", "teresinha": "teresa",
     "tiao": "sebastiao", "tiaozinho": "sebastiao", "tino": "agustin", "tito": "alberto", "titi": "tiago", "tomasito": "tomas", "tomi": "tomas", "tonho": "antonio", "toni": "antonio", "tonico": "antonio", "toninho": "antonio", "tono": "antonio",
     "totonho": "antonio", "toya": "victoria", "tucho": "antonio", "vasquinho": "vasco", "vicen": "vicente", "vicentin": "vicente", "xico": "francisco", "ze": "jose", "zeca": "jose", "zezinho": "jose", "zefa": "josefa",
 }
@@ -54,7 +57,7 @@ _MISREAD = str.maketrans("015|", "olsl")
 
 
 def _tokens(text: str) -> list[str]:
-    return [fold_text(t) for t in _TOKEN.findall(text)]
+    return [fold_text(t) for t in _TOKEN.findall(unicodedata.normalize("NFC", text))]  # a mark that stands alone would cut the word
 
 
 def _strip_titles(tokens: list[str]) -> list[str]:
@@ -76,7 +79,7 @@ def name_part(raw: str | None) -> str:
     """What is left of a typed speaker when titles, party, brackets and end marks are taken off."""
     if not raw:
         return ""
-    text = re.sub(r"^[^\W\d_]+(?:\s[^\W\d_]+)?:\s+(?=\S)", "", raw.strip())
+    text = re.sub(r"^[^\W\d_]+(?:\s[^\W\d_]+)?:\s+(?=\S)", "", unicodedata.normalize("NFC", raw.strip()))
     outside = re.sub(r"[(\[][^)\]]*[)\]]?", " ", text)
     for candidate in (outside, " ".join(re.findall(r"[(\[]([^)\]]*)", text))):
         clean = re.sub(r"[\s:;.,—–\-]+$", "", re.sub(r"(?<=\w)\.(?=[\s:—–-]*$)", lambda m: "." if re.search(r"\b\w\.[\s:—–-]*$", candidate) else "", candidate)).strip()
@@ -87,12 +90,13 @@ def name_part(raw: str | None) -> str:
     return ""
 
 
-def readings(name: str) -> list[tuple[list[str], str, str, bool]]:
+def readings(name: str, most_given: int = 4) -> list[tuple[list[str], str, str, bool]]:
     """(given tokens, surnames without blanks, initial of the second surname, only the first surname?).
 
     Each way to split the name into given names and surnames: given first, given last, given behind a
     comma; a last single letter may stand for the second surname; "de X" behind a surname may be a
-    spouse's name.
+    spouse's name. ``most_given``: given names of the person of the register who has most, so that no reading
+    with more can fit. A surname has two letters or more.
     """
     out: list[tuple[list[str], str, str, bool]] = []
 
@@ -104,7 +108,7 @@ def readings(name: str) -> list[tuple[list[str], str, str, bool]]:
         if len(surname) > 1 and len(surname[-1].rstrip(".")) == 1:
             initial, surname = surname[-1][0], surname[:-1]
         joined = letters(surname)
-        if len(joined) >= 4 and len(given) <= 4:
+        if len(joined) >= 2 and len(given) <= most_given:
             out.append((given, joined, initial, only))
 
     left, comma, right = name.partition(",")
@@ -112,8 +116,8 @@ def readings(name: str) -> list[tuple[list[str], str, str, bool]]:
     if comma:
         options = [(right.split(), first)]
     else:
-        options = [(first[:k], first[k:]) for k in range(min(4, len(first)))]
-        options += [(first[-k:], first[:-k]) for k in (1, 2) if len(first) > k]
+        options = [(first[:k], first[k:]) for k in range(min(most_given + 1, len(first)))]
+        options += [(first[-k:], first[:-k]) for k in range(1, most_given + 1) if len(first) > k]
     for given, surname in options:
         add(given, surname)
         if "de" in surname[1:-1]:
@@ -195,33 +199,39 @@ def radius(name: Column) -> Column:
     return F.when(n < 5, 0).when(n < 8, 1).when(n < 13, 2).when(n < 18, 3).otherwise(4)
 
 
-def radius_join(queries: DataFrame, points: DataFrame, block: str, query: str, point: str, pivots: int = PIVOTS) -> DataFrame:
+def radius_join(queries: DataFrame, points: DataFrame, block: str, query: str, point: str, pivots: int | None = None) -> DataFrame:
     """Pairs (block, query, point, d) of equal block whose edit distance is within the query's radius.
 
-    ``queries`` and ``points`` hold distinct values. Every point goes to the cell of its nearest pivot.
-    A query with radius r goes to each cell p that may hold a match: by the triangle inequality
-    d(q, p) <= d(q, nearest pivot) + 2 r, and the cell's points lie in the ring |d(q, p) - d(x, p)| <= r
-    around its pivot, which also discards most pairs before the distance is computed. Pivots are drawn
-    from the points by hash, so the same data give the same cells; their number is a bound, not a
-    limit of the result, which is exact. Nulls match nothing.
+    ``queries`` and ``points`` hold distinct values. Every point goes to the cell of its nearest pivot, and
+    there to the ring of its distance from it. A query with radius r goes to each cell p that may hold a match, by
+    the triangle inequality d(q, p) <= d(q, nearest pivot) + 2 r, and there to the rings
+    |d(q, p) - d(x, p)| <= r that exist. So (block, cell, ring) is the join key: most pairs are never formed, and a
+    busy cell is many keys. Pivots are drawn from the points by hash, so the same data give the same cells;
+    their number follows that of the points and limits no result, which is exact. Queries longer or shorter than
+    any point by more than their radius can't match and aren't compared. Nulls match nothing.
     """
-    drawn = [r[0] for r in points.select(point).where(F.col(point).isNotNull()).distinct().orderBy(F.xxhash64(point), point).limit(pivots).collect()]
-    if not drawn:
+    facts = points.where(F.col(point).isNotNull()).agg(F.approx_count_distinct(point).alias("n"), F.min(F.length(point)).alias("short"), F.max(F.length(point)).alias("long")).first()
+    if not facts["n"]:
         return queries.select(block, query).join(points.select(block, point).limit(0), block).withColumn("d", F.lit(0))
+    pivots = pivots or min(MOST_PIVOTS, max(8, math.isqrt(facts["n"])))
+    drawn = [r[0] for r in points.select(point).where(F.col(point).isNotNull()).distinct().orderBy(F.xxhash64(point), point).limit(pivots).collect()]
     array = F.array(*[F.lit(p) for p in drawn])
     spread = lambda c: F.transform(array, lambda p, k: F.struct(F.levenshtein(c, p).alias("dp"), k.alias("cell")))
-    cells = points.select(block, point).withColumn("_n", F.array_min(spread(F.col(point)))).select(block, point, F.col("_n.cell").alias("_cell"), F.col("_n.dp").alias("_dx"))
-    rings = cells.groupBy("_cell").agg(F.min("_dx").alias("lo"), F.max("_dx").alias("hi"))
+    cells = points.select(block, point).where(F.col(point).isNotNull()).withColumn("_n", F.array_min(spread(F.col(point)))).select(block, point, F.col("_n.cell").alias("_cell"), F.col("_n.dp").alias("_ring"))
+    rings = cells.groupBy("_cell").agg(F.min("_ring").alias("_lo"), F.max("_ring").alias("_hi"))
     sent = (
-        queries.select(block, query).withColumn("_r", radius(F.col(query))).withColumn("_all", spread(F.col(query)))
+        queries.select(block, query).withColumn("_r", radius(F.col(query)))
+        .where((F.length(query) >= facts["short"] - F.col("_r")) & (F.length(query) <= facts["long"] + F.col("_r")))
+        .withColumn("_all", spread(F.col(query)))
         .withColumn("_near", F.array_min("_all")["dp"])
         .withColumn("_to", F.explode(F.filter("_all", lambda s: s["dp"] <= F.col("_near") + 2 * F.col("_r"))))
         .select(block, query, "_r", F.col("_to.cell").alias("_cell"), F.col("_to.dp").alias("_dq"))
         .join(F.broadcast(rings), "_cell")  # one row per pivot
-        .where((F.col("_dq") + F.col("_r") >= F.col("lo")) & (F.col("_dq") - F.col("_r") <= F.col("hi")))
+        .withColumn("_from", F.greatest(F.col("_dq") - F.col("_r"), "_lo")).withColumn("_until", F.least(F.col("_dq") + F.col("_r"), "_hi"))
+        .where(F.col("_from") <= F.col("_until"))
+        .withColumn("_ring", F.explode(F.sequence("_from", "_until")))
     )
-    ring = (F.abs(F.col("_dq") - F.col("_dx")) <= F.col("_r")) & (F.abs(F.length(query) - F.length(point)) <= F.col("_r"))
-    pairs = sent.join(cells, [block, "_cell"]).where(ring).withColumn("d", F.levenshtein(query, point))
+    pairs = sent.join(cells, [block, "_cell", "_ring"]).where(F.abs(F.length(query) - F.length(point)) <= F.col("_r")).withColumn("d", F.levenshtein(query, point))
     return pairs.where(F.col("d") <= F.col("_r")).select(block, query, point, "d")
 
 
@@ -257,12 +267,15 @@ def link_names(typed: DataFrame, register: DataFrame) -> DataFrame:
     fit nobody (offices, voices, people not in the register) or several persons are not linked.
     """
 
+    names = register.where(F.col("id_dep").isNotNull()).agg(F.max(F.size(F.split(F.trim("first_name"), r"\s+"))).alias("given")).first()
+    most_given = max(1, names["given"] or 1)
+
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
             for country, name in zip(batch.column("country").to_pylist(), batch.column("name").to_pylist()):
                 seen = set()
-                for given, surname, initial, only in readings(name_part(name)):
+                for given, surname, initial, only in readings(name_part(name), most_given):
                     key = (" ".join(given), surname, initial, only)
                     if key not in seen:
                         seen.add(key)
@@ -289,9 +302,9 @@ def link_names(typed: DataFrame, register: DataFrame) -> DataFrame:
 
     judged = fits.select("country", "name", "typed", "initial", "only", "id_dep", "given", "second", "kind", F.col("d").cast("int").alias("d")).mapInArrow(judge, "country string, name string, id_dep string, cost int")
     person = judged.groupBy("country", "name", "id_dep").agg(F.min("cost").alias("cost"))
-    # Persons of a country who share a surname bound the group of one name.
-    best = person.groupBy("country", "name").agg(F.sort_array(F.collect_list(F.struct("cost", "id_dep"))).alias("l"))
-    return best.where(F.when(F.size("l") == 1, F.lit(True)).otherwise(F.try_element_at("l", F.lit(1))["cost"] < F.try_element_at("l", F.lit(2))["cost"])).select("country", "name", F.col("l")[0]["id_dep"].alias("id_dep"))
+    level = person.groupBy("country", "name", "cost").agg(F.count("*").alias("n"), F.min("id_dep").alias("id_dep"))
+    best = level.groupBy("country", "name").agg(F.min(F.struct("cost", "n", "id_dep")).alias("b"))
+    return best.where(F.col("b.n") == 1).select("country", "name", F.col("b.id_dep").alias("id_dep"))
 
 
 def unlinked_rows(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from .terms import fold_text
+from .terms import composed, fold_text
 
 # --- fixed values: hesitations and empty phrases of Spanish and Portuguese transcripts ---
 #: Set off by commas or by a sentence's start, and followed by a comma.
@@ -167,10 +167,17 @@ def candidates(text: str | None) -> list[Candidate]:
     Kinds are those of ``pieces`` and ``bracket`` (a name or a note in square brackets). ``sure``: 2 decided by
     the text alone, 1 a note by its words, 0 left to the corpus: remarks in brackets to their form's other uses,
     labels to the roster. ``evidence`` is the form of a note or the text of a label; a note that isn't set off
-    from the sentence has its form prefixed by a blank. Time is linear in the text.
+    from the sentence has its form prefixed by a blank. Decomposed letters are read as composed ones; offsets are
+    those of the text as it is. Time is linear in the text.
     """
     if not text:
         return []
+    text, offsets = composed(text)
+    found = _candidates(text)
+    return found if offsets is None else [(offsets[a], offsets[b], *rest) for a, b, *rest in found]
+
+
+def _candidates(text: str) -> list[Candidate]:
     taken: list[Candidate] = [(m.start(), m.end(), "timestamp", 2, None) for m in _STAMP.finditer(text)]
     labels = _labels(text) if any(c in text for c in ":-–—[") else []
     layer: list[Candidate] = [x for x in labels if x[2] == "bracket"]

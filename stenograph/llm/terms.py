@@ -52,6 +52,26 @@ def fold_text(text: str) -> str:
     return _FAR_MARKS.sub("", plain) if _FAR.search(plain) else plain
 
 
+_CLUSTER = re.compile("[^\u0300-\u036f][\u0300-\u036f]+")
+
+
+def composed(text: str) -> tuple[str, list[int] | None]:
+    """The text with letters and their marks composed, and the offset in ``text`` of each of its characters and of
+    its end; null if nothing changes."""
+    if text.isascii() or unicodedata.is_normalized("NFC", text):
+        return text, None
+    out, offsets, at = [], [], 0
+    for m in _CLUSTER.finditer(text):
+        whole = unicodedata.normalize("NFC", m.group())
+        out += [text[at : m.start()], whole]
+        offsets += range(at, m.start())
+        offsets += [m.start()] * len(whole)
+        at = m.end()
+    out.append(text[at:])
+    offsets += range(at, len(text) + 1)
+    return "".join(out), offsets
+
+
 def content_words(text: str | None, least: int = 4) -> list[str]:
     """The folded words of ``least`` or more characters that are all letters, in order."""
     if not text:

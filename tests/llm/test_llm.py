@@ -144,11 +144,12 @@ def test_radius_join_is_exact(spark):
         ("El Sr. PACO MARTORELL (ABC)", "1"), ("Martorell Ibáñez, Francisco", "1"), ("F. Martorel I.", "1"), ("Francisco MartorellIbáñez", "1"), ("LA SRA. Mª DEL VALLE QUIROGA", None),
         ("La Sra. Mª Quiroga Sosa", "2"), ("María Quiroga de Zapata", "2"), ("Quiroga", None), ("Sosa", None), ("El señor PRESIDENTE (Martorell)", "1"), ("Tomás Martorell", None),
         ("El señor PRESIDENTE", None), ("Una voz", None), ("", None), (None, None), ("Invitada: Josefa Martorell Lugones", None),
+        ("Gil, Ana", "5"), ("ana gil", "5"), ("Sr. Paz", "6"), ("El Sr. Rey", None), ("Mari\u0301a Quiroga Sosa", "2"), ("x " * 3000 + "Martorell", None), ("Ana María Luisa Josefa Teresa Gil", None),
     ],
 )
 def test_names(spark, typed, expected):
     reg = spark.createDataFrame(
-        [("ES", "1", "Francisco Javier", "Martorell Ibáñez"), ("ES", "2", "María", "Quiroga Sosa"), ("ES", "3", "Rita", "Sosa Quiroga"), ("PT", "4", "Tomás", "Martorell Gil"), ("ES", None, None, None)], REGISTER
+        [("ES", "1", "Francisco Javier", "Martorell Ibáñez"), ("ES", "2", "María", "Quiroga Sosa"), ("ES", "3", "Rita", "Sosa Quiroga"), ("PT", "4", "Tomás", "Martorell Gil"), ("ES", "5", "Ana", "Gil Roa"), ("ES", "6", "Rui", "Paz Sá"), ("ES", None, None, None)], REGISTER
     )
     got = names.link_names(spark.createDataFrame([("ES", typed)], "country string, name string"), reg).collect()
     assert [r["id_dep"] for r in got] == ([expected] if expected else [])
