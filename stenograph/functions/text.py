@@ -7,6 +7,7 @@ character plus combining marks maps to its base; marks that stand alone are remo
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import cache
@@ -20,12 +21,47 @@ WORD = r"[\p{L}\p{N}]+"
 MARKED_WORD = r"[\p{L}\p{N}\p{M}]+"
 
 
-def fold_str(text: str) -> str:
-    """Lower case, canonical decomposition, marks (Mn) removed, trimmed; the Python twin of ``fold``."""
+def _marks(begin: int, end: int) -> re.Pattern:
+    """Runs of nonspacing marks within a range of code points."""
+    codes = [c for c in range(begin, end) if unicodedata.category(chr(c)) == "Mn"]
+    out, k = [], 0
+    while k < len(codes):
+        j = k
+        while j + 1 < len(codes) and codes[j + 1] == codes[j] + 1:
+            j += 1
+        out.append(f"\\U{codes[k]:08x}-\\U{codes[j]:08x}")
+        k = j + 1
+    return re.compile(f"[{''.join(out)}]+")
+
+
+@cache
+def _mark_classes() -> tuple[re.Pattern, re.Pattern]:
+    """Marks of the first plane and beyond: one range beyond it in a class would make every character slow."""
+    return _marks(0, 0x10000), _marks(0x10000, sys.maxunicode + 1)
+
+
+_FAR = re.compile("[\U00010000-\U0010ffff]")
+_PYTHON_WORD = re.compile(r"[^\W_]+")
+
+
+def fold_text(text: str) -> str:
+    """Lower case, canonical decomposition, marks (Mn) removed; not trimmed."""
     low = text.lower()
     if low.isascii():
-        return low.strip()
-    return "".join(c for c in unicodedata.normalize("NFD", low) if unicodedata.category(c) != "Mn").strip()
+        return low
+    near, far = _mark_classes()
+    plain = near.sub("", unicodedata.normalize("NFD", low))
+    return far.sub("", plain) if _FAR.search(plain) else plain
+
+
+def fold_str(text: str) -> str:
+    """``fold_text``, trimmed: the Python twin of ``fold``."""
+    return fold_text(text).strip()
+
+
+def word_list(text: str | None) -> list[str]:
+    """The folded words of a text, in order: the Python twin of ``words``; null gives none."""
+    return _PYTHON_WORD.findall(fold_text(text)) if text else []
 
 
 @cache
@@ -45,6 +81,17 @@ def _bases() -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
+@cache
+def folded_letters() -> dict[str, str]:
+    """For each plain letter, the composed letters of either case that fold to it."""
+    out: dict[str, str] = {}
+    for char, base in zip(*_bases()):
+        low = base.lower()
+        if low.isascii() and low.isalpha() and ord(char) < 0x250:
+            out[low] = out.get(low, "") + char
+    return out
+
+
 def fold(text: Column | str) -> Column:
     """Lower case, NFD, combining marks removed, trimmed."""
     source, target = _bases()

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.terms import Filters, is_chair, occurrences, parse_terms
-from ..functions.text import words
+from ..functions.terms import Selection, is_chair, occurrences, parse_terms
+from ..functions.text import fold_str, words
 from ..sources.tables import one_per_key
 
 #: Below these a yearly value rests on too little text.
@@ -28,7 +31,7 @@ def denominators(rows: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def counted_turns(rows: DataFrame, filters: Filters, columns: Sequence[str], counts: Sequence[Column], version: str | None) -> DataFrame:
+def counted_turns(rows: DataFrame, filters: Selection, columns: Sequence[str], counts: Sequence[Column], version: str | None) -> DataFrame:
     """The filtered turns with their counts, texts left behind.
 
     With ``version`` the rows may hold copies of an ``id_int``: the lowest version is kept. Counting comes first,
@@ -40,12 +43,10 @@ def counted_turns(rows: DataFrame, filters: Filters, columns: Sequence[str], cou
     marked = rows.select("id_int", version, *[c for c in keep if c != "id_int"], filters.where().alias("_kept"), *counts)
     names = [c for c in marked.columns if c not in ("id_int", version)]
     single = one_per_key(marked, "id_int", version, ["id_int", *names]).where("_kept").drop("_kept")
-    if filters.members is not None:
-        single = single.join(filters.members.select("id_int").distinct(), "id_int", "left_semi")
-    return single
+    return filters.join(single)
 
 
-def ngram_series(rows: DataFrame, terms: str, filters: Filters, by_country: bool = False, measure: str = "per_million", smoothing: int = 0, version: str | None = None) -> DataFrame:
+def ngram_series(rows: DataFrame, terms: str, filters: Selection, by_country: bool = False, measure: str = "per_million", smoothing: int = 0, version: str | None = None) -> DataFrame:
     """(series, [country], year, count, value, words, turns, sessions, low_base) of each term series.
 
     ``value`` is per million words, the count, or the share of turns that use the term. Years without
@@ -76,25 +77,29 @@ def ngram_series(rows: DataFrame, terms: str, filters: Filters, by_country: bool
     return stacked.select("series", *group, "year", "count", F.round(smooth, 3).alias("value"), "words", "turns", "sessions", low.alias("low_base"))
 
 
-def ngram_from_unigrams(unigrams: DataFrame, word: str, filters: Filters) -> DataFrame:
-    """(year, count, words) of one word from the yearly word counts, without reading any text."""
-    if not filters.aggregates_suffice([word]):
-        raise ValueError("the yearly word counts can't answer this filter")
-    a, b = filters.year_bounds()
-    kept = unigrams
-    if filters.countries:
-        kept = kept.where(F.col("country").isin(*filters.countries))
-    if filters.sex:
-        kept = kept.where(F.col("sex") == filters.sex)
-    if a:
-        kept = kept.where(F.col("year") >= a)
-    if b:
-        kept = kept.where(F.col("year") <= b)
-    hit = F.when(F.col("fold") == word, F.col("n")).otherwise(0)
-    return kept.groupBy(F.col("year").cast("int").alias("year")).agg(F.sum(hit).cast("bigint").alias("count"), F.sum("n").cast("bigint").alias("words"))
-
-
-def term_counter(rows: DataFrame, variants: Sequence[str], filters: Filters, version: str | None = None) -> DataFrame:
+def ngram_from_unigrams(unigrams: DataFrame, word: str, filters: Selection) -> DataFrame:
+    """(year, count, words) of one word, case and accents ignored, from the yearly word counts, without any text."""
+    if not filters.answered_yearly([word]):
+        raise ValueError("the yearly word counts can't answer this selection")
+    hit = F.when(F.col("fold") == fold_str(word), F.col("n")).otherwise(0)
+    return unigrams.where(filters.yearly()).groupBy(F.col("year").cast("int").alias("year")).agg(F.sum(hit).cast("bigint").alias("count"), F.sum("n").cast("bigint").alias("words"))
+
+
+def ngram_counts(rows: DataFrame, unigrams: DataFrame | None, terms: str, filters: Selection, version: str | None = None) -> DataFrame:
+    """(series, year, count, words): from the yearly word counts where they can answer, else from the texts.
+
+    Both ways count the same folded words of the same turns; undated turns are in neither.
+    """
+    series = parse_terms(terms)
+    if unigrams is None or not filters.answered_yearly([v for _, variants in series for v in variants]):
+        return ngram_series(rows, terms, filters, version=version).where(F.col("words").isNotNull()).select("series", "year", "count", "words")
+    hits = [F.sum(F.when(F.col("fold").isin([fold_str(v) for v in variants]), F.col("n")).otherwise(0)).cast("bigint") for _, variants in series]
+    sums = unigrams.where(filters.yearly()).groupBy(F.col("year").cast("int").alias("year")).agg(F.sum("n").cast("bigint").alias("words"), *[h.alias(f"c{k}") for k, h in enumerate(hits)])
+    stacked = F.explode(F.array(*[F.struct(F.lit(label).alias("series"), F.col(f"c{k}").alias("count")) for k, (label, _) in enumerate(series)]))
+    return sums.select("year", "words", stacked.alias("s")).select("s.series", "year", "s.count", "words")
+
+
+def term_counter(rows: DataFrame, variants: Sequence[str], filters: Selection, version: str | None = None) -> DataFrame:
     """Per country: uses, turns, sittings, speakers, share linked, first and last use."""
     counted = counted_turns(rows, filters, ["id_int", "country", "id_session", "id_dep", "date"], [occurrences("text", variants).alias("occ")], version).where(F.col("occ") > 0)
     return counted.groupBy("country").agg(
@@ -109,7 +114,7 @@ def term_counter(rows: DataFrame, variants: Sequence[str], filters: Filters, ver
     )
 
 
-def term_frequency(rows: DataFrame, variants: Sequence[str], by: Column, filters: Filters, version: str | None = None) -> DataFrame:
+def term_frequency(rows: DataFrame, variants: Sequence[str], by: Column, filters: Selection, version: str | None = None) -> DataFrame:
     """(grp, uses, turns, words, per_million) by any grouping expression; rows without text are left out."""
     parts = [by.alias("grp"), occurrences("text", variants).alias("occ"), F.col("text").isNotNull().alias("_text")]
     g = counted_turns(rows, filters, ["n_words"], parts, version).where("_text").groupBy("grp")
@@ -117,7 +122,7 @@ def term_frequency(rows: DataFrame, variants: Sequence[str], by: Column, filters
     return out.withColumn("per_million", F.round(F.col("uses") * 1e6 / F.nullif("words", F.lit(0)), 2))
 
 
-def top_groups(rows: DataFrame, variants: Sequence[str], filters: Filters, group: str, k: int, version: str | None = None) -> DataFrame:
+def top_groups(rows: DataFrame, variants: Sequence[str], filters: Selection, group: str, k: int, version: str | None = None) -> DataFrame:
     """The ``k`` values of ``group`` with most uses in each country; ties by value."""
     counted = counted_turns(rows, filters, ["country", group], [occurrences("text", variants).alias("occ")], version).where((F.col("occ") > 0) & F.col(group).isNotNull())
     sums = counted.groupBy("country", group).agg(F.sum("occ").cast("bigint").alias("uses"))
@@ -125,7 +130,7 @@ def top_groups(rows: DataFrame, variants: Sequence[str], filters: Filters, group
     return sums.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
-def share_of_voice(rows: DataFrame, register: DataFrame, filters: Filters, by: str = "sex") -> DataFrame:
+def share_of_voice(rows: DataFrame, register: DataFrame, filters: Selection, by: str = "sex") -> DataFrame:
     """(country, year, grp, words, share_words, members, share_members, ratio).
 
     Members are the persons whose term overlaps the year (interval join, blocked by country and year);
@@ -197,18 +202,38 @@ def extremes(scores: DataFrame, score: str, label: str, k: int) -> DataFrame:
     return top.unionByName(scores.orderBy(F.asc(score), label).limit(k).withColumn("end", F.lit("low")))
 
 
+def _near_hits(tokens: DataFrame, word: str, window: int) -> DataFrame:
+    """(term, near, far): uses of each word within ``window`` tokens of ``word`` and beyond, counted per batch."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("w")
+            flat, parent = lists.flatten().dictionary_encode(), pc.list_parent_indices(lists).to_numpy()
+            names, code = flat.dictionary, flat.indices.to_numpy()
+            hit = np.flatnonzero(code == names.index(word).as_py()) if word in names.to_pylist() else np.zeros(0, dtype=np.int64)
+            near = np.zeros(len(code), dtype=bool)
+            for step in range(-window, window + 1):
+                at = hit + step
+                ok = (at >= 0) & (at < len(code))
+                at, own = at[ok], parent[hit[ok]]
+                near[at[parent[at] == own]] = True
+            a = np.bincount(code[near], minlength=len(names))
+            b = np.bincount(code[~near], minlength=len(names))
+            yield pa.RecordBatch.from_arrays([names, pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["term", "near", "far"])
+
+    return tokens.mapInArrow(run, "term string, near bigint, far bigint")
+
+
 def collocations(rows: DataFrame, word: str, window: int = 5, min_count: int = 5) -> DataFrame:
     """(word, near, far, g2): words that stand within ``window`` tokens of ``word`` more often than expected.
 
-    Each token takes the distance to the nearest hit by scanning its own turn's token array, so no token is
-    joined with another. The score sums the two cells near and far only.
+    Tokens are marked and counted within Arrow batches, so the shuffle carries counted words; the work is linear
+    in the tokens. The score sums the two cells near and far only.
     """
     tokens = rows.select(words("text").alias("w")).where(F.array_contains("w", word))
-    hits = F.filter(F.transform("w", lambda x, k: F.when(x == word, k)), lambda k: k.isNotNull())
-    placed = tokens.withColumn("hits", hits).select("hits", F.posexplode("w").alias("at", "term"))
-    near = F.exists("hits", lambda h: F.abs(h - F.col("at")) <= window)
-    counted = placed.withColumn("near", near).where((F.col("term") != word) & (F.length("term") > 1) & ~F.col("term").rlike(r"^\p{N}+$"))
-    sums = counted.groupBy("term").agg(F.count_if("near").alias("a"), F.count_if(~F.col("near")).alias("b"))
+    flagged = _near_hits(tokens, word, window)
+    counted = flagged.where((F.col("term") != word) & (F.length("term") > 1) & ~F.col("term").rlike(r"^\p{N}+$"))
+    sums = counted.groupBy("term").agg(F.sum("near").alias("a"), F.sum("far").alias("b"))
     t = sums.agg(F.sum("a").alias("a"), F.sum("b").alias("b")).first()
     ta, tb = float(t["a"] or 0), float(t["b"] or 0)
     ea = (F.col("a") + F.col("b")) * (ta / (ta + tb or 1.0))

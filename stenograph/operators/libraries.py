@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.terms import Filters, is_chair, occurrences, search_pattern
+from ..functions.terms import Selection, is_chair, occurrences, search_pattern
 from ..functions.terms import LONG_TURN
 
 
@@ -15,13 +15,13 @@ class StaleEdition(ValueError):
     """The subset was built on another edition of the data."""
 
 
-def create(rows: DataFrame, variants: list[str], filters: Filters, min_occurrences: int = 1) -> DataFrame:
+def create(rows: DataFrame, variants: list[str], filters: Selection, min_occurrences: int = 1) -> DataFrame:
     """(id_int, country, occ, text_md5) of turns that use the variants often enough.
 
     A cheap accent-tolerant search picks candidates; the exact count decides. A definition without a
     term, date, person or party would take whole chambers and is refused.
     """
-    if not variants and not (filters.date_from or filters.date_to or filters.party or filters.id_dep or filters.sex):
+    if not variants and not filters.narrows:
         raise ValueError("a subset needs a term, a date, a person, a party or a sex")
     kept = filters.apply(rows)
     if variants:
@@ -89,11 +89,17 @@ def describe(items: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def _checksum() -> Column:
+    """A checksum of ids that needs neither order nor a list: two sums of their hashes, and their number."""
+    part = lambda seed: F.hex(F.sum(F.shiftright(F.xxhash64("id_int", F.lit(seed)), 24)))
+    return F.concat_ws("-", F.count("*").cast("string"), part(1), part(2))
+
+
 def export(items: DataFrame, rows: DataFrame, folder: str, definition: dict) -> None:
-    """Write a subset as JSON by country, with an index of its definition and a checksum of its ids."""
+    """Write a subset as JSON by country, with an index of its definition and a checksum of its ids, whatever their order."""
     j = rows.join(items, "id_int", "left_semi").select("country", "id_int", "date", "speaker_raw", "text")
     j.write.mode("error").partitionBy("country").json(f"{folder}/items")
-    digest = j.groupBy("country").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.sort_array(F.collect_list("id_int")), "\n"), 256).alias("sha256"))
+    digest = j.groupBy("country").agg(F.count("*").alias("n"), _checksum().alias("checksum"))
     digest.withColumn("definition", F.lit(json.dumps(definition, sort_keys=True))).write.mode("error").json(f"{folder}/index")
 
 
@@ -101,8 +107,8 @@ def load(spark: SparkSession, folder: str) -> DataFrame:
     """Read an exported subset; a file whose ids don't match the index raises."""
     items = spark.read.json(f"{folder}/items")
     index = spark.read.json(f"{folder}/index")
-    now = items.groupBy("country").agg(F.sha2(F.array_join(F.sort_array(F.collect_list("id_int")), "\n"), 256).alias("now"))
-    bad = index.join(now, "country", "left").where(~F.col("sha256").eqNullSafe(F.col("now"))).limit(1).collect()
+    now = items.groupBy("country").agg(_checksum().alias("now"))
+    bad = index.join(now, "country", "left").where(~F.col("checksum").eqNullSafe(F.col("now"))).limit(1).collect()
     if bad:
         raise ValueError(f"checksum of {bad[0]['country']} differs")
     return items

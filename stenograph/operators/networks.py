@@ -4,34 +4,38 @@ from __future__ import annotations
 
 import random
 from collections import defaultdict, deque
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import fold
+from ..functions.text import word_list
 from ..session import materialize
+from .spotting import Trie
 
 #: Small-graph algorithms run on the driver; a graph may have at most this many edges there.
 DRIVER_EDGES = 200_000
 
 
-def entity_presence(rows: DataFrame, entities: Sequence[tuple[str, str]]) -> DataFrame:
-    """(id_int, entity): which entities a turn names. ``entities``: name and folded phrase.
+def entity_presence(rows: DataFrame, entities: Sequence[tuple[str, str]], exclude: Sequence[str] = ()) -> DataFrame:
+    """(id_int, entity): which entities a turn names. ``entities``: name and phrase; one name may have several.
 
-    A match strictly inside a longer match of another entity doesn't count: the longer phrases are
-    blanked out before shorter ones are looked for. Whole words, case and accents ignored.
+    A match strictly inside a longer match doesn't count, nor one inside a phrase of ``exclude``. Whole words, case
+    and accents ignored. One pass over the tokens with all phrases in a trie, however many there are.
     """
-    text = F.concat(F.lit(" "), F.regexp_replace(fold("text"), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    out = rows.select("id_int", text.alias("t0"))
-    ordered = sorted(entities, key=lambda e: (-len(e[1]), e[0]))
-    found = []
-    column = F.col("t0")
-    for name, phrase in ordered:
-        needle = f" {phrase} "
-        found.append(F.when(F.contains(column, F.lit(needle)), F.lit(name)))
-        column = F.replace(column, F.lit(needle), F.lit(" # "))
-    return out.select("id_int", F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("entity"))
+    trie = Trie([(word_list(p), n) for n, p in entities] + [(word_list(p), None) for p in exclude])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, names = [], []
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                for name in sorted({n for _, _, n in trie.longest(word_list(text)) if n is not None}):
+                    at.append(row)
+                    names.append(name)
+            yield pa.RecordBatch.from_arrays([batch.column("id_int").take(pa.array(at, pa.int64())), pa.array(names, pa.string())], names=["id_int", "entity"])
+
+    return rows.select("id_int", "text").where(F.col("text").isNotNull()).mapInArrow(run, "id_int string, entity string")
 
 
 def pair_network(presence: DataFrame, n_units: int, least: int = 5, least_npmi: float = 0.1) -> DataFrame:
@@ -65,11 +69,12 @@ def mention_edges(rows: DataFrame, aliases: Sequence[tuple[str, str]], least: in
     return j.groupBy(F.col("id_dep").alias("source"), F.col("entity").alias("target")).agg(F.countDistinct("id_int").alias("turns")).where(F.col("turns") >= least)
 
 
-def page_rank(edges: DataFrame, damping: float = 0.85, rounds: int = 30, driver_edges: int = DRIVER_EDGES) -> DataFrame:
-    """(node, rank) by power iteration; the mass of nodes without edges is spread evenly.
+def page_rank(edges: DataFrame, damping: float = 0.85, rounds: int = 200, tolerance: float = 1e-12, driver_edges: int = DRIVER_EDGES) -> DataFrame:
+    """(node, rank) by power iteration until the ranks change by less than ``tolerance`` in all, at most ``rounds`` times.
 
-    A graph of at most ``driver_edges`` edges (counted first) is iterated on the driver. A larger one is
-    iterated by joins, each round written to the shared folder, so that no round repeats the ones before.
+    The mass of nodes without outgoing edges is spread evenly. A graph of at most ``driver_edges`` edges (counted
+    first) is iterated on the driver. A larger one is iterated by joins, each round written to the shared folder, so
+    that no round repeats the ones before. Both give the same ranks.
     """
     spark = edges.sparkSession
     some = edges.select("source", "target", F.col("turns").cast("double")).limit(driver_edges + 1).collect()
@@ -84,7 +89,9 @@ def page_rank(edges: DataFrame, damping: float = 0.85, rounds: int = 30, driver_
             got = dict.fromkeys(nodes, spread)
             for a, b, w in some:
                 got[b] += damping * rank[a] * w / total[a]
-            rank = got
+            change, rank = sum(abs(got[k] - rank[k]) for k in nodes), got
+            if change < tolerance:
+                break
         return spark.createDataFrame([(k, v) for k, v in rank.items()], "node string, rank double")
     out = materialize(edges.groupBy("source").agg(F.sum("turns").alias("total")), "rank-out")
     share = materialize(edges.join(out, "source").select("source", "target", (F.col("turns") / F.col("total")).alias("p")), "rank-edges")
@@ -94,10 +101,74 @@ def page_rank(edges: DataFrame, damping: float = 0.85, rounds: int = 30, driver_
     for _ in range(rounds):
         dangling = rank.join(out, rank.node == out.source, "left_anti").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
         got = share.join(rank, share.source == rank.node).groupBy("target").agg(F.sum(F.col("p") * F.col("rank")).alias("g"))
-        rank = materialize(nodes.join(got, nodes.node == got.target, "left").select("node", (F.lit((1 - damping) / n + damping * dangling / n) + damping * F.coalesce("g", F.lit(0.0))).alias("rank")), "rank-round")
+        fresh = F.lit((1 - damping) / n + damping * dangling / n) + damping * F.coalesce("g", F.lit(0.0))
+        step = materialize(rank.withColumnRenamed("rank", "_old").join(got, F.col("node") == F.col("target"), "left").select("node", fresh.alias("rank"), F.abs(fresh - F.col("_old")).alias("moved")), "rank-round")
+        rank = step.select("node", "rank")
+        if (step.agg(F.sum("moved")).first()[0] or 0.0) < tolerance:
+            break
     return rank
 
 
+def _move(near: dict, degree: dict, label: dict, gamma: float, rng: random.Random) -> None:
+    """Move nodes to the neighbouring community that gains most until none gains; changes ``label``."""
+    mass: dict = defaultdict(float)
+    for a in near:
+        mass[label[a]] += degree[a]
+    queue = deque(rng.sample(sorted(near), len(near)))
+    waiting = set(queue)
+    while queue:
+        a = queue.popleft()
+        waiting.discard(a)
+        links: dict = defaultdict(float)
+        for b, w in near[a].items():
+            links[label[b]] += w
+        own = label[a]
+        mass[own] -= degree[a]
+        best, gain = own, links.get(own, 0.0) - gamma * degree[a] * mass[own]
+        for c in sorted(links):
+            g = links[c] - gamma * degree[a] * mass[c]
+            if g > gain + 1e-12:
+                best, gain = c, g
+        mass[best] += degree[a]
+        if best != own:
+            label[a] = best
+            for b in near[a]:
+                if label[b] != best and b not in waiting:
+                    queue.append(b)
+                    waiting.add(b)
+
+
+def _refine(near: dict, degree: dict, label: dict, gamma: float, rng: random.Random) -> dict:
+    """The part of each node: single nodes of a community merged where they and the part are well connected to it."""
+    part = {a: k for k, a in enumerate(sorted(near))}
+    community: dict = defaultdict(float)
+    for a in near:
+        community[label[a]] += degree[a]
+    outer = {a: sum(w for b, w in near[a].items() if label[b] == label[a]) for a in near}  # links into the rest of the community
+    mass, cut, size = {part[a]: degree[a] for a in near}, {part[a]: outer[a] for a in near}, {part[a]: 1 for a in near}
+    for a in rng.sample(sorted(near), len(near)):
+        own, whole = part[a], community[label[a]]
+        if size[own] > 1 or cut[own] < gamma * degree[a] * (whole - degree[a]) - 1e-12:
+            continue
+        links: dict = defaultdict(float)
+        for b, w in near[a].items():
+            if label[b] == label[a]:
+                links[part[b]] += w
+        best, gain = own, 0.0
+        for p in sorted(links):
+            if p != own and cut[p] >= gamma * mass[p] * (whole - mass[p]) - 1e-12:
+                g = links[p] - gamma * degree[a] * mass[p]
+                if g > gain + 1e-12:
+                    best, gain = p, g
+        if best != own:
+            part[a] = best
+            mass[best] += degree[a]
+            cut[best] += outer[a] - 2 * links[best]
+            size[best] += 1
+            size[own], mass[own], cut[own] = 0, 0.0, 0.0
+    return part
+
+
 class Graph:
     """A bounded undirected weighted graph on the driver."""
 
@@ -117,74 +188,46 @@ class Graph:
         return cls(sorted((r[0], r[1], r[2]) for r in rows))
 
     def communities(self, resolution: float = 1.0, seed: int = 1, rounds: int = 10) -> dict[str, int]:
-        """Leiden-style modularity communities: queued local moving, refinement to connected parts, aggregation.
+        """Leiden communities of modularity: queued local moving, refinement, aggregation of the refined parts.
 
-        Visiting order comes from the seed, so the same graph gives the same result. Communities are
-        numbered by falling size, then by their first node.
+        Refinement starts from single nodes within each community and merges only nodes that are well connected to
+        it, so that no part, and hence no community, can fall apart. The next round begins from the unrefined
+        communities. Visiting order comes from the seed and ties go to the lowest label, so the same graph gives the
+        same result. Communities are numbered by falling size, then by their first node.
         """
         rng = random.Random(seed)
         total = sum(w for n in self.near.values() for w in n.values()) or 1.0
-        near = {a: dict(n) for a, n in self.near.items()}
+        near: dict = {a: dict(n) for a, n in self.near.items()}
         loops: dict = defaultdict(float)
-        inside = {a: [a] for a in self.nodes}
+        inside: dict = {a: [a] for a in self.nodes}
+        label: dict = {a: k for k, a in enumerate(sorted(near))}
         for _ in range(rounds):
             degree = {a: sum(near[a].values()) + loops[a] for a in near}
-            label = {a: k for k, a in enumerate(sorted(near))}
-            mass = defaultdict(float)
-            for a in near:
-                mass[label[a]] += degree[a]
-            queue = deque(rng.sample(sorted(near), len(near)))
-            waiting = set(queue)
-            while queue:
-                a = queue.popleft()
-                waiting.discard(a)
-                links: dict[int, float] = defaultdict(float)
-                for b, w in near[a].items():
-                    links[label[b]] += w
-                own = label[a]
-                mass[own] -= degree[a]
-                best, gain = own, links.get(own, 0.0) - resolution * degree[a] * mass[own] / total
-                for c in sorted(links):
-                    g = links[c] - resolution * degree[a] * mass[c] / total
-                    if g > gain + 1e-12:
-                        best, gain = c, g
-                mass[best] += degree[a]
-                if best != own:
-                    label[a] = best
-                    for b in near[a]:
-                        if label[b] != best and b not in waiting:
-                            queue.append(b)
-                            waiting.add(b)
-            parts, seen = [], set()  # a community that fell apart becomes its connected parts
-            for a in sorted(near):
-                if a in seen:
-                    continue
-                part, todo = [], [a]
-                seen.add(a)
-                while todo:
-                    x = todo.pop()
-                    part.append(x)
-                    for y in near[x]:
-                        if y not in seen and label[y] == label[a]:
-                            seen.add(y)
-                            todo.append(y)
-                parts.append(part)
-            if len(parts) == len(near):
+            _move(near, degree, label, resolution / total, rng)
+            parts = _refine(near, degree, label, resolution / total, rng)
+            if len(set(parts.values())) == len(near):
                 break
-            name = {x: k for k, p in enumerate(parts) for x in p}
-            merged: dict = {k: defaultdict(float) for k in range(len(parts))}
+            order = {p: k for k, p in enumerate(sorted(set(parts.values())))}
+            name = {a: order[parts[a]] for a in near}
+            merged: dict = {k: defaultdict(float) for k in order.values()}
             folded: dict = defaultdict(float)
-            for x in near:
-                folded[name[x]] += loops[x]
-                for y, w in near[x].items():
-                    if name[x] == name[y]:
-                        folded[name[x]] += w
+            members: dict = {k: [] for k in order.values()}
+            held: dict = {}
+            for a in sorted(near):
+                members[name[a]] += inside[a]
+                held[name[a]] = label[a]
+                folded[name[a]] += loops[a]
+                for b, w in near[a].items():
+                    if name[a] == name[b]:
+                        folded[name[a]] += w
                     else:
-                        merged[name[x]][name[y]] += w
-            inside = {k: [m for x in p for m in inside[x]] for k, p in enumerate(parts)}
-            near, loops = {k: dict(v) for k, v in merged.items()}, folded
-        groups = sorted((sorted(g) for g in inside.values()), key=lambda g: (-len(g), g[0]))
-        return {x: k for k, g in enumerate(groups) for x in g}
+                        merged[name[a]][name[b]] += w
+            near, loops, inside, label = {k: dict(v) for k, v in merged.items()}, folded, members, held
+        groups: dict = defaultdict(list)
+        for a, nodes in inside.items():
+            groups[label[a]] += nodes
+        ranked = sorted((sorted(g) for g in groups.values()), key=lambda g: (-len(g), g[0]))
+        return {x: k for k, g in enumerate(ranked) for x in g}
 
     def modularity(self, label: dict[str, int], resolution: float = 1.0) -> float:
         total = sum(w for n in self.near.values() for w in n.values()) or 1.0
@@ -258,7 +301,7 @@ def reading_list(rows: DataFrame, weights: DataFrame, per_group: int = 25) -> Da
 
     tokens = rows.select("id_int", words("text").alias("w")).where(F.size("w") > 0).select("id_int", F.size("w").alias("length"), F.explode("w").alias("term"))
     average = rows.select(F.size(words("text")).alias("n")).where("n > 0").agg(F.avg("n")).first()[0] or 1.0
-    tf = tokens.join(F.broadcast(weights), "term").groupBy("theme", "id_int", "length", "term", "g2").agg(F.count("*").alias("tf"))
+    tf = tokens.join(weights, "term").groupBy("theme", "id_int", "length", "term", "g2").agg(F.count("*").alias("tf"))
     part = F.log1p("g2") * F.col("tf") * 2.2 / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("length") / F.lit(average)))
     scored = tf.groupBy("theme", "id_int").agg(F.round(F.sum(part), 6).alias("score"))
     rank = F.row_number().over(Window.partitionBy("theme").orderBy(F.desc("score"), "id_int"))

@@ -276,8 +276,8 @@ def theme_dominance(rows: DataFrame, themes: DataFrame, least_terms: int = 2) ->
     """
     words = F.array_distinct(F.regexp_extract_all(fold("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     size = themes.groupBy("theme").agg(F.countDistinct("term").alias("size"))
-    hit = rows.select("id_int", F.explode(words).alias("term")).join(F.broadcast(themes), "term").groupBy("id_int", "theme").agg(F.count("*").alias("n")).where(F.col("n") >= least_terms)
-    scored = hit.join(F.broadcast(size), "theme").withColumn("share", F.col("n") / F.col("size"))
+    hit = rows.select("id_int", F.explode(words).alias("term")).join(themes, "term").groupBy("id_int", "theme").agg(F.count("*").alias("n")).where(F.col("n") >= least_terms)
+    scored = hit.join(size, "theme").withColumn("share", F.col("n") / F.col("size"))
     w = Window.partitionBy("id_int").orderBy(F.desc("share"), "theme")
     ranked = scored.withColumn("k", F.row_number().over(w)).withColumn("second", F.lead("share").over(w))
     return ranked.where((F.col("k") == 1) & (F.coalesce("second", F.lit(0.0)) < F.col("share"))).select("id_int", "theme", F.round("share", 6).alias("share"))

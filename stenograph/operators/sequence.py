@@ -129,19 +129,28 @@ def exact_repeats(rows: DataFrame, least_chars: int = 400) -> DataFrame:
     return long.groupBy("legislature", "date", "speaker_raw", F.md5("text").alias("text_md5")).agg(F.count("*").alias("copies"), F.min("id_int").alias("first_id")).where("copies > 1").select("text_md5", "copies", "first_id")
 
 
-def same_day_duplicates(rows: DataFrame, least: float = 0.35) -> DataFrame:
-    """(a, b, jaccard): sittings of one country and day whose sets of long texts overlap.
+def same_day_duplicates(rows: DataFrame, least: float = 0.35, least_chars: int = 40) -> DataFrame:
+    """(keeper, redundant, jaccard, reason): two records of one sitting among those of a country and day.
 
-    Sittings meet only through a text they share, and a text counts once a sitting; texts shared by more
-    sittings of a day than there are sittings can't exist, so the pair join is bounded by a day's sittings.
+    The same session number on a day is a duplicate (``number``); without two numbers to compare, an overlap of the
+    sets of long texts of ``least`` is (``texts``); different numbers tell sittings apart whatever their texts. The
+    record with more texts is kept, the first id on a tie. Texts meet only where they are shared, and the numbers of a
+    day are as many as its sittings.
     """
-    t = rows.where(F.col("date").isNotNull() & (F.length("text") >= 40)).select("country", "date", "id_session", F.md5(normal_text(F.col("text"))).alias("k")).distinct()
+    t = rows.where(F.col("date").isNotNull() & (F.length("text") >= least_chars)).select("country", "date", "id_session", F.md5(normal_text(F.col("text"))).alias("k")).distinct()
     size = t.groupBy("id_session").agg(F.count("*").alias("n"))
-    b = t.select("country", "date", "k", F.col("id_session").alias("other"))
-    inter = t.join(b, ["country", "date", "k"]).where(F.col("id_session") < F.col("other")).groupBy("id_session", "other").agg(F.count("*").alias("both"))
-    j = inter.join(size, "id_session").join(size.select(F.col("id_session").alias("other"), F.col("n").alias("m")), "other")
-    jac = F.col("both") / (F.col("n") + F.col("m") - F.col("both"))
-    return j.select(F.col("id_session").alias("a"), F.col("other").alias("b"), F.round(jac, 6).alias("jaccard")).where(F.col("jaccard") >= least)
+    b = t.select("country", "date", "k", F.col("id_session").alias("b"))
+    shared = t.withColumnRenamed("id_session", "a").join(b, ["country", "date", "k"]).where(F.col("a") < F.col("b")).groupBy("a", "b").agg(F.count("*").alias("both"))
+    met = rows.where(F.col("date").isNotNull()).groupBy("country", "date", "id_session").agg(F.min(F.nullif(F.trim("session_number"), F.lit(""))).alias("number"))
+    other = met.select("country", "date", F.col("id_session").alias("b"), F.col("number").alias("nb"))
+    pairs = met.withColumnsRenamed({"id_session": "a", "number": "na"}).join(other, ["country", "date"]).where(F.col("a") < F.col("b")).select("a", "b", (F.col("na") == F.col("nb")).alias("same"))
+    sizes = lambda c, n: size.select(F.col("id_session").alias(c), F.col("n").alias(n))
+    j = pairs.join(shared, ["a", "b"], "left").join(sizes("a", "n_a"), "a", "left").join(sizes("b", "n_b"), "b", "left").na.fill(0, ["n_a", "n_b"])
+    j = j.withColumn("jaccard", F.coalesce(F.round(F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both")), 6), F.lit(0.0)))
+    same = F.coalesce("same", F.lit(False))
+    hit = j.where(same | ((F.col("jaccard") >= least) & F.col("same").isNull()))
+    first = F.col("n_a") >= F.col("n_b")
+    return hit.select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("keeper"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("redundant"), "jaccard", F.when(same, "number").otherwise("texts").alias("reason"))
 
 
 def seeded_sample(rows: DataFrame, key: str, seed: str, n: int) -> DataFrame:
@@ -153,7 +162,8 @@ def round_robin(rows: DataFrame, stratum: str, key: str, seed: str, n: int) -> D
     """``n`` varied rows: the first of every stratum, then the second, and so on (sampling operator)."""
     h = F.md5(F.concat(F.col(key), F.lit(seed)))
     w = Window.partitionBy(stratum).orderBy(h, key)
-    return rows.withColumn("turn", F.row_number().over(w)).orderBy("turn", stratum).limit(n)
+    # No stratum gives more than n; Spark then keeps the n first of each within every task, before the shuffle.
+    return rows.withColumn("turn", F.row_number().over(w)).where(F.col("turn") <= n).orderBy("turn", stratum).limit(n)
 
 
 def proportional(rows: DataFrame, stratum: str, key: str, seed: str, n: int) -> DataFrame:
@@ -165,5 +175,5 @@ def proportional(rows: DataFrame, stratum: str, key: str, seed: str, n: int) ->
         quota[s] += 1
     plan = rows.sparkSession.createDataFrame([(s, int(q)) for s, q in quota.items()] or [("", 0)], f"`{stratum}` string, quota int")
     h = F.md5(F.concat(F.col(key), F.lit(seed)))
-    ranked = rows.withColumn("rn", F.row_number().over(Window.partitionBy(stratum).orderBy(h, key)))
+    ranked = rows.withColumn("rn", F.row_number().over(Window.partitionBy(stratum).orderBy(h, key))).where(F.col("rn") <= n)
     return ranked.join(F.broadcast(plan), stratum).where(F.col("rn") <= F.col("quota")).drop("rn", "quota")

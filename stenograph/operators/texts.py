@@ -43,14 +43,19 @@ def matches(rows: DataFrame, pattern: str) -> DataFrame:
 
 
 def concordance(rows: DataFrame, pattern: str, width: int = 40, per_row: int = 3) -> DataFrame:
-    """(id_int, place, left, hit, right): keyword in context, at most ``per_row`` hits a turn."""
+    """(id_int, place, left, hit, right): keyword in context, at most ``per_row`` hits a turn.
+
+    A hit's place is the length of all text and hits before it, so contexts hold neighbouring hits as well.
+    """
     rx = search_pattern(pattern, whole_word=True)
-    hits = rows.where(F.col("text").rlike(rx)).withColumn("flat", flat(F.col("text"))).withColumn("hits", F.slice(F.regexp_extract_all("flat", F.lit(rx), F.lit(0)), 1, per_row))
-    parts = hits.withColumn("parts", F.split("flat", rx))
-    rows_ = parts.select("id_int", "parts", F.posexplode("hits").alias("k", "hit"))
-    left = F.expr(f"right(concat_ws('', slice(parts, 1, k + 1)), {width})")
-    right = F.expr(f"left(parts[k + 1], {width})")
-    return rows_.select("id_int", (F.col("k") + 1).alias("place"), left.alias("left"), "hit", right.alias("right"))
+    hits = rows.where(F.col("text").rlike(rx)).select("id_int", flat(F.col("text")).alias("flat")).withColumn("hits", F.regexp_extract_all("flat", F.lit(rx), F.lit(0)))
+    length = lambda xs: F.aggregate(xs, F.lit(0), lambda s, x: s + F.length(x))
+    placed = hits.withColumn("parts", F.split("flat", rx, -1)).select("id_int", "flat", "parts", "hits", F.posexplode(F.slice("hits", 1, per_row)).alias("k", "hit"))
+    before = length(F.slice("parts", F.lit(1), F.col("k") + 1)) + length(F.slice("hits", F.lit(1), F.col("k")))
+    cut = placed.select("id_int", (F.col("k") + 1).alias("place"), before.alias("b"), "hit", "flat")
+    left = F.substring(F.col("flat"), F.greatest(F.col("b") - width, F.lit(0)) + 1, F.least(F.col("b"), F.lit(width)))
+    right = F.substring(F.col("flat"), F.col("b") + F.length("hit") + 1, F.lit(width))
+    return cut.select("id_int", "place", left.alias("left"), "hit", right.alias("right"))
 
 
 def stretches(text: Column | str) -> Column:
@@ -71,21 +76,6 @@ def spoken_only(text: Column | str) -> Column:
     return F.array_join(F.filter(lines, lambda x: ~shout(x)), "\n")
 
 
-def count_expressions(rows: DataFrame, expressions: list[str]) -> DataFrame:
-    """(expression, n): uses of multi-word expressions, overlapping ones included."""
-    by_length: dict[int, list[str]] = {}
-    for e in expressions:
-        folded = " ".join(re.findall(r"[^\W_]+", fold_str(e)))
-        by_length.setdefault(len(folded.split()), []).append(folded)
-    tokens = rows.select(words("text").alias("w")).where(F.col("w").isNotNull())
-    out = None
-    for n, group in sorted(by_length.items()):
-        grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - n + 1, F.lit(1))), lambda k: F.array_join(F.slice("w", k, n), " "))
-        part = tokens.where(F.size("w") >= n).select(F.explode(grams).alias("expression")).where(F.col("expression").isin(group)).groupBy("expression").agg(F.count("*").alias("n"))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
 def segment(tokens: list[str], expressions: set[tuple[str, ...]], longest: int = 7) -> list[tuple[str, ...]]:
     """Fewest units that cover the tokens, single words or listed expressions; ties to longer expressions."""
     best: list[tuple[int, int, tuple]] = [(0, 0, ())]

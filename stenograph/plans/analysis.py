@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.terms import CHAIR, NOT_CHAIR, Filters, is_chair
+from ..functions.terms import CHAIR, NOT_CHAIR, Selection, at_most_words, is_chair, not_chairing, since, speeches, until
 from ..operators import analysis as A
 from ..sources import corpus as C
 from ..sources.tables import table
 from .common import TERMS, TURNS, terms, turns, uses
 
-SPEECH = Filters()
-PEOPLE = Filters(without_chair=True, longest_turn=10_000)
+SPEECH = Selection(speeches())
+PEOPLE = Selection(speeches(), not_chairing(), at_most_words())
 
 
 def ngram_series(spark, d):
@@ -44,7 +44,7 @@ SELECT 'hospital' AS series, country, year, count, round(CASE WHEN v IS NOT NULL
 
 
 def ngram_index(spark, d):
-    return A.ngram_from_unigrams(table(spark, d, "unigrams"), "hospital", Filters(date_from="2006", date_to="2020"))
+    return A.ngram_from_unigrams(table(spark, d, "unigrams"), "Hospital", Selection(speeches(), since("2006"), until("2020")))
 
 
 def term_counter(spark, d):

@@ -104,6 +104,15 @@ s AS (SELECT id_int, theme, count(*) / any_value(size) AS share FROM w JOIN m US
 k AS (SELECT *, row_number() OVER (PARTITION BY id_int ORDER BY share DESC, theme) AS k, lead(share) OVER (PARTITION BY id_int ORDER BY share DESC, theme) AS second FROM s)
 SELECT id_int, theme, round(share, 6) AS share FROM k WHERE k = 1 AND coalesce(second, 0) < share"""
 
+_NOBODY_SQL = f"""WITH {TURNS}, f AS (SELECT speaker_raw, {folded('speaker_raw')} AS f FROM t), k AS (SELECT CASE WHEN coalesce(trim(speaker_raw, ' '), '') = '' THEN 'blank'
+  WHEN regexp_matches(f, '^\\W*(una voz|um senhor|uma voz|varios|vozes|voces|senhores|senores)') THEN 'voices' WHEN regexp_matches(f, '^\\W*\\(?(sin identificar|nao identificad|no identificad)') THEN 'unknown'
+  WHEN regexp_matches(f, '^\\W*(?:el |la |o |a )?(?:sr\\.? |sra\\.? |senor |senora |senhor )?(?:president[ea]|presidencia|secretari[oa]|mesa|comision|comissao|ministr[oa]|relator)(?:\\W*$| d[aeo] | diret| direct)') THEN 'office' END AS kind FROM f)
+SELECT kind, count(*) AS n FROM k GROUP BY 1"""
+_HEADER_SQL = f"""WITH {TURNS}, e AS (SELECT id_session, unnest(regexp_extract_all(text, '(?m)^.{{0,40}}?(\\d{{2}}/\\d{{2}}/\\d{{4}})', 1)) AS found FROM t),
+n AS (SELECT id_session, try_strptime(found, '%d/%m/%Y')::DATE AS printed, count(*) AS n FROM e GROUP BY 1, 2), u AS (SELECT id_session, first(printed ORDER BY n DESC, printed) AS printed FROM n WHERE printed IS NOT NULL GROUP BY 1),
+s AS (SELECT id_session, min(date) AS date FROM t GROUP BY 1)
+SELECT s.id_session, date, printed, CASE WHEN printed IS NULL THEN 'NONE' WHEN printed IS NOT DISTINCT FROM date THEN 'OK' ELSE 'DIFFERENT' END AS verdict FROM s LEFT JOIN u ON s.id_session = u.id_session OR (s.id_session IS NULL AND u.id_session IS NULL AND false)"""
+
 _NAMES = "fingerprint conformity verdicts confidence usual_spelling speaker_variants register_duplicates register_variants adopt_neighbour no_person header_dates theme_dominance".split()
 QUERIES = {name: globals()[name] for name in _NAMES}
 SQL = {
@@ -114,5 +123,7 @@ SQL = {
     "usual_spelling": _USUAL_SQL,
     "register_duplicates": "WITH p AS (SELECT DISTINCT country, id_dep, array_to_string(list_sort(list_distinct(regexp_extract_all(trim(strip_accents(lower(speaker_name))), '[\\p{L}]{3,}'))), ' ') AS name FROM deputies WHERE speaker_name IS NOT NULL), q AS (SELECT * FROM p WHERE len(string_split(name, ' ')) >= 3), f AS (SELECT country, name, min(id_dep) AS a FROM q GROUP BY 1, 2 HAVING count(*) > 1) SELECT country, a, id_dep AS b, name FROM q JOIN f USING (country, name) WHERE id_dep <> a",
     "adopt_neighbour": _ADOPT_SQL,
+    "no_person": _NOBODY_SQL,
+    "header_dates": _HEADER_SQL,
     "theme_dominance": _THEME_SQL,
 }

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analysis, core_problems, loading, quality, relations
+from . import analysis, core_problems, loading, pipeline, quality, relations
 
-MODULES = [core_problems, analysis, relations, quality, loading]
+MODULES = [core_problems, analysis, relations, quality, loading, pipeline]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.dates import half_up, nearest_month
-from ..functions.terms import Filters
+from ..functions.dates import MONTHS, half_up, nearest_month
+from ..functions.terms import CHAIR, NOT_CHAIR, Selection, since, speeches
 from ..functions.text import count_words, fold
 from ..operators import libraries as L
 from ..operators import networks as N
 from ..operators import register as R
 from ..operators import sequence as S
+from ..operators import spotting as P
 from ..operators import texts as X
 from ..sources import corpus as C
 from ..sources.tables import table
@@ -82,7 +83,7 @@ def impose_frozen(spark, d):
 
 
 def seats_check(spark, d):
-    return R.seats_check(terms(spark, d), 1.05)
+    return R.seats_check(terms(spark, d))
 
 
 def bound_terms(spark, d):
@@ -152,7 +153,7 @@ def chair_segments(spark, d):
 
 
 _CHAIR_SQL = f"""WITH {TURNS},
-n AS (SELECT id_session, id_int, CASE WHEN coalesce(regexp_matches(speaker_raw, '(?i)presid|vicepresid') AND NOT regexp_matches(speaker_raw, '(?i)rep[úu]blica|gobierno|governo|consejo|conselho|ministr|comisi[óo]n|comiss[ãa]o'), false)
+n AS (SELECT id_session, id_int, CASE WHEN coalesce(regexp_matches(speaker_raw, '{CHAIR.replace('(?iu)', '(?i)')}') AND NOT regexp_matches(speaker_raw, '{NOT_CHAIR.replace('(?iu)', '(?i)')}'), false)
   THEN nullif(upper(trim(regexp_extract(speaker_raw, '\\(([^)]{{3,}})\\)', 1))), '') END AS named FROM t),
 h AS (SELECT *, last_value(named IGNORE NULLS) OVER (PARTITION BY id_session ORDER BY id_int ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS chair FROM n),
 c AS (SELECT *, CASE WHEN chair IS NOT NULL AND chair IS DISTINCT FROM lag(chair) OVER (PARTITION BY id_session ORDER BY id_int) THEN 1 ELSE 0 END AS ch FROM h),
@@ -179,9 +180,9 @@ def doubled_sessions(spark, d):
 
 
 _NORMAL_TEXT = "trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
-_DOUBLED_SQL = f"""WITH {TURNS}, p AS (SELECT id_session, left({_NORMAL_TEXT}, 200) AS k, count(*) AS n FROM t WHERE length(text) >= 80 GROUP BY 1, 2),
-s AS (SELECT id_session, sum(n)::BIGINT AS n_rows, count(*) FILTER (n > 1) AS repeated, count(*) FILTER (n = 2) AS twice FROM p GROUP BY 1)
-SELECT * FROM s WHERE repeated >= 2 AND repeated >= n_rows * 0.05"""
+_DOUBLED_SQL = f"""WITH {TURNS}, p AS (SELECT id_session, CASE WHEN length(text) >= 80 THEN md5({_NORMAL_TEXT}) END AS k, count(*) AS n FROM t GROUP BY 1, 2),
+s AS (SELECT id_session, sum(n) FILTER (k IS NOT NULL)::BIGINT AS n_rows, count(*) FILTER (k IS NOT NULL AND n > 1) AS repeated, count(*) FILTER (k IS NOT NULL AND n = 2) AS twice, sum(n - 1) FILTER (k IS NOT NULL) AS extra, sum(n) AS every_n FROM p GROUP BY 1)
+SELECT id_session, n_rows, repeated, twice FROM s WHERE repeated >= 20 AND twice >= repeated * 0.7::DOUBLE AND extra >= every_n * 0.25::DOUBLE"""
 
 
 def keep_best(spark, d):
@@ -193,17 +194,22 @@ SELECT id_int FROM k WHERE rn = 1"""
 
 
 def exact_repeats(spark, d):
-    return S.exact_repeats(turns(spark, d, "legislature", "date", "speaker_raw", "text"), 40)
+    return S.exact_repeats(turns(spark, d, "legislature", "date", "speaker_raw", "text"))
 
 
 def same_day_duplicates(spark, d):
-    return S.same_day_duplicates(turns(spark, d, "country", "date", "id_session", "text"), 0.0005)
+    rows = turns(spark, d, "country", "date", "id_session", "session_number", "text")
+    return S.same_day_duplicates(rows)
 
 
 _SAME_SQL = f"""WITH {TURNS}, k AS (SELECT DISTINCT country, date, id_session, md5({_NORMAL_TEXT}) AS k FROM t WHERE date IS NOT NULL AND length(text) >= 40),
 z AS (SELECT id_session, count(*) AS n FROM k GROUP BY 1),
-p AS (SELECT a.id_session AS a, b.id_session AS b, count(*) AS both_n FROM k a JOIN k b ON a.country = b.country AND a.date = b.date AND a.k = b.k AND a.id_session < b.id_session GROUP BY 1, 2)
-SELECT a, b, round(both_n / (x.n + y.n - both_n), 6) AS jaccard FROM p JOIN z x ON a = x.id_session JOIN z y ON b = y.id_session WHERE round(both_n / (x.n + y.n - both_n), 6) >= 0.0005"""
+m AS (SELECT country, date, id_session, min(nullif(trim(session_number), '')) AS number FROM t WHERE date IS NOT NULL GROUP BY 1, 2, 3),
+p AS (SELECT a.id_session AS a, b.id_session AS b, count(*) AS both_n FROM k a JOIN k b ON a.country = b.country AND a.date = b.date AND a.k = b.k AND a.id_session < b.id_session GROUP BY 1, 2),
+q AS (SELECT a.country, a.date, a.id_session AS a, b.id_session AS b, a.number AS na, b.number AS nb FROM m a JOIN m b ON a.country = b.country AND a.date = b.date AND a.id_session < b.id_session),
+j AS (SELECT q.a, q.b, coalesce(round(both_n / (x.n + y.n - both_n), 6), 0) AS jaccard, na = nb AS same FROM q LEFT JOIN p USING (a, b) LEFT JOIN z x ON q.a = x.id_session LEFT JOIN z y ON q.b = y.id_session),
+h AS (SELECT a, b, jaccard, CASE WHEN coalesce(same, false) THEN 'number' ELSE 'texts' END AS reason FROM j WHERE coalesce(same, false) OR (jaccard >= 0.35 AND same IS NULL))
+SELECT CASE WHEN coalesce(x.n, 0) >= coalesce(y.n, 0) THEN a ELSE b END AS keeper, CASE WHEN coalesce(x.n, 0) >= coalesce(y.n, 0) THEN b ELSE a END AS redundant, jaccard, reason FROM h LEFT JOIN z x ON a = x.id_session LEFT JOIN z y ON b = y.id_session"""
 
 
 def copies(spark, d):
@@ -233,12 +239,12 @@ def matches(spark, d):
 
 
 # --- subsets ---
-def _subset(spark, d, terms_, **filters):
-    return L.create(turns(spark, d, "country", "date", "dm_speech", "sex", "text"), terms_, Filters(**filters), 1)
+def _subset(spark, d, terms_):
+    return L.create(turns(spark, d, "country", "date", "dm_speech", "sex", "text"), terms_, Selection(speeches()), 1)
 
 
 def subset_create(spark, d):
-    return L.create(turns(spark, d, "country", "date", "dm_speech", "text"), ["presupuesto", "orçamento"], Filters(date_from="2010"), 2)
+    return L.create(turns(spark, d, "country", "date", "dm_speech", "text"), ["presupuesto", "orçamento"], Selection(speeches(), since("2010")), 2)
 
 
 _SUBSET_SQL = f"""WITH {TURNS}, k AS (SELECT id_int, country, {uses('text', ' presupuesto ', ' orcamento ')}::INT AS occ, md5(coalesce(text, '')) AS text_md5 FROM t WHERE dm_speech = 1 AND date >= DATE '2010-01-01')
@@ -261,7 +267,7 @@ k AS (SELECT id_int FROM a {op} SELECT id_int FROM b) SELECT id_int, CASE WHEN i
 
 def subset_rebuild(spark, d):
     rows = turns(spark, d, "country", "date", "dm_speech", "text")
-    items = L.create(rows, ["hospital"], Filters())
+    items = L.create(rows, ["hospital"], Selection(speeches()))
     edition = rows.where(F.md5("id_int") >= "2").withColumn("text", F.when(F.md5("id_int") < "5", F.concat("text", F.lit("."))).otherwise(F.col("text")))
     return L.rebuild(items, edition)
 
@@ -280,7 +286,7 @@ def subset_describe(spark, d):
 _DESCRIBE_SQL = f"""WITH {TURNS}, k AS (SELECT * FROM t WHERE dm_speech = 1 AND {uses('text', ' hospital ')} > 0)
 SELECT country, count(*) AS turns, count(DISTINCT id_session) AS sessions, count(DISTINCT id_dep) AS speakers, sum(n_words)::BIGINT AS words,
   round(sum(CASE WHEN sex = 'F' THEN n_words ELSE 0 END) * 100.0::DOUBLE / nullif(sum(n_words), 0), 2) AS women_pct,
-  round(sum(CASE WHEN coalesce(regexp_matches(speaker_raw, '(?i)presid|vicepresid') AND NOT regexp_matches(speaker_raw, '(?i)rep[úu]blica|gobierno|governo|consejo|conselho|ministr|comisi[óo]n|comiss[ãa]o'), false) THEN n_words ELSE 0 END) * 100.0::DOUBLE / nullif(sum(n_words), 0), 2) AS chair_pct,
+  round(sum(CASE WHEN coalesce(regexp_matches(speaker_raw, '{CHAIR.replace('(?iu)', '(?i)')}') AND NOT regexp_matches(speaker_raw, '{NOT_CHAIR.replace('(?iu)', '(?i)')}'), false) THEN n_words ELSE 0 END) * 100.0::DOUBLE / nullif(sum(n_words), 0), 2) AS chair_pct,
   count(*) FILTER (n_words > 10000) AS long_turns, count(*) FILTER (date IS NULL) AS undated, min(date) AS first_date, max(date) AS last_date FROM k GROUP BY 1"""
 
 # --- networks ---
@@ -330,7 +336,7 @@ SELECT source, target, count(DISTINCT id_int) AS turns FROM g JOIN u USING (s) W
 def mention_rank(spark, d):
     from ..session import materialize
 
-    return N.page_rank(materialize(_mentions(spark, d), "mention-edges"), rounds=15).select("node", F.round("rank", 6).alias("rank"))
+    return N.page_rank(materialize(_mentions(spark, d), "mention-edges")).select("node", F.round("rank", 6).alias("rank"))
 
 
 def themes(spark, d):
@@ -389,7 +395,7 @@ def word_counts(spark, d):
 
 
 def expressions(spark, d):
-    return X.count_expressions(turns(spark, d, "text"), ["agua potable", "mi grupo votará a favor", "reforma educativa", "senhores deputados"])
+    return P.count_expressions(turns(spark, d, "text"), ["agua potable", "mi grupo votará a favor", "reforma educativa", "senhores deputados"])
 
 
 _EXPR = [("agua potable", 2), ("mi grupo votara a favor", 5), ("reforma educativa", 2), ("senhores deputados", 2)]
@@ -461,6 +467,52 @@ def longest_per_country(spark, d):
     return C.qualify(turns(spark, d, "country", "n_words").where("n_words IS NOT NULL"), ["country"], [F.desc("n_words"), "id_int"], 3).select("country", "id_int", "n_words")
 
 
+_CONCORDANCE_SQL = f"""WITH {TURNS}, f AS (SELECT id_int, trim(regexp_replace(text, '\\s+', ' ', 'g'), ' ') AS flat FROM t),
+h AS (SELECT *, regexp_extract_all(flat, '(?i)\\b[aáàâã]gua[^\\p{{L}}\\p{{N}}]+p[oóòôõ]t[aáàâã]vel\\b|(?i)\\b[aáàâã]gua[^\\p{{L}}\\p{{N}}]+p[oóòôõ]t[aáàâã]bl[eéèê]\\b') AS hits, string_split_regex(flat, '(?i)\\b[aáàâã]gua[^\\p{{L}}\\p{{N}}]+p[oóòôõ]t[aáàâã]bl[eéèê]\\b') AS parts FROM f),
+g AS (SELECT id_int, flat, hits, parts, unnest(range(1, least(len(hits), 3) + 1)) AS k FROM h WHERE len(parts) > 1),
+b AS (SELECT id_int, flat, k, hits[k] AS hit, (list_sum(list_transform(parts[1:k], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:k - 1], lambda x: length(x))), 0))::BIGINT AS b FROM g)
+SELECT id_int, k::INT AS place, substring(flat, greatest(b - 40, 0) + 1, least(b, 40)) AS left, hit, substring(flat, b + length(hit) + 1, 40) AS right FROM b""".replace("(?i)\\b[aáàâã]gua[^\\p{L}\\p{N}]+p[oóòôõ]t[aáàâã]vel\\b|", "")
+_SPOKEN_SQL = f"""WITH {TURNS} SELECT id_int, length(array_to_string(list_filter(string_split(regexp_replace(text, '\\([^()]{{0,400}}\\)', ' ', 'g'), chr(10)),
+  lambda x: NOT (length(regexp_replace(x, '[^\\p{{Lu}}]', '', 'g')) >= 8 AND length(regexp_replace(x, '[^\\p{{Lu}}]', '', 'g')) > 3 * length(regexp_replace(x, '[^\\p{{Ll}}]', '', 'g')))), chr(10)))::INT AS n FROM t"""
+_STRETCH_SQL = f"""WITH {TURNS}, k AS (SELECT id_int, len(list_filter(string_split_regex({folded('text')}, '[^\\p{{L}}\\p{{N}}\\s''’-]+|\\n|\\s{{6,}}'), lambda p: regexp_matches(p, '[\\p{{L}}\\p{{N}}]')))::INT AS n FROM t)
+SELECT * FROM k WHERE n > 0"""
+_CANDIDATE_SQL = f"""WITH {TURNS}, c AS (SELECT id_int, unnest(list_distinct(regexp_extract_all(text, '\\p{{Lu}}[\\p{{L}}]+(?:\\s+(?:de\\s+|del\\s+|da\\s+|do\\s+)?\\p{{Lu}}[\\p{{L}}]+)+|\\p{{Lu}}{{3,}}'))) AS name FROM t),
+n AS (SELECT name, count(DISTINCT id_int) AS turns FROM c GROUP BY 1 HAVING count(DISTINCT id_int) >= 3),
+w AS (SELECT unnest(regexp_extract_all(text, '[\\p{{L}}]+')) AS t FROM t), u AS (SELECT lower(t) AS low, count(*) AS n, count(*) FILTER (lower(t) = t) AS small FROM w GROUP BY 1)
+SELECT name, turns FROM n JOIN u ON lower(regexp_extract(name, '^\\p{{L}}+')) = low WHERE small < n * 0.3::DOUBLE"""
+_MARKER = "^\\s*(?:El|La|O|A)\\s+(?:[Ss]r|[Ss]e[ñn]or|[Ss]enhor|SR|SRA)[^:]{2,60}:"
+_TAGGED_SQL = f"""WITH {TURNS}, l AS (SELECT id_int, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM t WHERE text IS NOT NULL),
+m AS (SELECT *, regexp_matches(line, '{_MARKER}') AS marker FROM l),
+n AS (SELECT *, sum(marker::INT) OVER (PARTITION BY id_int ORDER BY pos)::INT AS turn, CASE WHEN marker THEN trim(regexp_replace(regexp_extract(line, '{_MARKER}'), ':\\s*$', ''), ' ') END AS speaker,
+  trim(CASE WHEN marker THEN regexp_replace(line, '{_MARKER}', '') ELSE line END, ' ') AS said FROM m)
+SELECT id_int, turn, max(speaker) AS speaker, trim(string_agg(said, ' ' ORDER BY pos), ' ') AS text FROM n GROUP BY 1, 2"""
+
+
+def _without_pairs(sql: str) -> str:
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        sql = f"replace({sql}, '{c}{c}', '{c}')"
+    return sql
+
+
+_SOUND = folded("word")
+for _a, _b in (("h", ""), ("z|ç", "s"), ("c([ei])", "s\\1"), ("v", "b"), ("g([ei])", "j\\1"), ("ll", "y")):
+    _SOUND = f"regexp_replace({_SOUND}, '{_a}', '{_b}', 'g')"
+_SOUND_SQL = f"WITH k AS (SELECT {_without_pairs(_SOUND)} AS k, word FROM vocab) SELECT k, count(DISTINCT word) AS spellings FROM k GROUP BY 1 HAVING count(DISTINCT word) > 2"
+_MONTH_SQL = f"""WITH m(name, num) AS (VALUES {', '.join(map(str, MONTHS.items()))}), v AS (SELECT DISTINCT word, lower(word) AS low FROM vocab WHERE length(word) >= 4),
+e AS (SELECT word, low, num, min(levenshtein(low, name)) AS d FROM v, m WHERE abs(length(low) - length(name)) <= 3 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY d, num) AS k, lead(d) OVER (PARTITION BY word ORDER BY d, num) AS second FROM e)
+SELECT word, num::INT AS month FROM r WHERE k = 1 AND ((d <= greatest(2, length(low) // 2) AND coalesce(second, 99) - d >= 2) OR d = 0)"""
+_F_TITLE = "(?i)^\\W*(la|a)\\s+(sra|señora|senhora|diputada|deputada)|^\\W*(sra|diputada|deputada)\\b"
+_M_TITLE = "(?i)^\\W*(el|o)\\s+(sr|señor|senhor|diputado|deputado)\\b|^\\W*(sr|diputado|deputado)\\b"
+_SEX_SQL = f"""WITH {TURNS}, c AS (SELECT *, CASE WHEN upper(trim(sex)) IN ('F', 'M') THEN upper(trim(sex)) END AS s FROM deputies),
+reg AS (SELECT id_dep, min(s) AS registered FROM c WHERE s IS NOT NULL GROUP BY 1 HAVING count(DISTINCT s) = 1),
+ty AS (SELECT id_dep, CASE WHEN regexp_matches(speaker_raw, '{_F_TITLE}') THEN 'F' WHEN regexp_matches(speaker_raw, '{_M_TITLE}') THEN 'M' END AS t FROM t WHERE id_dep IS NOT NULL),
+ho AS (SELECT id_dep, CASE WHEN count(*) FILTER (t = 'F') >= count(*) * 0.9::DOUBLE THEN 'F' WHEN count(*) FILTER (t = 'F') <= count(*) * (1 - 0.9::DOUBLE) THEN 'M' END AS honorific FROM ty WHERE t IS NOT NULL GROUP BY 1),
+pe AS (SELECT id_dep, min(lower(string_split_regex(trim(speaker_name), '\\s+')[1])) AS given FROM deputies WHERE speaker_name IS NOT NULL GROUP BY 1),
+le AS (SELECT given, min(registered) AS by_name FROM pe JOIN reg USING (id_dep) GROUP BY 1 HAVING count(*) >= 2 AND count(DISTINCT registered) = 1)
+SELECT pe.id_dep, coalesce(registered, honorific, by_name) AS sex, CASE WHEN registered IS NOT NULL THEN 'register' WHEN honorific IS NOT NULL THEN 'honorific' WHEN by_name IS NOT NULL THEN 'name' END AS sex_source
+FROM pe LEFT JOIN reg USING (id_dep) LEFT JOIN ho USING (id_dep) LEFT JOIN le USING (given)"""
+
 _ALL = """close_open_terms covering_term in_office merge_ids propagate_district clip_overlaps unknown_ids ambiguous_keys impose_frozen seats_check bound_terms sex_cascade legislature_keys
 renumber get_session around order_gaps impute_by_date impute_gap dense_ids chair_segments vocative_sex date_plausibility doubled_sessions keep_best exact_repeats same_day_duplicates copies
 seeded_sample round_robin proportional newest matches subset_create subset_rebuild subset_describe presence pair_network pruned_network mention_rank themes coder_agreement prevalence reading_list
@@ -475,10 +527,10 @@ SELECT reg_n, coalesce(end_date, nx - 1, DATE '2999-12-31')::DATE AS closed_end
     "merge_ids": _MERGE_SQL,
     "propagate_district": f"WITH {TURNS}, k AS (SELECT id_dep, min({_SAFE.format('district')}) AS v FROM t WHERE id_dep IS NOT NULL AND {_SAFE.format('district')} IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {_SAFE.format('district')}) = 1) SELECT id_int, coalesce({_SAFE.format('district')}, v) AS district FROM t LEFT JOIN k USING (id_dep)",
     "clip_overlaps": _CLIP_SQL,
-    "unknown_ids": f"WITH {TURNS} SELECT id_dep, count(*) AS turns FROM t WHERE id_dep IS NOT NULL AND id_dep NOT IN (SELECT id_dep FROM deputies WHERE legislature > '60' AND id_dep IS NOT NULL) GROUP BY 1",
+    "unknown_ids": f"WITH {TURNS} SELECT id_dep, count(*) AS turns FROM t WHERE id_dep IS NOT NULL AND id_dep NOT IN (SELECT id_dep FROM deputies WHERE id_dep IS NOT NULL) GROUP BY 1",
     "ambiguous_keys": f"WITH {TURNS} SELECT country, speaker_raw, count(DISTINCT id_dep) AS persons, count(*) AS turns FROM t WHERE speaker_raw IS NOT NULL AND id_dep IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT id_dep) > 1",
     "impose_frozen": f"WITH {TURNS}, f AS (SELECT country, speaker_raw, min(id_dep) AS f FROM t WHERE id_dep IS NOT NULL AND speaker_raw IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT id_dep) = 1) SELECT id_int, coalesce(f, id_dep) AS id_dep FROM t LEFT JOIN f USING (country, speaker_raw)",
-    "seats_check": f"WITH {TERMS}, n AS (SELECT country, legislature, count(DISTINCT id_dep) AS persons FROM r WHERE legislature IS NOT NULL GROUP BY 1, 2), m AS (SELECT country, median(persons)::DOUBLE AS usual FROM n GROUP BY 1) SELECT country, legislature, persons, usual FROM n JOIN m USING (country) WHERE persons > usual * 1.05::DOUBLE",
+    "seats_check": f"WITH {TERMS}, n AS (SELECT country, legislature, count(DISTINCT id_dep) AS persons FROM r WHERE legislature IS NOT NULL GROUP BY 1, 2), m AS (SELECT country, median(persons)::DOUBLE AS usual FROM n GROUP BY 1) SELECT country, legislature, persons, usual FROM n JOIN m USING (country) WHERE persons > usual * 1.4::DOUBLE",
     "bound_terms": f"WITH {TURNS}, {TERMS}, m AS (SELECT country, legislature, min(date) AS a, max(date) AS b FROM t WHERE date IS NOT NULL GROUP BY 1, 2), c AS (SELECT reg_n, greatest(start_date, a) AS start, least(coalesce(end_date, b), b) AS \"end\" FROM r JOIN m USING (country, legislature) WHERE start_date IS NOT NULL) SELECT * FROM c WHERE start <= \"end\"",
     "legislature_keys": f"WITH {TURNS} SELECT regexp_replace(trim(legislature), '[º°ª.]', '', 'g') AS key, count(*) AS n FROM t GROUP BY 1",
     "renumber": f"WITH {TURNS}, k AS (SELECT id_int, id_session, intervention_order AS o, coalesce(intervention_order = 0, false) AS front FROM t WHERE trim(text, ' ') <> '') SELECT id_int, CASE WHEN front THEN 0 ELSE row_number() OVER (PARTITION BY id_session, front ORDER BY o NULLS LAST, id_int) END::INT AS new_order FROM k",
@@ -491,9 +543,17 @@ SELECT reg_n, coalesce(end_date, nx - 1, DATE '2999-12-31')::DATE AS closed_end
     "chair_segments": _CHAIR_SQL,
     "vocative_sex": _VOCATIVE_SQL,
     "date_plausibility": f"WITH {TURNS}, {SESSIONS}, k AS (SELECT id_session, date, lag(date) OVER w AS previous, lead(date) OVER w AS next FROM s WINDOW w AS (PARTITION BY country, legislature ORDER BY id_session)) SELECT * FROM k WHERE date < previous OR date > next",
+    "concordance": _CONCORDANCE_SQL,
+    "spoken_chars": _SPOKEN_SQL,
+    "stretches": _STRETCH_SQL,
+    "candidate_names": _CANDIDATE_SQL,
+    "tagged_turns": _TAGGED_SQL,
+    "sound_keys": _SOUND_SQL,
+    "months": _MONTH_SQL,
+    "sex_cascade": _SEX_SQL,
     "doubled_sessions": _DOUBLED_SQL,
     "keep_best": _BEST_SQL,
-    "exact_repeats": f"WITH {TURNS} SELECT md5(text) AS text_md5, count(*) AS copies, min(id_int) AS first_id FROM t WHERE length(text) > 40 GROUP BY legislature, date, speaker_raw, md5(text) HAVING count(*) > 1",
+    "exact_repeats": f"WITH {TURNS} SELECT md5(text) AS text_md5, count(*) AS copies, min(id_int) AS first_id FROM t WHERE length(text) > 400 GROUP BY legislature, date, speaker_raw, md5(text) HAVING count(*) > 1",
     "same_day_duplicates": _SAME_SQL,
     "copies": "SELECT id_int, count(*) AS copies, min(row_n) AS first_row FROM interventions GROUP BY 1 HAVING count(*) > 1",
     "seeded_sample": f"WITH {TURNS} SELECT id_int, country FROM t ORDER BY md5(id_int || 'seed-1'), id_int LIMIT 50",

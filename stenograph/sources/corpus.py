@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import MARKED_WORD, count_words, fold
 
@@ -21,7 +20,10 @@ def sniff_separator(spark: SparkSession, path: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
-    """Every column as string; quoted fields may span lines and hold doubled quotes."""
+    """Every column as string; quoted fields may span lines and hold doubled quotes.
+
+    Such fields make a file one task, since a line end may lie inside a field: a large table should come as many files.
+    """
     sep = separator or sniff_separator(spark, path)
     return spark.read.csv(path, header=True, sep=sep, quote='"', escape='"', multiLine=True, inferSchema=False)
 
@@ -49,16 +51,24 @@ def canonical(raw: DataFrame, country: str) -> DataFrame:
 
 def number_rows(df: DataFrame) -> DataFrame:
     """``row_n`` 1..n in reading order, without bringing rows together: positions within a partition plus its offset."""
-    spark = df.sparkSession
-    schema = T.StructType([*df.schema.fields, T.StructField("row_n", T.LongType(), False)])
-    indexed = df.rdd.zipWithIndex().map(lambda p: (*p[0], p[1] + 1))
-    return spark.createDataFrame(indexed, schema)
+    # A row's number is its place in its partition plus the sizes of the partitions before; both come from one plan
+    # over the same splits. No row leaves the JVM; the sizes (one number a split) go over the driver.
+    placed = df.drop("row_n").withColumn("_split", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = sorted((r["_split"], r["count"]) for r in placed.groupBy("_split").count().collect())
+    before, rows = 0, []
+    for split, n in sizes:
+        rows.append((split, before))
+        before += n
+    offsets = df.sparkSession.createDataFrame(rows or [(0, 0)], "_split int, _before bigint")
+    return placed.join(F.broadcast(offsets), "_split").withColumn("row_n", F.col("_before") + F.col("_at") + 1).drop("_split", "_at", "_before")
 
 
 def order_digest(df: DataFrame, key: str, by: str = "row_n") -> str:
     """SHA-256 over the digests of 100,000-row blocks of keys in order: equal for equal key sequences."""
     blocks = df.groupBy((F.col(by) / 100_000).cast("bigint").alias("b")).agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(by, key))), lambda s: F.coalesce(s[key], F.lit(""))), "\n"), 256).alias("d"))
-    return blocks.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda s: s["d"]), ""), 256)).first()[0]
+    level = lambda g: g.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "d"))), lambda s: s["d"]), ""), 256).alias("d"))
+    # 100,000 blocks are brought together first, so no row holds more digests than that up to 10^15 rows.
+    return level(level(blocks.groupBy(F.floor(F.col("b") / 100_000).alias("c"))).withColumnRenamed("c", "b")).first()[0]
 
 
 def import_country(df: DataFrame, path: str) -> None:

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stenograph.functions.dates import cardinal, half_up, nearest_month, written_date
-from stenograph.functions.terms import Filters, occurrences, parse_terms, search_pattern
+from stenograph.functions import terms
+from stenograph.functions.terms import Selection, occurrences, parse_terms, search_pattern
 from stenograph.functions.text import count_words, fold, fold_str, words
 from stenograph.operators import analysis, libraries, networks, register, sequence, texts
 from stenograph.operators.asof import attributes_as_of
@@ -48,11 +49,45 @@ def test_terms_and_filters():
     for bad in ("de*mocracia", " , "):
         with pytest.raises(ValueError):
             parse_terms(bad)
-    assert Filters(date_from="2000", date_to="2010").year_bounds() == (2000, 2010)
-    assert Filters(date_from="2000-03-15").year_bounds() is None
-    assert not Filters(party="X").aggregates_suffice(["a"])
+    speech = terms.speeches()
+    assert Selection(speech, terms.since("2000"), terms.until("2010")).answered_yearly(["a"])
+    assert not Selection(speech, terms.since("2000-03-15")).answered_yearly(["a"])
+    assert not Selection(speech, terms.in_party("X")).answered_yearly(["a"]) and not Selection(terms.since("2000")).answered_yearly(["a"])
+    assert not Selection(speech).answered_yearly(["a b"]) and not Selection(speech).answered_yearly(["a*"])
     with pytest.raises(ValueError):
-        Filters.day("15/03/2000", True)
+        terms.since("15/03/2000")
+
+
+@pytest.mark.parametrize("text,want", [("agua  potable + água,  vino*", [["agua potable", "água"], ["vino*"]]), ("a,,+b+", [["a"], ["b"]]), ("sí", [["sí"]])])
+def test_term_lists(text, want):
+    assert [v for _, v in parse_terms(text)] == want
+
+
+@pytest.mark.parametrize("bad", ["a b*", "*", "a* b", "a**", "", "+,"])
+def test_bad_term_lists(bad):
+    with pytest.raises(ValueError):
+        parse_terms(bad)
+
+
+def test_selections(spark):
+    t = spark.createDataFrame([("1", "ES", D(2001, 5, 5), 1, "M", "PP", "p", "El PRESIDENTE", 5), ("2", "PT", D(2003, 1, 1), 1, "F", "pp", "q", "X", 20_000), ("3", "PT", None, 0, "F", None, None, None, None)],
+                              "id_int string, country string, date date, dm_speech int, sex string, party string, id_dep string, speaker_raw string, n_words int")
+    got = lambda *c: [r[0] for r in Selection(*c).apply(t).orderBy("id_int").select("id_int").collect()]
+    assert got() == ["1", "2", "3"] and got(terms.speeches()) == ["1", "2"] and got(terms.countries("PT")) == ["2", "3"]
+    assert got(terms.since("2002")) == ["2"] and got(terms.until("2001")) == ["1"] and got(terms.of_sex("F")) == ["2", "3"]
+    assert got(terms.in_party("PP")) == ["1", "2"] and got(terms.by_person("q")) == ["2"] and got(terms.not_chairing()) == ["2", "3"]
+    assert got(terms.at_most_words()) == ["1"] and got(terms.having("party", "PP")) == ["1"] and got(terms.within(t.where("id_int = '2'"))) == ["2"]
+    chairs = spark.createDataFrame([("El señor PRESIDENTE de la comisión",), ("PRESIDENTE DEL TRIBUNAL CONSTITUCIONAL",), ("El Presidente de la República",), ("O Sr. Vice-Presidente",), (None,)], "s string")
+    assert [r[0] for r in chairs.select(terms.is_chair(F.col("s"))).collect()] == [True, False, False, True, False]
+
+
+def test_words_are_folded_in_the_yearly_counts(spark):
+    u = spark.createDataFrame([("BR", 2001, "F", "orcamento", 5), ("BR", 2002, "F", "outro", 3)], "country string, year smallint, sex string, fold string, n bigint")
+    speech = Selection(terms.speeches())
+    assert rows(analysis.ngram_from_unigrams(u, "Orçamento", speech)) == [(2001, 5, 5), (2002, 0, 3)]
+    t = spark.createDataFrame([("1", D(2001, 1, 1), 1, "s", 5, "orçamento Orçamento orcamento orçamento orçamento"), ("2", D(2002, 1, 1), 1, "s", 3, "outro outro outro")], "id_int string, date date, dm_speech int, id_session string, n_words int, text string")
+    fast, slow = analysis.ngram_counts(t, u, "orçamento", speech), analysis.ngram_counts(t, None, "orçamento", speech)
+    assert rows(fast) == rows(slow) == [("orçamento", 2001, 5, 5), ("orçamento", 2002, 0, 3)]
 
 
 def test_search_pattern(spark):
@@ -182,9 +217,9 @@ def test_longest_entity_wins(spark):
 
 def test_libraries(spark):
     t = spark.createDataFrame([("1", "PT", 1, None, "aborto aborto"), ("2", "PT", 1, None, "abortos"), ("3", "PT", 0, None, "aborto aborto")], "id_int string, country string, dm_speech int, date date, text string")
-    assert rows(libraries.create(t, ["aborto*"], Filters(), 2).select("id_int", "occ")) == [("1", 2)]
+    assert rows(libraries.create(t, ["aborto*"], Selection(terms.speeches()), 2).select("id_int", "occ")) == [("1", 2)]
     with pytest.raises(ValueError):
-        libraries.create(t, [], Filters())
+        libraries.create(t, [], Selection(terms.speeches()))
     note = lambda ids, n: spark.createDataFrame([(i, n) for i in ids], "id_int string, note string")
     a, b = note("12", "a"), note("23", None)
     assert rows(libraries.combine(a, b, "intersection")) == [("2", "a")] and rows(libraries.combine(a, b, "difference")) == [("1", "a")]
@@ -249,7 +284,7 @@ def test_guarded_sql(spark):
 
 def test_series_keeps_empty_years(spark):
     t = spark.createDataFrame([("1", D(2001, 1, 1), 1, "s", 2, "paz paz"), ("2", D(2003, 1, 1), 1, "s", 1, "guerra")], "id_int string, date date, dm_speech int, id_session string, n_words int, text string")
-    got = analysis.ngram_series(t, "paz", Filters())
+    got = analysis.ngram_series(t, "paz", Selection(terms.speeches()))
     assert rows(got.select("year", "count", "value", "low_base")) == [(2001, 2, 1e6, True), (2002, None, None, True), (2003, 0, 0.0, True)]
 
 
