@@ -25,8 +25,9 @@ def quality(text: Column) -> Column:
 
 
 def exponential_key(identity: Column, weight: Column, seed: int) -> Column:
-    """-ln(u) / weight with u drawn by hash of the id, so a retried task draws the same."""
-    u = (F.pmod(F.xxhash64(identity, F.lit(seed)), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
+    """-ln(u) / weight with u drawn from a digest of id and seed, so a retried task, and any engine, draws the same."""
+    drawn = F.conv(F.substring(F.md5(F.concat(identity.cast("string"), F.lit(f":{seed}"))), 1, 13), 16, 10).cast("bigint")
+    u = (drawn + F.lit(0.5)) / F.lit(float(1 << 52))
     return -F.log(u) / weight
 
 
@@ -116,5 +117,32 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return report(mixture(documents, targets), targets, documents)
 
 
-QUERIES = {"p9_selection": p9_selection, "p9_shares": p9_shares}
-SQL: dict[str, str] = {}
+def p9_by_length(spark: SparkSession, folder: str) -> DataFrame:
+    """The selection with sizes in characters instead of tokens, which SQL can check row by row."""
+    targets = clean_targets(table(spark, folder, "mixture_targets"))
+    named = spread(table(spark, folder, "documents").select("doc_id", source_name(F.col("source")).alias("source"), "text")).join(targets.select("source"), "source", "left_semi")
+    sized = named.select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("n_tokens"), F.coalesce(quality(F.col("text")), F.lit(0.05)).alias("weight"))
+    return mixture(materialize(sized, "document-lengths"), targets).withColumnRenamed("n_tokens", "n_chars")
+
+
+_LENGTH_SQL = r"""
+WITH t AS (
+  SELECT lower(trim(replace(source, '-', '_'))) AS source, sum(target_share) AS share, min(max_repeats) AS cap FROM mixture_targets
+  WHERE source <> '' GROUP BY 1),
+d AS (
+  SELECT doc_id, lower(trim(replace(source, '-', '_'))) AS source, length(text) AS n,
+    greatest(0.05, length(regexp_replace(text, '[^\p{L}\p{M}\p{N}\s]', '', 'g')) / length(text)) AS weight
+  FROM documents WHERE length(text) > 0),
+h AS (SELECT source, sum(n)::BIGINT AS available FROM d GROUP BY 1),
+p AS (SELECT * FROM t JOIN h USING (source) WHERE share > 0 AND cap > 0),
+w AS (SELECT sum(share) AS whole FROM p),
+a AS (SELECT min(available * cap * whole / share) AS total FROM p, w),
+b AS (SELECT source, available, least(total * share / whole, available * cap) + 1e-6 AS budget FROM p, w, a),
+g AS (SELECT source, floor(budget / available)::BIGINT AS epochs, greatest(0, floor(budget)::BIGINT - floor(budget / available)::BIGINT * available) AS rest FROM b),
+k AS (SELECT d.*, epochs, rest, -ln((('0x' || substr(md5(doc_id || ':17'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0) / weight AS key FROM d JOIN g USING (source)),
+s AS (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM k),
+x AS (SELECT doc_id, source, n, (epochs + CASE WHEN rest > 0 AND upto - n / 2 <= rest THEN 1 ELSE 0 END)::INT AS times FROM s)
+SELECT doc_id, source, n AS n_chars, times FROM x WHERE times > 0
+"""
+QUERIES = {"p9_selection": p9_selection, "p9_shares": p9_shares, "p9_by_length": p9_by_length}
+SQL: dict[str, str] = {"p9_by_length": _LENGTH_SQL}

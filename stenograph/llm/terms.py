@@ -8,7 +8,6 @@ corpus-wide word operators use it. It gives the words ``functions.text.words`` g
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections import Counter
 
@@ -16,42 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import fold_text
 from ..sources.tables import spread, table
 from .arrow import lists, map_batches
 
 
-def _marks(begin: int, end: int) -> re.Pattern:
-    """Runs of nonspacing marks within a range of code points."""
-    codes = [c for c in range(begin, end) if unicodedata.category(chr(c)) == "Mn"]
-    out, k = [], 0
-    while k < len(codes):
-        j = k
-        while j + 1 < len(codes) and codes[j + 1] == codes[j] + 1:
-            j += 1
-        out.append(f"\\U{codes[k]:08x}-\\U{codes[j]:08x}")
-        k = j + 1
-    return re.compile(f"[{''.join(out)}]+")
-
-
-# A class within the first plane compiles to a bit table; one range beyond it makes every character slow.
-_MARKS: re.Pattern | None = None
-_FAR_MARKS: re.Pattern | None = None
-_FAR = re.compile("[\U00010000-\U0010ffff]")
 _WORD = re.compile(r"[^\W_]+")
-
-
-def fold_text(text: str) -> str:
-    """Lower case, NFD, combining marks (Mn) removed; not trimmed."""
-    global _MARKS, _FAR_MARKS
-    low = text.lower()
-    if low.isascii():
-        return low
-    if _MARKS is None:
-        _MARKS, _FAR_MARKS = _marks(0, 0x10000), _marks(0x10000, sys.maxunicode + 1)
-    plain = _MARKS.sub("", unicodedata.normalize("NFD", low))
-    return _FAR_MARKS.sub("", plain) if _FAR.search(plain) else plain
-
-
 _CLUSTER = re.compile("[^\u0300-\u036f][\u0300-\u036f]+")
 
 

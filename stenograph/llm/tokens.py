@@ -5,10 +5,12 @@ from __future__ import annotations
 import base64
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import spread, table
 from .arrow import lists, map_batches
@@ -32,18 +34,20 @@ class PrefixEncoding:
 
     def __init__(self, vocabulary: "Vocabulary", data: bytes = b"") -> None:
         self.vocabulary = vocabulary
-        self.data = b""
+        self.data = bytearray()
         self.last: list[int] = []
         self.append(data)
 
     def append(self, data: bytes) -> "PrefixEncoding":
         """Extend by ``data``; equals encoding the whole string again."""
         v = self.vocabulary
-        begin, self.data = len(self.data), self.data + data
-        whole, last, ranks, fits, longest = self.data, self.last, v.ranks, v.fits, v.longest
-        for end in range(begin + 1, len(whole) + 1):
+        begin, last, ranks, fits, longest = len(self.data), self.last, v.ranks, v.fits, v.longest
+        self.data += data
+        base = max(0, begin - longest)  # no token reaches farther back
+        near = bytes(self.data[base:])
+        for end in range(begin + 1, len(self.data) + 1):
             for start in range(max(0, end - longest), end):
-                token = ranks.get(whole[start:end])
+                token = ranks.get(near[start - base : end - base])
                 if token is not None and (not start or fits(last[start - 1], token)):
                     last.append(token)
                     break
@@ -96,12 +100,14 @@ class Vocabulary:
         """Whether merging the bytes of both tokens ends in just these two."""
         found = self._fits.get((left, right))
         if found is None:
+            if len(self._fits) >= MEMORY:
+                self._fits.clear()
             found = self._fits[left, right] = self.merge(self.bytes[left] + self.bytes[right]) == [left, right]
         return found
 
     def merge(self, data: bytes) -> list[int]:
         """Plain BPE of a few bytes, lowest rank first; the definition that ``fits`` rests on."""
-        parts = [data[k : k + 1] for k in range(len(data))]
+        parts = [bytes(data[k : k + 1]) for k in range(len(data))]
         while len(parts) > 1:
             best, at = min(((self.ranks.get(parts[k] + parts[k + 1], 1 << 30), k) for k in range(len(parts) - 1)))
             if best == 1 << 30:
@@ -115,6 +121,12 @@ class Vocabulary:
             self._split = _splitter(self.pattern)
         return self._split(text)
 
+    def iterate(self, text: str, at: int) -> Iterator[str]:
+        """The pieces from a piece's beginning on, one by one."""
+        import regex
+
+        return (m.group() for m in regex.compile(self.pattern).finditer(text, at))
+
     def piece(self, piece: str) -> bytes:
         """Ids of one piece as 32-bit integers; short pieces are remembered."""
         found = self._known.get(piece)
@@ -156,18 +168,92 @@ def _splitter(pattern: str):
     return split
 
 
-_LOADED: dict[tuple[str, str], Vocabulary] = {}
+class TextEncoding:
+    """The encoding of a text, piece by piece, for exact appends and edits.
+
+    Pieces are found from left to right, and a piece looks at most one character beyond its end. So pieces that
+    end two or more before an edit stay, pieces are found anew from there, and as soon as one begins where an old
+    piece began behind the edit, all later ones stay too.
+    """
+
+    def __init__(self, v: "Vocabulary", text: str, ids: list[int] | None = None) -> None:
+        self.vocabulary, self.text = v, text
+        self.parts = v.pieces(text)
+        if ids is None:
+            self.coded = [v.piece(p) for p in self.parts]
+        else:  # the ids are known: they are dealt out to the pieces by the bytes they stand for
+            data, at = np.array(ids, dtype=np.int32).tobytes(), 0
+            sizes = [len(v.bytes[k]) for k in ids]
+            self.coded, k = [], 0
+            for p in self.parts:
+                left = len(p.encode("utf-8", "surrogatepass"))
+                at = k
+                while left > 0:
+                    left -= sizes[k]
+                    k += 1
+                self.coded.append(data[4 * at : 4 * k])
+
+    def replace(self, begin: int, end: int, new: str) -> "TextEncoding":
+        """Replace characters ``begin`` to ``end``; only the pieces near them are encoded."""
+        v, parts, coded = self.vocabulary, self.parts, self.coded
+        text = self.text[:begin] + new + self.text[end:]
+        starts = np.concatenate([[0], np.cumsum([len(p) for p in parts], dtype=np.int64)])
+        keep = max(0, int(np.searchsorted(starts, begin, "right")) - 2)
+        shift = len(new) - (end - begin)
+        old = {int(x) + shift: k for k, x in enumerate(starts[:-1]) if x >= end + 1}
+        at, fresh, rest = int(starts[keep]), [], len(parts)
+        for p in v.iterate(text, at):
+            if at in old and at > begin + len(new):
+                rest = old[at]
+                break
+            fresh.append(p)
+            at += len(p)
+        self.text, self.parts = text, parts[:keep] + fresh + parts[rest:]
+        self.coded = coded[:keep] + [v.piece(p) for p in fresh] + coded[rest:]
+        return self
+
+    def append(self, new: str) -> "TextEncoding":
+        return self.replace(len(self.text), len(self.text), new)
+
+    def ids(self) -> list[int]:
+        return np.frombuffer(b"".join(self.coded), dtype=np.int32).tolist()
+
+
+_LOADED: dict[str, Vocabulary] = {}
 #: Split pattern of the rank files, as published with them.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A rank file may have this many bytes to be sent to executors (the public ones have 1 to 4 MB).
+LARGEST_FILE = 64_000_000
+
+
+def _ranks(data: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
 def vocabulary(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> Vocabulary:
     """The vocabulary of ``folder/name.tiktoken``, loaded once per process."""
-    if (folder, name) not in _LOADED:
-        with open(f"{folder}/{name}.tiktoken", "rb") as file:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        _LOADED[folder, name] = Vocabulary(ranks, PATTERN)
-    return _LOADED[folder, name]
+    key = f"{folder}/{name}"
+    if key not in _LOADED:
+        with open(f"{key}.tiktoken", "rb") as file:
+            _LOADED[key] = Vocabulary(_ranks(file.read()), PATTERN)
+    return _LOADED[key]
+
+
+def _shipped(spark: SparkSession, name: str, folder: str):
+    """A function that gives the vocabulary in a worker. The driver's file is broadcast, so executors need none; each
+    worker reads it once."""
+    with open(f"{folder}/{name}.tiktoken", "rb") as file:
+        data = file.read(LARGEST_FILE + 1)
+    if len(data) > LARGEST_FILE:
+        raise ValueError(f"a rank file of more than {LARGEST_FILE} bytes")
+    sent, key = spark.sparkContext.broadcast(data), f"sent:{folder}/{name}"
+
+    def load() -> Vocabulary:
+        if key not in _LOADED:
+            _LOADED[key] = Vocabulary(_ranks(sent.value), PATTERN)
+        return _LOADED[key]
+
+    return load
 
 
 def encode(documents: DataFrame, text: str = "text", output: str = "ids", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
@@ -181,8 +267,10 @@ def encode(documents: DataFrame, text: str = "text", output: str = "ids", name:
     keep = [c for c in documents.columns if c not in (text, output)]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in keep]
 
+    load = _shipped(documents.sparkSession, name, folder)
+
     def run(batch: pa.RecordBatch) -> dict:
-        v = vocabulary(name, folder)
+        v = load()
         coded = [v.encode_bytes(t) if t else b"" for t in batch.column(text).to_pylist()]
         ids = pa.array(np.frombuffer(b"".join(coded), dtype=np.int32))
         return {c: batch.column(c) for c in keep} | {output: lists(ids, [len(c) // 4 for c in coded])}
@@ -195,17 +283,50 @@ def token_counts(documents: DataFrame, text: str = "text", output: str = "n_toke
     keep = [c for c in documents.columns if c not in (text, output)]
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in keep]
 
+    load = _shipped(documents.sparkSession, name, folder)
+
     def run(batch: pa.RecordBatch) -> dict:
-        v = vocabulary(name, folder)
+        v = load()
         return {c: batch.column(c) for c in keep} | {output: [len(v.encode_bytes(t)) // 4 if t else 0 for t in batch.column(text).to_pylist()]}
 
     return map_batches(documents, run, ", ".join([*fields, f"`{output}` bigint"]))
 
 
+def encode_edited(documents: DataFrame, key: str = "doc_id", text: str = "text", ids: str = "ids", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:
+    """(key, ids) of edited texts from the ids they had before, encoding only what lies near the edits.
+
+    ``documents``: key, ``text`` and ``ids`` before the edit, ``begin`` and ``end`` (characters to replace, counted in
+    code points and cut to the text), ``new`` (what comes there). Null texts count as empty, null bounds as the text's
+    end (so an append needs neither), a null ``new`` as nothing. The result equals encoding the edited text.
+    """
+    kind = documents.schema[key].dataType.simpleString()
+    load = _shipped(documents.sparkSession, name, folder)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        v, out = load(), []
+        for value, known, begin, end, new in zip(*(batch.column(c).to_pylist() for c in (text, ids, "begin", "end", "new"))):
+            value = value or ""
+            begin = len(value) if begin is None else min(max(begin, 0), len(value))
+            end = len(value) if end is None else min(max(end, begin), len(value))
+            out.append(b"".join(TextEncoding(v, value, known or []).replace(begin, end, new or "").coded))
+        coded = pa.array(np.frombuffer(b"".join(out), dtype=np.int32))
+        return {key: batch.column(key), "ids": lists(coded, [len(c) // 4 for c in out])}
+
+    return map_batches(documents.select(key, text, ids, "begin", "end", "new"), run, f"`{key}` {kind}, ids array<int>")
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, ids) of every document by byte_bpe_50k."""
     return encode(spread(table(spark, folder, "documents").select("doc_id", "text")))
 
 
-QUERIES = {"p8_ids": p8_ids}
+def p8_edited(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, ids) of every document with its middle character replaced, from its ids and the edit."""
+    rows = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    known = encode(rows.withColumn("kept", F.col("text"))).withColumnRenamed("kept", "text")
+    middle = F.floor(F.length(F.coalesce("text", F.lit(""))) / 2).cast("int")
+    return encode_edited(known.select("doc_id", "text", "ids", middle.alias("begin"), (middle + 1).alias("end"), F.lit(" ñu, ").alias("new")))
+
+
+QUERIES = {"p8_ids": p8_ids, "p8_edited": p8_edited}
 SQL: dict[str, str] = {}

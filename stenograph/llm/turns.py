@@ -305,35 +305,46 @@ def resolve_labels(labels: DataFrame, register: DataFrame, typed: DataFrame | No
     costs = _costs(named.select("country", "clean").distinct(), _sounding(people))
     asked = named.select("id_session", "country", "clean").distinct().join(costs, ["country", "clean"])
 
-    def solve(pdf):
-        import pandas as pd
-
-        edges: dict[str, dict[str, float]] = {}
-        who = {}
-        for clean, person, id_dep, voice, cost in zip(pdf["clean"], pdf["person"], pdf["id_dep"], pdf["voice"], pdf["cost"]):
-            edges.setdefault(clean, {})[person] = cost
-            who[person] = (id_dep, voice)
-        done: dict[str, str] = {}
-        for names, persons_ in _components(edges):
-            cost = np.full((len(names), len(persons_) + len(names)), UNKNOWN)
-            cost[:, : len(persons_)] = 99
-            at = {p: j for j, p in enumerate(persons_)}
-            for i, n in enumerate(names):
-                for p, c in edges[n].items():
-                    cost[i, at[p]] = c
-            for i, j in assign(cost):
-                near = cost[i, : len(persons_)]
-                if j >= len(persons_):
-                    j = int(np.argmin(near))
-                if cost[i, j] < UNKNOWN and (np.abs(near - cost[i, j]) < 0.5).sum() == 1:
-                    done[names[i]] = persons_[j]
-        rows = [(pdf["id_session"].iloc[0], pdf["country"].iloc[0], n, *who.get(done.get(n), (None, None))) for n in sorted(edges)]
-        return pd.DataFrame(rows, columns=["id_session", "country", "clean", "id_dep", "voice"]).astype(object)
-
-    solved = asked.groupBy("id_session", "country").applyInPandas(solve, "id_session string, country string, clean string, id_dep string, voice string")
+    def solve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for session, country, fits in zip(*(batch.column(c).to_pylist() for c in ("id_session", "country", "fits"))):
+                edges: dict[str, dict[str, float]] = {}
+                who: dict[str, tuple] = {}
+                for f in fits:
+                    edges.setdefault(f["clean"], {})[f["person"]] = f["cost"]
+                    who[f["person"]] = (f["id_dep"], f["voice"])
+                done = _assigned(edges)
+                for n in sorted(edges):
+                    for c, v in zip(out, (session, country, n, *who.get(done.get(n), (None, None)))):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], names=["id_session", "country", "clean", "id_dep", "voice"])
+
+    # A sitting's list holds its distinct names that sound like somebody, once for each such person.
+    sittings = asked.groupBy("id_session", "country").agg(F.collect_list(F.struct("clean", "person", "id_dep", "voice", "cost")).alias("fits"))
+    solved = sittings.mapInArrow(solve, "id_session string, country string, clean string, id_dep string, voice string")
     return named.join(solved, ["id_session", "country", "clean"]).select("id_session", "label", "id_dep", "voice").distinct()
 
 
+def _assigned(edges: dict[str, dict[str, float]]) -> dict[str, str]:
+    """The person of each name that an optimal assignment, and then the nearest person for what is left, settles."""
+    done: dict[str, str] = {}
+    for names, people in _components(edges):
+        cost = np.full((len(names), len(people) + len(names)), UNKNOWN)
+        cost[:, : len(people)] = 99
+        at = {p: j for j, p in enumerate(people)}
+        for i, n in enumerate(names):
+            for p, c in edges[n].items():
+                cost[i, at[p]] = c
+        for i, j in assign(cost):
+            near = cost[i, : len(people)]
+            if j >= len(people):
+                j = int(np.argmin(near))
+            if cost[i, j] < UNKNOWN and (np.abs(near - cost[i, j]) < 0.5).sum() == 1:
+                done[names[i]] = people[j]
+    return done
+
+
 def _components(edges: dict[str, dict[str, float]]) -> Iterator[tuple[list[str], list[str]]]:
     """Names and persons that candidate pairs connect."""
     back: dict[str, list[str]] = {}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stenograph.llm import counts, distinctive, mixture, names, pairs, pieces, scans, sentences, terms, tokens, turns
 
+FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 VOCABULARY = Path(tokens.TOKENIZERS) / "byte_bpe_50k.tiktoken"
 
 
@@ -248,22 +249,46 @@ def test_pairs_of_a_long_record_come_in_pieces(monkeypatch):
 # --- 6 ---
 def test_counts_by_deltas_equal_a_recount(spark, tmp_path):
     r = random.Random(2)
-    store = counts.TermCounts(spark, f"file://{tmp_path}/counts", buckets=4)
+    store = counts.TermCounts(spark, f"file://{tmp_path}/counts", per_bucket=3)
     live: dict[str, Counter] = {}
-    for _ in range(3):
+    for k in range(3):
         gone = r.sample(sorted(live), min(2, len(live)))
-        new = {f"r{r.randrange(100)}": Counter(r.choices("abcdef", k=6)) for _ in range(4)}
+        new = {f"r{r.randrange(100)}": Counter(r.choices("abcdefghij", k=6)) for _ in range(4)}
         minus = [(k, t, n, -1) for k in {*gone, *(set(new) & set(live))} for t, n in live[k].items()]
         plus = [(k, t, n, 1) for k, c in new.items() for t, n in c.items()]
-        for k in gone:
-            live.pop(k)
+        for x in gone:
+            live.pop(x)
         live.update(new)
         plus = [x for x in plus if x[0] in live]
-        store.merge(spark.createDataFrame(minus + plus, "record string, term string, n bigint, sign int"), ["record"])
+        delta = spark.createDataFrame(minus + plus, "record string, term string, n bigint, sign int")
+        store.merge(delta, ["record"], f"d{k}")
+        store.merge(delta, ["record"], f"d{k}")  # a repeated delta is counted once
         want = {t: (sum(c[t] for c in live.values()), sum(t in c for c in live.values())) for c in live.values() for t in c}
         assert {x["term"]: (x["n"], x["records"]) for x in store.read().collect()} == want
     store.merge(spark.createDataFrame([], "record string, term string, n bigint, sign int"), ["record"])
-    assert store.read().count() == len(want)
+    assert store.read().count() == len(want) and store.state()["buckets"] > 1
+    assert len([n for n in store._names("") if n.startswith("delta-")]) == 0 and len(store._names("versions")) == counts.KEPT + 1
+
+
+@pytest.mark.parametrize("crash", ["_publish", "_load_half"])
+def test_counts_survive_a_merge_that_ends_early(spark, tmp_path, monkeypatch, crash):
+    store = counts.TermCounts(spark, f"file://{tmp_path}/counts", per_bucket=4)
+    rows = lambda terms: spark.createDataFrame([("r" + t, t, 1, 1) for t in terms], "record string, term string, n bigint, sign int")
+    store.merge(rows("abcdefgh"), ["record"], "one")
+    if crash == "_publish":  # data written, version not
+        with monkeypatch.context() as m:
+            m.setattr(counts.TermCounts, "_publish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                store.merge(rows("xyz"), ["record"], "two")
+    else:  # the version's file is cut off
+        Path(f"{tmp_path}/counts/versions/{store.state()['number'] + 1:010}.json").write_text('{"number": 2, "par')
+    assert sorted(x["term"] for x in store.read().collect()) == list("abcdefgh")
+    store.merge(rows("xyz"), ["record"], "two")
+    assert sorted(x["term"] for x in store.read().collect()) == list("abcdefghxyz")
+    state = store.state()
+    store.merge(rows("q"), ["record"])
+    with pytest.raises(RuntimeError):
+        store._publish(state | {"number": state["number"] + 1})  # another writer was first
 
 
 # --- 7 is in the core; 8 ---
@@ -298,6 +323,33 @@ def test_prefix_encoding_appends_and_edits():
         assert e.ids(k) == v.merge(e.data[:k])
 
 
+@needs_vocabulary
+def test_texts_edited_and_appended(spark):
+    v, r = tokens.vocabulary(), random.Random(8)
+    alphabet = "aaabeé n1½ \n\t  's,中😀."
+    for _ in range(400):
+        s = "".join(r.choice(alphabet) for _ in range(r.randint(0, 60)))
+        a = r.randint(0, len(s))
+        b, new = r.randint(a, len(s)), "".join(r.choice(alphabet) for _ in range(r.randint(0, 6)))
+        e = tokens.TextEncoding(v, s, v.encode(s)).replace(a, b, new)
+        assert e.ids() == v.encode(s[:a] + new + s[b:]) and "".join(e.parts) == e.text
+        assert e.append(new).ids() == v.encode(s[:a] + new + s[b:] + new)
+    rows = [(1, "Hola, mundo", v.encode("Hola, mundo"), 5, 5, " mi"), (2, None, None, None, None, "fin"), (3, "abc", v.encode("abc"), None, None, None), (4, "abc", v.encode("abc"), -4, 99, "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, ids array<int>, begin int, end int, new string")
+    got = {x["doc_id"]: x["ids"] for x in tokens.encode_edited(df).collect()}
+    assert got == {k: v.encode(t) for k, t in ((1, "Hola, mi mundo"), (2, "fin"), (3, "abc"), (4, "x"))}
+    assert tokens.encode_edited(df.limit(0)).count() == 0
+
+
+@needs_vocabulary
+def test_appends_take_linear_time():
+    v = tokens.vocabulary()
+    e = tokens.PrefixEncoding(v)
+    for _ in range(20_000):
+        e.append(b"the sea ")
+    assert e.ids(8 * 400) == v.merge(b"the sea " * 400)
+
+
 @needs_vocabulary
 def test_encode_keeps_other_columns(spark):
     df = spark.createDataFrame([(1, "hola", "x"), (2, None, None), (3, "", "y"), (1, "hola", "x")], "doc_id bigint, text string, extra string")
@@ -331,6 +383,20 @@ def test_mixture(spark):
     assert mixture.report(mixture.mixture(d, t), t, d).count() == 5
 
 
+@needs_vocabulary
+@pytest.mark.skipif(not Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")).exists(), reason="test tables are missing")
+def test_shares_are_reached(spark):
+    """Every source that has tokens, a share and a cap reaches its share to within one document."""
+    rows = [r for r in mixture.p9_shares(spark, FOLDER).collect()]
+    whole = sum(r["target_share"] for r in rows if r["available_tokens"] and r["max_repeats"] > 0)
+    used = sum(r["used_tokens"] for r in rows)
+    sizes = {r["source"]: r["m"] for r in mixture.sized_documents(spark, FOLDER).groupBy("source").agg(F.max("n_tokens").alias("m")).collect()}
+    assert used and all(r["most_times"] <= r["max_repeats"] for r in rows)
+    for r in rows:
+        if r["available_tokens"] and r["max_repeats"] > 0:
+            assert abs(r["used_tokens"] - r["target_share"] / whole * used) <= 2 * max(sizes.values())
+
+
 # --- 10 ---
 @pytest.mark.parametrize(
     "text,units",
@@ -390,7 +456,6 @@ def test_sentences_of_odd_texts(spark):
     assert sentences.sentences(df.limit(0)).count() == 0
 
 
-FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables are missing")
