@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 DAY = 86400
 #: Bounds how many pieces one interval can be exploded into, whatever the span of dates.
@@ -38,7 +42,7 @@ def validity_intervals(
     change times of an entity the active change highest in ``priority`` (then its attributes) wins.
 
     Work is keyed by (entity, bucket), never by entity alone, so an entity that holds most of the
-    changes is spread over its buckets. Columns: entity, ``_bucket``, ``_from``, ``_to`` (day
+    changes is spread over its buckets, and a bucket's changes are swept once, not compared with each other. Columns: entity, ``_bucket``, ``_from``, ``_to`` (day
     numbers), attributes. Days with no active change are left out.
     """
     first, last = span
@@ -53,11 +57,58 @@ def validity_intervals(
         .withColumn("_hi", F.least("_hi", (F.col("_bucket") + 1) * bucket_days))
     )
     key = [*entity, "_bucket"]
-    times = rows.select(*key, F.explode(F.array("_lo", "_hi")).alias("_from")).distinct()
-    steps = times.withColumn("_to", F.lead("_from").over(Window.partitionBy(*key).orderBy("_from"))).where(F.col("_to").isNotNull())
-    active = steps.join(rows, key).where((F.col("_lo") <= F.col("_from")) & (F.col("_from") < F.col("_hi")))
-    best = active.groupBy(*key, "_from", "_to").agg(F.max_by("_attr", "_rank").alias("_attr"))
-    return best.select(*key, "_from", "_to", *[F.col(f"_attr.{a}").alias(a) for a in attributes])
+    laid = rows.repartition(*key).sortWithinPartitions(*key, F.desc("_rank")).select(*key, F.col("_lo").cast("bigint").alias("_lo"), F.col("_hi").cast("bigint").alias("_hi"), *[F.col(f"_attr.{a}").alias(a) for a in attributes])
+    kinds = {f.name: f.dataType.simpleString() for f in laid.schema}
+    names = [*key, "_from", "_to", *attributes]
+    schema = ", ".join(f"`{n}` {kinds.get(n, 'bigint')}" for n in names)
+    return laid.mapInArrow(_swept(len(key), names, schema), schema)
+
+
+def _swept(n_key: int, names: list[str], schema: str):
+    """Rows of (key, lo, hi, attributes), by key and falling priority, as the steps between the times of their key.
+
+    Each row takes the steps in its span that nothing before it took. A pointer leads from every step to the next
+    free one, so each step is taken once and passed over at most once more: the work is that of sorting, however many
+    changes one key has.
+    """
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def steps(rows: list[tuple]) -> Iterator[tuple]:
+        times = sorted({r[n_key] for r in rows} | {r[n_key + 1] for r in rows})
+        at = {t: k for k, t in enumerate(times)}
+        free = list(range(len(times)))  # the first free step from here on; the last time begins none
+
+        def first(k: int) -> int:
+            end = k
+            while free[end] != end:
+                end = free[end]
+            while free[k] != end:
+                free[k], k = end, free[k]
+            return end
+
+        for r in rows:
+            k, stop = first(at[r[n_key]]), at[r[n_key + 1]]
+            while k < stop:
+                yield (*r[:n_key], times[k], times[k + 1], *r[n_key + 2 :])
+                free[k] = k + 1
+                k = first(k + 1)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, out = None, [], []
+        for batch in batches:
+            for r in zip(*(c.to_pylist() for c in batch.columns)):
+                if r[:n_key] != key:
+                    out += steps(held) if held else ()
+                    key, held = r[:n_key], []
+                held.append(r)
+            if len(out) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+                out = []
+        out += steps(held) if held else ()
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+
+    return run
 
 
 def attributes_as_of(

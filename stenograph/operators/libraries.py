@@ -112,3 +112,65 @@ def load(spark: SparkSession, folder: str) -> DataFrame:
     if bad:
         raise ValueError(f"checksum of {bad[0]['country']} differs")
     return items
+
+
+def save(items: DataFrame, store: str, name: str, definition: dict) -> None:
+    """Keep a subset under a name; a name that is taken is refused."""
+    if not name or "/" in name or "=" in name:
+        raise ValueError(f"no name for a subset: {name!r}")
+    items.withColumn("definition", F.lit(json.dumps(definition, sort_keys=True))).write.mode("error").parquet(f"{store}/name={name}")
+
+
+def listing(spark: SparkSession, store: str) -> DataFrame:
+    """(name, turns, countries, definition) of every subset that is kept."""
+    kept = spark.read.option("basePath", store).parquet(f"{store}/*")
+    return kept.groupBy("name").agg(F.count("*").alias("turns"), F.sort_array(F.collect_set("country")).alias("countries"), F.min("definition").alias("definition"))
+
+
+def delete(spark: SparkSession, store: str, name: str) -> bool:
+    """Remove a subset; whether it was there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{store}/name={name}")
+    return bool(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True))
+
+
+def create_by_country(rows: DataFrame, shared: dict, overrides: dict[str, dict] | None = None) -> DataFrame:
+    """A subset whose definition may differ by country: ``variants``, ``selection``, ``min_occurrences`` and ``event`` (day, before, after).
+
+    ``overrides`` replaces parts of ``shared`` for a country; countries without any get the shared definition.
+    """
+    from ..functions.dates import event_window
+
+    def one(part: DataFrame, d: dict) -> DataFrame:
+        if d.get("event"):
+            part = part.where(event_window(F.col("date"), *d["event"]))
+        return create(part, d.get("variants", []), d.get("selection", Selection()), d.get("min_occurrences", 1))
+
+    overrides = overrides or {}
+    out = one(rows.where(~F.col("country").isin(*overrides, "")), shared)
+    for country, own in overrides.items():
+        out = out.unionByName(one(rows.where(F.col("country") == country), {**shared, **own}))
+    return out
+
+
+def create_from_query(spark: SparkSession, sql: str, rows: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """A subset of the turns whose ``id_int`` a guarded query returns."""
+    from ..sources.corpus import guarded_sql
+
+    ids, cut = guarded_sql(spark, sql, tables, max_rows=(1 << 31) - 2)
+    if "id_int" not in ids.columns:
+        raise ValueError("the query must return id_int")
+    return rows.join(ids.select("id_int").distinct(), "id_int", "left_semi").select("id_int", "country", F.lit(0).alias("occ"), F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
+def notes(described: DataFrame) -> DataFrame:
+    """(country, note): what to mind when a subset's countries are compared, from ``describe``."""
+    both = described.agg(F.max("turns").alias("most"), F.min("first_date").alias("a"), F.max("last_date").alias("b")).first()
+    rules = [
+        (F.col("turns") * 10 <= F.lit(both["most"] or 0), "ten times fewer turns than the largest"),
+        (F.col("long_turns") > F.col("turns") * 0.2, "over 20 % long turns"),
+        (F.col("chair_pct") > 25, "over 25 % of the words from the chair"),
+        (F.col("undated") > 0, "undated turns"),
+        ((F.year("first_date") != F.lit(both["a"].year if both["a"] else 0)) | (F.year("last_date") != F.lit(both["b"].year if both["b"] else 0)), "another span of years"),
+    ]
+    listed = F.filter(F.array(*[F.when(c, F.lit(n)) for c, n in rules]), lambda x: x.isNotNull())
+    return described.select("country", F.explode(listed).alias("note"))

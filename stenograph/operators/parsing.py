@@ -224,7 +224,7 @@ def line_shapes(rows: DataFrame, least: int = 3) -> DataFrame:
     """
     line = rows.where(F.col("text").isNotNull()).select("id_session", F.explode(F.split("text", "\n")).alias("line")).where(F.trim("line") != "")
     shape = F.trim("line")
-    for pattern, mark in ((r"\p{Lu}+", "A"), (r"[\p{L}&&[^A]]+", "a"), (r"\d+", "9"), (r"\s+", " "), (r"(?:[Aa]+ ){2,}", "w ")):
+    for pattern, mark in ((r"\p{Lu}+", "A"), (r"[\p{Ll}\p{Lo}\p{Lt}\p{Lm}]+", "a"), (r"\d+", "9"), (r"\s+", " "), (r"(?:[Aa]+ ){2,}", "w ")):
         shape = F.regexp_replace(shape, pattern, mark)
     g = line.select("id_session", F.substring(shape, 1, 40).alias("shape")).groupBy("shape").agg(F.count("*").alias("lines"), F.countDistinct("id_session").alias("sessions"))
     return g.where(F.col("lines") >= least)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.terms import CHAIR, NOT_CHAIR, Selection, at_most_words, is_chair, not_chairing, since, speeches, until
 from ..operators import analysis as A
 from ..sources import corpus as C
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .common import TERMS, TURNS, terms, turns, uses
 
 SPEECH = Selection(speeches())
@@ -15,7 +15,7 @@ PEOPLE = Selection(speeches(), not_chairing(), at_most_words())
 
 
 def ngram_series(spark, d):
-    return A.ngram_series(table(spark, d, "interventions"), "presupuesto + orçamento, adjudic*, agua potable", SPEECH, version="row_n")
+    return A.ngram_series(spread(table(spark, d, "interventions")), "presupuesto + orçamento, adjudic*, agua potable", SPEECH, version="row_n")
 
 
 _SERIES = [("presupuesto + orçamento", [" presupuesto ", " orcamento "]), ("adjudic*", [r" adjudic[\p{L}\p{N}]* "]), ("agua potable", [" agua  potable "])]
@@ -31,7 +31,7 @@ f AS (SELECT * FROM spine LEFT JOIN y USING (year))
 
 
 def ngram_smoothed(spark, d):
-    rows = table(spark, d, "interventions")
+    rows = spread(table(spark, d, "interventions"))
     return A.ngram_series(rows, "hospital", SPEECH, by_country=True, measure="interventions_pct", smoothing=1, version="row_n").select("series", "country", "year", "count", "value", "turns")
 
 
@@ -48,12 +48,12 @@ def ngram_index(spark, d):
 
 
 def term_counter(spark, d):
-    return A.term_counter(table(spark, d, "interventions"), ["señor presidente", "senhor presidente"], SPEECH, "row_n")
+    return A.term_counter(spread(table(spark, d, "interventions")), ["señor presidente", "senhor presidente"], SPEECH, "row_n")
 
 
 def _frequency(by, variants=("deuda", "dívida")):
     def query(spark, d):
-        return A.term_frequency(table(spark, d, "interventions"), list(variants), by(), SPEECH, "row_n")
+        return A.term_frequency(spread(table(spark, d, "interventions")), list(variants), by(), SPEECH, "row_n")
 
     return query
 
@@ -64,7 +64,7 @@ SELECT grp, sum(occ)::BIGINT AS uses, count(*) FILTER (occ > 0) AS turns, sum(n_
 
 
 def top_parties(spark, d):
-    return A.top_groups(table(spark, d, "interventions"), ["corrupción", "inflación", "inflação"], SPEECH, "party", 3, "row_n")
+    return A.top_groups(spread(table(spark, d, "interventions")), ["corrupción", "inflación", "inflação"], SPEECH, "party", 3, "row_n")
 
 
 def share_of_voice(spark, d):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.terms import CHAIR, NOT_CHAIR
 from ..operators import lexicon as W
 from ..operators import mentions as M
 from ..operators import parsing as G
@@ -12,7 +13,7 @@ from ..operators import rosters as O
 from ..session import materialize
 from ..sources.tables import one_per_key, table
 from .analysis import _GUEST_SQL, _NOBODY_SQL
-from .common import TURNS, folded, sessions, turns
+from .common import SESSIONS, TURNS, folded, sessions, turns
 
 
 # --- words and themes ---
@@ -289,6 +290,32 @@ _EDGE_SQL = f"""WITH {TURNS}, {_LINES}, i AS (SELECT word FROM (SELECT unnest(w[
 f AS (SELECT w[1] AS word, lag(w[-1]) OVER (PARTITION BY id_int ORDER BY n) || w[1] AS joined FROM v)
 SELECT CASE WHEN word IN (SELECT word FROM i) THEN 'word' WHEN joined IN (SELECT word FROM i) THEN 'split' ELSE 'cut' END AS kind, count(*) AS n FROM f WHERE joined IS NOT NULL GROUP BY 1"""
 
+_TAIL_SQL = f"""WITH {TURNS}, {SESSIONS}, k AS (SELECT id_session, country, legislature, CASE WHEN md5(id_session) < '9' THEN try_cast(session_number AS INT) END AS number FROM s),
+r AS (SELECT *, row_number() OVER w AS rn FROM k WINDOW w AS (PARTITION BY country, legislature ORDER BY id_session)),
+a AS (SELECT *, last_value(number IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_n, first_value(number IGNORE NULLS) OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_n,
+  max(CASE WHEN number IS NOT NULL THEN rn END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS at_n FROM r WINDOW w AS (PARTITION BY country, legislature ORDER BY id_session))
+SELECT id_session, coalesce(number, CASE WHEN next_n IS NULL THEN last_n + (rn - at_n) END)::INT AS imputed FROM a"""
+_DOC_LINE = "^\\s*(?:(?:Art[íi]culo|Artigo|Art\\.)\\s*\\d+|\\d+[.)º°-]\\s|[\\p{Lu}\\s]{8,}$)"
+_READ_SQL = f"""WITH {TURNS}, l AS (SELECT id_int, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1)::INT - 1 AS pos FROM t WHERE text IS NOT NULL),
+d AS (SELECT id_int, pos FROM l WHERE regexp_matches(line, '{_DOC_LINE}')), n AS (SELECT *, CASE WHEN pos - lag(pos) OVER (PARTITION BY id_int ORDER BY pos) <= 2 THEN 0 ELSE 1 END AS fresh FROM d),
+b AS (SELECT *, sum(fresh) OVER (PARTITION BY id_int ORDER BY pos)::INT AS block FROM n)
+SELECT id_int, block, min(pos)::INT AS begins, max(pos)::INT AS ends, count(*) AS lines FROM b GROUP BY 1, 2 HAVING count(*) >= 2"""
+_SHAPE = "trim(line, ' ')"
+for _a, _b in (("\\p{Lu}+", "A"), ("[\\p{Ll}\\p{Lo}\\p{Lt}\\p{Lm}]+", "a"), ("\\d+", "9"), ("\\s+", " "), ("(?:[Aa]+ ){2,}", "w ")):
+    _SHAPE = f"regexp_replace({_SHAPE}, '{_a}', '{_b}', 'g')"
+_SHAPES_SQL = f"WITH {TURNS}, l AS (SELECT id_session, unnest(string_split(text, chr(10))) AS line FROM t WHERE text IS NOT NULL), s AS (SELECT id_session, left({_SHAPE}, 40) AS shape FROM l WHERE trim(line, ' ') <> '') SELECT shape, count(*) AS lines, count(DISTINCT id_session) AS sessions FROM s GROUP BY 1 HAVING count(*) >= 3"
+_KEYED = "array_to_string(list_sort(list_filter(string_split_regex(trim(strip_accents(lower({0}))), '[^\\p{{L}}]+'), lambda x: length(x) > 2)), ' ')"
+_PRESIDE_SQL = f"""WITH {TURNS}, p AS (SELECT DISTINCT country, id_dep, unnest([{_KEYED.format('speaker_name')}, {_KEYED.format('last_name')}]) AS k FROM deputies WHERE speaker_name IS NOT NULL),
+u AS (SELECT country, k, min(id_dep) AS chair_id FROM p WHERE k <> '' GROUP BY 1, 2 HAVING count(DISTINCT id_dep) = 1),
+n AS (SELECT id_int, id_session, country, coalesce(CASE WHEN regexp_matches(speaker_raw, '{CHAIR.replace('(?iu)', '(?i)')}') AND NOT regexp_matches(speaker_raw, '{NOT_CHAIR.replace('(?iu)', '(?i)')}') THEN nullif(trim(regexp_extract(speaker_raw, '\\(([^)]{{3,}})\\)', 1), ' '), '') END,
+  nullif(trim(regexp_extract(coalesce(text, ''), '{O.DECLARED.replace('(?iu)', '(?i)').replace("'", "''")}', 1), ' '), '')) AS named FROM t),
+j AS (SELECT id_int, id_session, named, chair_id FROM (SELECT *, {_KEYED.format('named')} AS k FROM n) LEFT JOIN u USING (country, k)),
+h AS (SELECT id_int, id_session, last_value(CASE WHEN named IS NOT NULL THEN {{'n': named, 'c': chair_id}} END IGNORE NULLS) OVER (PARTITION BY id_session ORDER BY id_int ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS h FROM j)
+SELECT id_int, id_session, upper(h.n) AS chair, h.c AS chair_id FROM h WHERE h IS NOT NULL"""
+_STANDARD_SQL = f"""{_FORMS_SQL.split(')' + chr(10) + 'SELECT id_int')[0].replace('SELECT id_int,', 'SELECT id_int, date, id_session, intervention_order, speaker_name,')})
+SELECT id_int, {_FORMS_SQL.split('SELECT id_int, ', 2)[2].replace(' AS number', ' AS session_number').replace(' AS kind', ' AS session_type').rsplit(' FROM k', 1)[0]}, date, CASE WHEN trim(speaker_name) <> '' THEN upper(trim(speaker_name, ' ')) END AS speaker_name,
+  row_number() OVER (PARTITION BY id_session ORDER BY intervention_order NULLS LAST, id_int)::INT AS new_order FROM k"""
+
 _NAMES = """word_lexicon word_network word_themes theme_statistics party_words mention_list mention_network speaker_parts marker_scores embedded_turns roll_calls attendance line_shapes read_documents session_headers
 match_cascade match_rate match_present session_numbers standardize name_parts presidency without_chair explained_gaps number_tail regroup_days mode_per_key linkage_by_words edge_losses""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}
@@ -313,4 +340,9 @@ SQL = {
   coalesce(sum(n_words) FILTER (dm_speech = 1 AND {_GUEST_SQL}), 0)::BIGINT AS guest_words, coalesce(sum(n_words) FILTER (dm_speech = 1 AND NOT {_GUEST_SQL} AND {_NOBODY_SQL}), 0)::BIGINT AS nobody_words FROM t GROUP BY 1)
 SELECT *, round(linked_words * 100.0::DOUBLE / nullif(words - guest_words - nobody_words, 0), 2) AS pct FROM g""",
     "edge_losses": _EDGE_SQL,
+    "number_tail": _TAIL_SQL,
+    "read_documents": _READ_SQL,
+    "line_shapes": _SHAPES_SQL,
+    "presidency": _PRESIDE_SQL,
+    "standardize": _STANDARD_SQL,
 }

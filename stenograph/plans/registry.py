@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analysis, core_problems, loading, pipeline, quality, relations
+from . import analysis, core_problems, loading, pipeline, quality, relations, upkeep
 
-MODULES = [core_problems, analysis, relations, quality, loading, pipeline]
+MODULES = [core_problems, analysis, relations, quality, loading, pipeline, upkeep]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -137,6 +137,21 @@ def test_as_of_matches_brute_force(spark):
         assert got[e] == (max(fit, key=lambda c: (c[4], c[2], c[5]))[5] if fit else None)
 
 
+def test_a_busy_bucket_is_swept_in_linear_time():
+    import time
+
+    from stenograph.operators import asof
+
+    import pyarrow as pa
+
+    n = 100_000  # changes of one entity in one bucket, of falling priority, each a day longer than the one before
+    rows = [pa.array(["p"] * n), pa.array([0] * n), pa.array([n - k for k in range(n)]), pa.array([n + k + 1 for k in range(n)]), pa.array(list(range(n)))]
+    batch = pa.RecordBatch.from_arrays(rows, names=["id", "_bucket", "_lo", "_hi", "n"])
+    began = time.perf_counter()
+    out = [b for b in asof._swept(2, ["id", "_bucket", "_from", "_to", "n"], "id string, _bucket bigint, _from bigint, _to bigint, n bigint")([batch])]
+    assert sum(b.num_rows for b in out) == 2 * n - 1 and time.perf_counter() - began < 20
+
+
 TERM = "reg_n bigint, country string, id_dep string, legislature string, party string, start_date date, end_date date"
 
 

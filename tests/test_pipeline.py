@@ -334,6 +334,109 @@ def test_numbers_days_modes_and_edges(spark):
     assert rows(rosters.edge_losses(e)) == [("cut", 1), ("split", 1), ("word", 1)]
 
 
+# --- pages ---
+def test_page_furniture(spark):
+    from stenograph.operators import pages
+
+    body = "una línea de prosa que no se repite {} y que sigue"
+    t = [("d", p, "\n".join([f"DIARIO DE SESIONES {p}", *[body.format(f"{p} {k} " + "abcdefghij"[(p * 7 + k) % 10]) + "xyz"[k % 3] * k for k in range(8)], f"— {p} —"])) for p in range(1, 7)]
+    found = pages.paged_furniture(spark.createDataFrame(t, "id string, page int, text string"))
+    assert {r["line"] for r in found.collect()} >= {"DIARIO DE SESIONES 1", "— 6 —"} and found.where("line LIKE 'una%'").count() == 0
+    whole = spark.createDataFrame([("d", p, "x\ny\nz") for p in range(6)], "id string, page int, text string")
+    assert pages.paged_furniture(whole).count() == 0  # it would take everything
+    u = spark.createDataFrame([("1", "Acta 1\nprosa.\nActa 2\nprosa.\nActa 3"), ("2", None)], "id string, text string")
+    assert rows(pages.unpaged_furniture(u)) == [("1", "acta 9", 3)]
+    f = spark.createDataFrame([("1", D(2020, 5, 3), "texto\n— 45 —\nDiario 02/05/2020\ntexto\nvisto 03/05/2020\nfin")], "id_int string, date date, text string")
+    assert rows(pages.folio_lines(f)) == [("1", 1, "folio"), ("1", 2, "dated")]
+    stripped = u.where("id = '1'").select(pages.strip_patterns(F.col("text"), [r"Acta \d\n"], [r"Acta \d"], ["pro"])).first()[0]
+    assert stripped == "sa.\nsa.\n"
+
+
+def test_cut_words_and_lines(spark):
+    from stenograph.operators import pages
+
+    t = [(str(k), "La fundación sigue y el plan técnico-administrativo sigue.") for k in range(5)] + [("x", "La Funda-\nción y lo técnico-\nadministrativo."), ("n", None)]
+    df = spark.createDataFrame(t, "id string, text string")
+    told = pages.cut_words(df)
+    assert {(r["head"], r["joins"]) for r in told.collect()} == {("funda", True), ("técnico", False)}
+    assert {r["id"]: r["text"] for r in pages.join_cut_words(df, told).collect()}["x"] == "La Fundación y lo técnico-administrativo."
+    one = lambda f, x: spark.createDataFrame([(x,)], "t string").select(f(F.col("t"))).first()[0]
+    assert one(pages.trim_leaders, "Índice ........ 45\nfin.") == "Índice\nfin." and one(pages.drop_junk, "bien dicho\n#~|..-_ a\nok") == "bien dicho\nok"
+    assert one(pages.reflow, "la ley\nsigue.\nOtra\n\nfin") == "la ley sigue.\nOtra\n\nfin" and one(pages.join_titles, "ORDEN DEL DIA\nPRIMERA PARTE\nx") == "ORDEN DEL DIA PRIMERA PARTE\nx"
+    assert one(pages.box_width, "\n".join("x" * k for k in range(1, 11))) == 9 and one(pages.box_width, None) is None
+    assert tuple(one(pages.commentary, "Sí. (Aplausos.) Sigue ( pausa ).")) == ("Sí. Sigue .", ["Aplausos.", "pausa"])
+
+
+def test_front_matter_and_repetitions(spark):
+    from stenograph.operators import pages
+
+    turn = "Señorías, se abre la sesión de hoy con el orden del día."
+    docs = spark.createDataFrame([("d", D(2020, 1, 1), f"CONGRESO. Año 2020.\n{turn.upper()} Y más."), ("e", D(2020, 1, 1), turn), ("f", D(2021, 1, 1), turn)], "id string, date date, text string")
+    t = spark.createDataFrame([("s", D(2020, 1, 1), "1", turn), ("s", D(2020, 1, 1), "2", "otra")], "id_session string, date date, id_int string, text string")
+    assert rows(pages.front_matter(docs, t)) == [("d", "s", len("CONGRESOAño2020"))]
+    long = "una frase bastante larga que se repite " * 3
+    r = spark.createDataFrame([("s", long), ("s", long.upper()), ("s", long + "x"), ("t", long)], "id_session string, text string")
+    assert rows(pages.repetitions(r)) == [("s", 1, 1)]
+
+
+# --- publishing ---
+def test_checked_writes_logs_and_settings(spark, tmp_path):
+    from stenograph.sources import publishing
+
+    path = f"file://{tmp_path}/t"
+    good = spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string")
+    assert publishing.publish(good, path, "k") == 2 and publishing.publish(good.limit(1), path, "k") == 1
+    for bad in (good.unionByName(good), good.withColumn("k", F.lit(None).cast("string")), good.limit(0)):
+        with pytest.raises(publishing.BadTable):
+            publishing.publish(bad, path, "k")
+    assert spark.read.parquet(path).count() == 1 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    for n in range(3):
+        publishing.log_query(spark, f"file://{tmp_path}/log", "ngram" if n else "search", {"terms": f"t{n}"}, n)
+    note = publishing.methods_note(spark, f"file://{tmp_path}/log")
+    assert note.splitlines()[0].startswith("ngram: 2 queries since ") and '"t2"' in note
+    base = {"a": {"b": 1, "c": 2}, "d": 3}
+    assert publishing.merged(base, {"a": {"c": 5}}, {"d": {"e": 1}}) == {"a": {"b": 1, "c": 5}, "d": {"e": 1}} and base["d"] == 3
+    for entities in ([("", "x")], [("a", "x"), ("a", "y")], [("a", "--")]):
+        with pytest.raises(ValueError):
+            publishing.checked_entities(entities)
+    with pytest.raises(ValueError):
+        publishing.checked_entities([("a", "x"), ("b", " ")])
+
+
+def test_networks_and_alerts(spark, tmp_path):
+    from stenograph.sources import publishing
+
+    nodes, edges = spark.createDataFrame([("a&b",), ("c",)], "id string"), spark.createDataFrame([("a&b", "c", 2.0)], "source string, target string, weight double")
+    publishing.export_network(nodes, edges, f"file://{tmp_path}/n")
+    xml = "\n".join(r[0] for r in spark.read.text(f"file://{tmp_path}/n/graphml").collect())
+    import xml.etree.ElementTree as ET
+
+    assert len(ET.fromstring(xml)[1]) == 3 and spark.read.option("header", True).csv(f"file://{tmp_path}/n/edges").count() == 1
+    t = spark.createDataFrame([("1", "la ley de Ley"), ("2", "una ley y Marta"), ("3", "Marta")], "id_int string, text string")
+    names = [("law", "ley"), ("marta", "Marta")]
+    assert rows(publishing.ambiguity_alerts(networks.entity_presence(t, names), t, names, most=0.5)) == [("law", "common word"), ("law", "frequent"), ("law", "short"), ("marta", "frequent")]
+
+
+def test_subsets_by_country_by_query_and_by_name(spark, tmp_path):
+    from stenograph.functions.terms import Selection, since
+    from stenograph.operators import libraries
+
+    t = spark.createDataFrame([("1", "PT", D(2020, 1, 1), "hospital"), ("2", "BR", D(2020, 1, 1), "hospital escola"), ("3", "BR", D(2010, 1, 1), "escola"), ("4", "ES", None, "hospital")], "id_int string, country string, date date, text string")
+    shared, own = {"variants": ["hospital"]}, {"BR": {"variants": ["escola"], "event": ("2010-01-05", 10, 0)}, "ES": {"variants": [], "selection": Selection(since("2000"))}}
+    assert rows(libraries.create_by_country(t, shared, own).select("id_int")) == [("1",), ("3",)]
+    assert rows(libraries.create_from_query(spark, "SELECT id_int FROM x WHERE country = 'BR'", t, {"x": t}).select("id_int")) == [("2",), ("3",)]
+    with pytest.raises(ValueError):
+        libraries.create_from_query(spark, "SELECT country FROM x", t, {"x": t})
+    store, made = f"file://{tmp_path}/s", libraries.create_by_country(t, shared)
+    libraries.save(made, store, "one", {"terms": ["hospital"]})
+    with pytest.raises(Exception):
+        libraries.save(made, store, "one", {})
+    assert [(r["name"], r["turns"], r["countries"]) for r in libraries.listing(spark, store).collect()] == [("one", 3, ["BR", "ES", "PT"])]
+    assert libraries.delete(spark, store, "one") and not libraries.delete(spark, store, "one")
+    d = spark.createDataFrame([("A", 100, 30, 10.0, 0, D(2000, 1, 1), D(2020, 1, 1)), ("B", 5, 0, 30.0, 2, D(2001, 1, 1), D(2020, 1, 1))], "country string, turns int, long_turns int, chair_pct double, undated int, first_date date, last_date date")
+    assert {(c, n.split()[0]) for c, n in rows(libraries.notes(d))} == {("A", "over"), ("B", "ten"), ("B", "over"), ("B", "undated"), ("B", "another")}
+
+
 # --- duplicates at the published limits ---
 def test_planted_duplicates(spark):
     long = "señorías pido la palabra por una cuestión de orden " * 9
