@@ -129,7 +129,7 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
     )
     numbered = light_frequency.select(F.col("id"), F.col("item").alias("x"), F.col("n").alias("nx"))
     mixed = (
-        postings.select("id", F.explode("h").alias("h")).groupBy("id", "h").agg(F.count("*").alias("n_ab")).where(F.col("n_ab") >= least_together)
+        postings.select("id", "h").mapInArrow(_mixed_counts, "id bigint, h smallint, n bigint").groupBy("id", "h").agg(F.sum("n").alias("n_ab")).where(F.col("n_ab") >= least_together)
         .join(F.broadcast(lookup.select(F.col("h").cast("smallint").alias("h"), F.col("item").alias("y"), F.col("n").alias("ny"))), "h")
         .join(numbered, "id").select("x", "nx", "y", "ny", "n_ab")
     )
@@ -154,6 +154,32 @@ def item_pairs(baskets: DataFrame, key: str, items: str, n_records: int, least_t
     return out.where(enough).withColumn("lift", common.cast("double") / product.cast("double"))
 
 
+#: Mixed pairs that are held and counted together in a task before they go on.
+_HELD = 1 << 22
+
+
+def _mixed_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, h, n) of light items and the heavy ones of the same records, counted a few millions at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def counted() -> pa.RecordBatch:
+        ids, codes = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+        keys, n = np.unique(codes * (1 << 15) + np.concatenate([h for _, h in held]), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(ids[keys >> 15]), pa.array((keys & 0x7FFF).astype(np.int16)), pa.array(n)], names=["id", "h", "n"])
+
+    for batch in batches:
+        lists = batch.column("h")
+        parents = pc.list_parent_indices(lists).to_numpy()
+        held.append((batch.column("id").to_numpy()[parents], lists.flatten().to_numpy().astype(np.int64)))
+        size += len(parents)
+        if size >= _HELD:
+            yield counted()
+            held, size = [], 0
+    if size:
+        yield counted()
+
+
 #: Pairs of one Arrow batch at most, so that a record of any length is handed on piece by piece.
 _PAIRS_PER_BATCH = 1 << 18
 
