@@ -77,7 +77,7 @@ def marked_pieces(rows: DataFrame, register: DataFrame) -> DataFrame:
     found = doubtful_pieces(rows)
     asked = found.where(F.col("label").isNotNull())
     known = materialize(resolve_labels(asked.select("id_session", "country", "label").distinct(), register, typed_names(rows, plain_labels(found))).select("id_session", "label", F.lit(True).alias("resolved")), "piece-labels")
-    doubtful = found.where((F.col("sure") < 2) & F.col("kind").isin("label", "bracket")).join(known, ["id_session", "label"], "left")
+    doubtful = found.where((F.col("sure") < 2) & F.col("kind").isin("label", "bracket")).join(known.hint("merge"), ["id_session", "label"], "left")
     plain = found.where((F.col("sure") == 2) | (F.col("kind") == "sound")).withColumn("resolved", F.lit(False))
     judged = plain.unionByName(doubtful).join(F.broadcast(note_forms(found)), "form", "left")  # bounded by FORM_SHARE
     resolved, note = F.coalesce("resolved", F.lit(False)), F.coalesce("is_note", F.col("sure") == 1)
@@ -303,7 +303,7 @@ def resolve_labels(labels: DataFrame, register: DataFrame, typed: DataFrame | No
     people = roster(register, typed) if typed is not None else _people_of_register(register)
     named = materialize(_clean_names(labels.select("id_session", "country", "label"), "label"), "label-names")
     costs = _costs(named.select("country", "clean").distinct(), _sounding(people))
-    asked = named.select("id_session", "country", "clean").distinct().join(costs, ["country", "clean"])
+    asked = named.select("id_session", "country", "clean").distinct().join(costs.hint("merge"), ["country", "clean"])
 
     def solve(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,7 +323,7 @@ def resolve_labels(labels: DataFrame, register: DataFrame, typed: DataFrame | No
     # A sitting's list holds its distinct names that sound like somebody, once for each such person.
     sittings = asked.groupBy("id_session", "country").agg(F.collect_list(F.struct("clean", "person", "id_dep", "voice", "cost")).alias("fits"))
     solved = sittings.mapInArrow(solve, "id_session string, country string, clean string, id_dep string, voice string")
-    return named.join(solved, ["id_session", "country", "clean"]).select("id_session", "label", "id_dep", "voice").distinct()
+    return named.join(solved.hint("merge"), ["id_session", "country", "clean"]).select("id_session", "label", "id_dep", "voice").distinct()
 
 
 def _assigned(edges: dict[str, dict[str, float]]) -> dict[str, str]:
