@@ -108,3 +108,38 @@ def count_words(text: Column | str) -> Column:
     """Number of words of the unfolded text, marks included; null counts 0."""
     column = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.size(F.regexp_extract_all(F.lower(column), F.lit(MARKED_WORD), F.lit(0))), F.lit(0))
+
+
+def fold_map(text: str) -> tuple[str, list[int]]:
+    """The folded text and, for each of its characters, the place in the text it comes from; one more for the end.
+
+    Every character is folded with the marks behind it, so a match in the folded text can be cut from the text itself.
+    """
+    out, places = [], []
+    for k, c in enumerate(text):
+        plain = fold_text(c)
+        out.append(plain)
+        places += [k] * len(plain)
+    return "".join(out), [*places, len(text)]
+
+
+def slug(text: Column | str) -> Column:
+    """A name for files: folded, runs of anything but letters and digits as one hyphen."""
+    return F.regexp_replace(F.regexp_replace(fold(text), r"[^a-z0-9]+", "-"), r"^-+|-+$", "")
+
+
+def citation(speaker: Column, party: Column, country: Column, date: Column) -> Column:
+    """A turn cited in short: "Ana Gil (PP), ES, 3/5/2014"; unknown parts are left out."""
+    filled = lambda c: F.nullif(F.trim(c), F.lit(""))
+    named = F.concat(F.coalesce(filled(speaker), F.lit("?")), F.coalesce(F.concat(F.lit(" ("), filled(party), F.lit(")")), F.lit("")))
+    day = F.concat_ws("/", F.day(date).cast("string"), F.month(date).cast("string"), F.year(date).cast("string"))
+    return F.concat_ws(", ", named, filled(country), F.when(date.isNotNull(), day))
+
+
+def display_name(name: Column) -> Column:
+    """A speaker's name to show: "SURNAME, Given" turned round, capitals only at the beginning of words, particles small."""
+    turned = F.regexp_replace(F.trim(F.regexp_replace(name, r"\s+", " ")), r"^([^,]+), (.+)$", "$2 $1")
+    shown = F.initcap(F.lower(turned))
+    for particle in ("De", "Del", "La", "Las", "Los", "Y", "Da", "Do", "Dos", "Das", "E"):
+        shown = F.regexp_replace(shown, rf" {particle} ", f" {particle.lower()} ")
+    return shown

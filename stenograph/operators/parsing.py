@@ -242,3 +242,44 @@ def read_documents(rows: DataFrame, least_lines: int = 4) -> DataFrame:
     grouped = lines.withColumn("new", F.when(F.col("at") - F.lag("at").over(w) <= 2, 0).otherwise(1)).withColumn("block", F.sum("new").over(w))
     g = grouped.groupBy("id_int", "block").agg(F.min("at").alias("begins"), F.max("at").alias("ends"), F.count("*").alias("lines")).where(F.col("lines") >= least_lines)
     return g.select("id_int", F.col("block").cast("int").alias("block"), "begins", "ends", "lines")
+
+
+# --- narrative records ---
+_SAID = r"(?:dijo|manifest[óo]|expres[óo]|señal[óo]|respondi[óo]|afirm[óo]|disse|afirmou|respondeu|declarou)"
+_WHO = r"(?:el|la|o|a)\s+(?:señora?|senhora?|diputad[oa]|deputad[oa]|honorable|representante|senador[a]?)"
+_NAMED = r"(\p{Lu}\p{L}+(?:\s(?:de\s|del\s|da\s|do\s)?\p{Lu}\p{L}+){0,3})"
+NARRATED = rf"{_SAID}\s+{_WHO}\s+{_NAMED}\s*:\s*[«“\"]([^«»“”\"]+)[»”\"]"
+
+
+def narrated_turns(rows: DataFrame) -> DataFrame:
+    """(id_int, place, speaker, text): what a narrative record quotes, with who said it ("dijo el señor X: «…»").
+
+    A quotation counts with the nearest speaker before it; quotations that nobody is named for stay in the narrative.
+    """
+    each = rows.where(F.col("text").isNotNull()).select("id_int", F.posexplode(F.regexp_extract_all("text", F.lit(NARRATED), F.lit(0))).alias("k", "m"))
+    return each.select("id_int", (F.col("k") + 1).alias("place"), F.regexp_extract("m", NARRATED, 1).alias("speaker"), F.trim(F.regexp_extract("m", NARRATED, 2)).alias("text"))
+
+
+def narrated_name(phrase: Column) -> Column:
+    """The name in a narrator's phrase: "el honorable representante Luis Gil Sanz, del partido X" is Luis Gil Sanz."""
+    bare = F.regexp_replace(F.trim(phrase), r"(?iu)^(?:(?:el|la|o|a|los|las)\s+)?(?:(?:honorable|señora?|senhora?|diputad[oa]|deputad[oa]|representante|senador[a]?|doctora?|doutora?|don|doña)\s+)*", "")
+    return F.nullif(F.trim(F.regexp_extract(bare, r"^(\p{Lu}[\p{L}'’.-]*(?:\s+(?:(?:de|del|da|do|la)\s+)*\p{Lu}[\p{L}'’.-]*)*)", 1)), F.lit(""))
+
+
+def front_of_sittings(rows: DataFrame, marker: str = EMBEDDED) -> DataFrame:
+    """(id_session, id_int, part, text): each sitting's first turn cut where its first label begins: 0 what stands before, 1 the rest.
+
+    What stands before is the sitting's front matter and belongs in a row of order 0. First turns without a label, or that
+    begin with one, stay whole as part 1.
+    """
+    first = rows.where(F.col("text").isNotNull()).groupBy("id_session").agg(F.min_by(F.struct("id_int", "text"), "id_int").alias("f")).select("id_session", "f.*")
+    front = F.regexp_extract("text", rf"(?s)^(.*?)(?:\n|[.!?…»)\]]\s)\s*(?:{marker})", 1)
+    rest = F.substring(F.col("text"), F.length(front) + 1, F.length("text"))
+    parts = F.array(F.struct(F.lit(0).alias("part"), F.trim(front).alias("text")), F.struct(F.lit(1).alias("part"), F.trim(rest).alias("text")))
+    return first.select("id_session", "id_int", F.explode(parts).alias("p")).select("id_session", "id_int", "p.part", "p.text").where(F.col("text") != "")
+
+
+def read_texts(spark, folder: str) -> DataFrame:
+    """(id, text) of every text file of a folder, whole; the id is the file's name without its ending."""
+    whole = spark.read.text(folder, wholetext=True, recursiveFileLookup=True)
+    return whole.select(F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.[^./]+)?$", 1).alias("id"), F.col("value").alias("text"))

@@ -28,6 +28,13 @@ def fingerprint(rows: DataFrame) -> DataFrame:
         F.count("id_dep").alias("linked"),
         F.count_if(F.col("date").isNull()).alias("undated"),
         F.countDistinct("id_session").alias("sessions"),
+        F.countDistinct("id_dep").alias("persons"),
+        F.countDistinct("speaker_raw").alias("speakers"),
+        F.count_if(F.col("speaker_raw").isNull()).alias("unnamed"),
+        F.count_if(F.col("n_words") > 10_000).alias("long_turns"),
+        F.count_if(F.col("n_words") < 5).alias("short_turns"),
+        F.countDistinct(F.year("date")).alias("years"),
+        F.coalesce(F.max(F.length("text")), F.lit(0)).alias("longest"),
         F.coalesce(F.sum(F.when(F.col("text").isNotNull(), digits)), F.lit(0)).alias("digit_lines"),
         F.coalesce(F.sum(F.when(F.col("text").isNotNull(), cut)), F.lit(0)).alias("cut_lines"),
     )
@@ -53,6 +60,11 @@ def conformity(rows: DataFrame, register: DataFrame) -> DataFrame:
         F.count_if(F.col("intervention_order") < 0).alias("order_negative"),
         F.count_if(F.col("text").rlike(r"<[a-zA-Z/][^>]*>")).alias("markup"),
         F.count_if(F.col("id_dep").isNotNull() & (F.substring("id_dep", 1, 2) != F.col("country"))).alias("foreign_id"),
+        F.count_if(F.col("date").isNull()).alias("date_missing"),
+        F.count_if((F.col("dm_speech") == 1) & (F.coalesce(F.trim("text"), F.lit("")) == "")).alias("speech_without_text"),
+        F.count_if((F.col("dm_speech") == 1) & (F.coalesce(F.trim("speaker_raw"), F.lit("")) == "")).alias("speech_without_speaker"),
+        F.count_if(F.col("id_dep").isNotNull() & (F.coalesce(F.trim("party"), F.lit("")) == "")).alias("person_without_party"),
+        F.count_if(F.coalesce(F.trim("legislature"), F.lit("")) == "").alias("legislature_missing"),
     )
     unknown = rows.where(F.col("id_dep").isNotNull()).join(register.select("id_dep").distinct(), "id_dep", "left_anti").agg(F.count("*").alias("unknown_id"))
     orders = rows.where(F.col("intervention_order") > 0).groupBy("id_session", "intervention_order").count().where("count > 1").agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).alias("order_repeated"))

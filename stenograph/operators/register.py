@@ -121,14 +121,18 @@ def impose_frozen(rows: DataFrame, frozen: DataFrame, key: str) -> DataFrame:
     return rows.join(single, ["country", key], "left").withColumn("id_dep", F.coalesce("_f", "id_dep")).drop("_f")
 
 
-def sex_cascade(rows: DataFrame, register: DataFrame, agree: float = 0.9) -> DataFrame:
-    """(id_dep, sex, sex_source) by falling authority: register, honorific typed before the name, given name.
+def sex_cascade(rows: DataFrame, register: DataFrame, manual: DataFrame | None = None, agree: float = 0.9) -> DataFrame:
+    """(id_dep, sex, sex_source) by falling authority; null where nothing tells.
 
-    Honorifics need ``agree`` of the person's typed ones; a given name needs two persons of the register
-    with one sex and none with the other.
+    ``manual`` decisions (id_dep, sex), the register, a note ("sexo: F"), the honorific typed before the name (``agree``
+    of the person's), the given name if two or more persons of the register have it and all of one sex (``name``) or
+    one has (``rare``), and at last the ending of the first given name, a or o (``ending``).
     """
     clean = lambda c: F.when(F.upper(F.trim(c)).isin("F", "M"), F.upper(F.trim(c)))
-    reg = register.where(clean(F.col("sex")).isNotNull()).groupBy("id_dep").agg(F.countDistinct(clean(F.col("sex"))).alias("n"), F.min(clean(F.col("sex"))).alias("registered")).where("n = 1").drop("n")
+    one = lambda df, c, name: df.where(c.isNotNull()).groupBy("id_dep").agg(F.countDistinct(c).alias("n"), F.min(c).alias(name)).where("n = 1").drop("n")
+    reg = one(register, clean(F.col("sex")), "registered")
+    noted = one(register, clean(F.nullif(F.regexp_extract("notes", r"(?iu)sexo\s*:\s*([FM])(?!\p{L})", 1), F.lit(""))), "noted") if "notes" in register.columns else reg.limit(0).withColumnRenamed("registered", "noted")
+    told = one(manual, clean(F.col("sex")), "decided") if manual is not None else reg.limit(0).withColumnRenamed("registered", "decided")
     title = F.when(F.col("speaker_raw").rlike(r"(?iu)^\W*(la|a)\s+(sra|señora|senhora|diputada|deputada)|^\W*(sra|diputada|deputada)\b"), "F").when(
         F.col("speaker_raw").rlike(r"(?iu)^\W*(el|o)\s+(sr|señor|senhor|diputado|deputado)\b|^\W*(sr|diputado|deputado)\b"), "M"
     )
@@ -137,10 +141,24 @@ def sex_cascade(rows: DataFrame, register: DataFrame, agree: float = 0.9) -> Dat
     honor = honor.select("id_dep", F.when(F.col("f") >= F.col("n") * agree, "F").when(F.col("f") <= F.col("n") * (1 - agree), "M").alias("honorific"))
     given = F.lower(F.split(F.trim("speaker_name"), r"\s+")[0])
     people = register.where(F.col("speaker_name").isNotNull()).groupBy("id_dep").agg(F.min(given).alias("given"))
-    learned = people.join(reg, "id_dep").groupBy("given").agg(F.count("*").alias("n"), F.countDistinct("registered").alias("k"), F.min("registered").alias("by_name")).where("n >= 2 AND k = 1").select("given", "by_name")
-    out = people.join(reg, "id_dep", "left").join(honor, "id_dep", "left").join(learned, "given", "left")
-    source = F.when(F.col("registered").isNotNull(), "register").when(F.col("honorific").isNotNull(), "honorific").when(F.col("by_name").isNotNull(), "name")
-    return out.select("id_dep", F.coalesce("registered", "honorific", "by_name").alias("sex"), source.alias("sex_source"))
+    names = people.join(reg, "id_dep").groupBy("given").agg(F.count("*").alias("n"), F.countDistinct("registered").alias("k"), F.min("registered").alias("s")).where("k = 1")
+    learned = names.select("given", F.when(F.col("n") >= 2, F.col("s")).alias("by_name"), F.when(F.col("n") == 1, F.col("s")).alias("by_rare"))
+    out = people.join(told, "id_dep", "left").join(reg, "id_dep", "left").join(noted, "id_dep", "left").join(honor, "id_dep", "left").join(learned, "given", "left")
+    ending = F.when(F.col("given").endswith("a"), "F").when(F.col("given").endswith("o"), "M")
+    sources = {"manual": F.col("decided"), "register": F.col("registered"), "note": F.col("noted"), "honorific": F.col("honorific"), "name": F.col("by_name"), "rare": F.col("by_rare"), "ending": ending}
+    return out.select("id_dep", F.coalesce(*sources.values()).alias("sex"), F.coalesce(*[F.when(c.isNotNull(), F.lit(n)) for n, c in sources.items()]).alias("sex_source"))
+
+
+def review_sheet(rows: DataFrame, stratum: str, key: str, per_stratum: int, seed: str = "review") -> DataFrame:
+    """``per_stratum`` rows of each stratum for people to check, in the order of md5(key and seed) (a sampling operator)."""
+    w = Window.partitionBy(stratum).orderBy(F.md5(F.concat(F.col(key), F.lit(seed))), key)
+    return rows.withColumn("place", F.row_number().over(w)).where(F.col("place") <= per_stratum)
+
+
+def apply_review(rows: DataFrame, sheet: DataFrame, key: str, value: str) -> DataFrame:
+    """``rows`` with the values people decided: of the sheet only rows whose ``source`` is ``manual`` count; keys decided twice don't."""
+    decided = sheet.where((F.col("source") == "manual") & filled(F.col(value)).isNotNull()).groupBy(key).agg(F.countDistinct(value).alias("n"), F.min(value).alias("_v")).where("n = 1").drop("n")
+    return rows.join(decided, key, "left").withColumn(value, F.coalesce("_v", value)).drop("_v")
 
 
 def seats_check(terms: DataFrame, factor: float = 1.4) -> DataFrame:

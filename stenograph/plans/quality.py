@@ -17,7 +17,8 @@ def fingerprint(spark, d):
 
 _PRINT = {
     "rows": "count(*)", "chars": "coalesce(sum(length(text)), 0)", "words": "coalesce(sum(n_words), 0)", "empty": "count(*) FILTER (coalesce(trim(text), '') = '')", "linked": "count(id_dep)", "undated": "count(*) FILTER (date IS NULL)",
-    "sessions": "count(DISTINCT id_session)",
+    "sessions": "count(DISTINCT id_session)", "persons": "count(DISTINCT id_dep)", "speakers": "count(DISTINCT speaker_raw)", "unnamed": "count(*) FILTER (speaker_raw IS NULL)", "long_turns": "count(*) FILTER (n_words > 10000)",
+    "short_turns": "count(*) FILTER (n_words < 5)", "years": "count(DISTINCT year(date))", "longest": "coalesce(max(length(text)), 0)",
     "digit_lines": "coalesce(sum(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '^\\W*\\d+\\W*$')))), 0)",
     "cut_lines": "coalesce(sum(len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[\\p{L}][-\\x{ad}\\x{2010}¬]\\s*$')))), 0)",
 }
@@ -25,13 +26,15 @@ _PRINT_SQL = f"WITH {TURNS}, " + f"a AS (SELECT {', '.join(f'({v})::BIGINT AS m_
 
 
 def conformity(spark, d):
-    rows = turns(spark, d, "country", "id_session", "id_dep", "sex", "dm_speech", "intervention_order", "text", "date")
+    rows = turns(spark, d, "country", "id_session", "id_dep", "sex", "party", "legislature", "speaker_raw", "dm_speech", "intervention_order", "text", "date")
     return K.conformity(rows, table(spark, d, "deputies"))
 
 
 _RULES = {
     "id_form": "NOT coalesce(regexp_full_match(id_int, '[A-Z]{2}\\d{12}'), false)", "id_prefix": "NOT coalesce(left(id_int, 9) = id_session, false)", "sex_value": "NOT coalesce(sex IN ('F', 'M'), true)",
     "speech_flag": "NOT coalesce(dm_speech IN (0, 1), false)", "order_negative": "intervention_order < 0", "markup": "regexp_matches(text, '<[a-zA-Z/][^>]*>')", "foreign_id": "id_dep IS NOT NULL AND left(id_dep, 2) <> country",
+    "date_missing": "date IS NULL", "speech_without_text": "dm_speech = 1 AND coalesce(trim(text, ' '), '') = ''", "speech_without_speaker": "dm_speech = 1 AND coalesce(trim(speaker_raw, ' '), '') = ''",
+    "person_without_party": "id_dep IS NOT NULL AND coalesce(trim(party, ' '), '') = ''", "legislature_missing": "coalesce(trim(legislature, ' '), '') = ''",
     "unknown_id": "id_dep IS NOT NULL AND id_dep NOT IN (SELECT id_dep FROM deputies WHERE id_dep IS NOT NULL)",
 }
 _CONFORM_SQL = f"WITH {TURNS} " + " UNION ALL ".join(f"SELECT '{k}' AS rule, count(*) AS broken FROM t WHERE {v}" for k, v in _RULES.items()) + """

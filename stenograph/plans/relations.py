@@ -509,9 +509,9 @@ reg AS (SELECT id_dep, min(s) AS registered FROM c WHERE s IS NOT NULL GROUP BY
 ty AS (SELECT id_dep, CASE WHEN regexp_matches(speaker_raw, '{_F_TITLE}') THEN 'F' WHEN regexp_matches(speaker_raw, '{_M_TITLE}') THEN 'M' END AS t FROM t WHERE id_dep IS NOT NULL),
 ho AS (SELECT id_dep, CASE WHEN count(*) FILTER (t = 'F') >= count(*) * 0.9::DOUBLE THEN 'F' WHEN count(*) FILTER (t = 'F') <= count(*) * (1 - 0.9::DOUBLE) THEN 'M' END AS honorific FROM ty WHERE t IS NOT NULL GROUP BY 1),
 pe AS (SELECT id_dep, min(lower(string_split_regex(trim(speaker_name), '\\s+')[1])) AS given FROM deputies WHERE speaker_name IS NOT NULL GROUP BY 1),
-le AS (SELECT given, min(registered) AS by_name FROM pe JOIN reg USING (id_dep) GROUP BY 1 HAVING count(*) >= 2 AND count(DISTINCT registered) = 1)
-SELECT pe.id_dep, coalesce(registered, honorific, by_name) AS sex, CASE WHEN registered IS NOT NULL THEN 'register' WHEN honorific IS NOT NULL THEN 'honorific' WHEN by_name IS NOT NULL THEN 'name' END AS sex_source
-FROM pe LEFT JOIN reg USING (id_dep) LEFT JOIN ho USING (id_dep) LEFT JOIN le USING (given)"""
+le AS (SELECT given, CASE WHEN count(*) >= 2 THEN min(registered) END AS by_name, CASE WHEN count(*) = 1 THEN min(registered) END AS by_rare FROM pe JOIN reg USING (id_dep) GROUP BY 1 HAVING count(DISTINCT registered) = 1),
+q AS (SELECT pe.id_dep, registered, honorific, by_name, by_rare, CASE WHEN suffix(given, 'a') THEN 'F' WHEN suffix(given, 'o') THEN 'M' END AS ending FROM pe LEFT JOIN reg USING (id_dep) LEFT JOIN ho USING (id_dep) LEFT JOIN le USING (given))
+SELECT id_dep, coalesce(registered, honorific, by_name, by_rare, ending) AS sex, CASE WHEN registered IS NOT NULL THEN 'register' WHEN honorific IS NOT NULL THEN 'honorific' WHEN by_name IS NOT NULL THEN 'name' WHEN by_rare IS NOT NULL THEN 'rare' WHEN ending IS NOT NULL THEN 'ending' END AS sex_source FROM q"""
 
 _ALL = """close_open_terms covering_term in_office merge_ids propagate_district clip_overlaps unknown_ids ambiguous_keys impose_frozen seats_check bound_terms sex_cascade legislature_keys
 renumber get_session around order_gaps impute_by_date impute_gap dense_ids chair_segments vocative_sex date_plausibility doubled_sessions keep_best exact_repeats same_day_duplicates copies

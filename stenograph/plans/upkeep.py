@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 from ..functions.terms import Selection, since, speeches
 from ..operators import libraries as L
 from ..operators import networks as N
+from ..functions import text as T
 from ..operators import pages as P
+from ..operators import parsing as G
+from ..operators import register as R
 from ..session import scratch_path
 from ..sources import publishing as B
 from ..sources.tables import table
@@ -171,11 +174,45 @@ def _single_csv(spark, df, path):
     fs.delete(where, True)
 
 
+def narrated_turns(spark, d):
+    return G.narrated_turns(turns(spark, d, "text"))
+
+
+_NARRATED = G.NARRATED.replace("'", "''")
+_NARRATED_SQL = f"""WITH {TURNS}, e AS (SELECT id_int, unnest(regexp_extract_all(text, '{_NARRATED}')) AS m, generate_subscripts(regexp_extract_all(text, '{_NARRATED}'), 1)::INT AS place FROM t WHERE text IS NOT NULL)
+SELECT id_int, place, regexp_extract(m, '{_NARRATED}', 1) AS speaker, trim(regexp_extract(m, '{_NARRATED}', 2), ' ') AS text FROM e"""
+
+
+def front_of_sittings(spark, d):
+    return G.front_of_sittings(turns(spark, d, "id_session", "text"))
+
+
+_FRONT = "(?s)^(.*?)(?:\\n|[.!?…»)\\]]\\s)\\s*(?:" + G.EMBEDDED.replace("'", "''") + ")"
+_FRONT_SQL = f"""WITH {TURNS}, f AS (SELECT id_session, first(id_int ORDER BY id_int) AS id_int, first(text ORDER BY id_int) AS text FROM t WHERE text IS NOT NULL GROUP BY 1),
+p AS (SELECT id_session, id_int, text, regexp_extract(text, '{_FRONT}', 1) AS front FROM f),
+q AS (SELECT id_session, id_int, 0 AS part, trim(front, ' ') AS text FROM p UNION ALL SELECT id_session, id_int, 1, trim(substring(text, length(front) + 1), ' ') FROM p)
+SELECT * FROM q WHERE text <> ''"""
+
+
+def review_sheet(spark, d):
+    return R.review_sheet(turns(spark, d, "country", "speaker_raw"), "country", "id_int", 20).select("country", "id_int", "place")
+
+
+def citations(spark, d):
+    rows = turns(spark, d, "country", "speaker_name", "party", "date")
+    return rows.select("id_int", T.citation(F.col("speaker_name"), F.col("party"), F.col("country"), F.col("date")).alias("cited"), T.slug("speaker_name").alias("slug"))
+
+
 _NAMES = """unpaged_furniture folio_lines cut_words joined_words cleaned_lines repetitions subset_by_country subset_from_query subset_listing subset_notes whitelisted published sql_functions exported_network
-ambiguity_alerts imported_folder""".split()
+ambiguity_alerts imported_folder narrated_turns front_of_sittings review_sheet citations""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}
 _HITS = f"{uses('text', ' hospital ')}"
 SQL = {
+    "narrated_turns": _NARRATED_SQL,
+    "front_of_sittings": _FRONT_SQL,
+    "review_sheet": f"WITH {TURNS} SELECT country, id_int, row_number() OVER (PARTITION BY country ORDER BY md5(id_int || 'review'), id_int)::INT AS place FROM t QUALIFY place <= 20",
+    "citations": f"""WITH {TURNS}, k AS (SELECT id_int, coalesce(nullif(trim(speaker_name, ' '), ''), '?') || coalesce(' (' || nullif(trim(party, ' '), '') || ')', '') AS n, nullif(trim(country, ' '), '') AS c, day(date) || '/' || month(date) || '/' || year(date) AS d, speaker_name FROM t)
+SELECT id_int, concat_ws(', ', n, c, d) AS cited, regexp_replace(regexp_replace(trim(strip_accents(lower(speaker_name))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM k""",
     "unpaged_furniture": f"WITH {TURNS}, l AS (SELECT id_int AS id, trim(unnest(string_split(text, chr(10))), ' ') AS line FROM t) SELECT id, regexp_replace(lower(line), '\\d+', '9', 'g') AS form, count(*) AS n FROM l WHERE length(line) BETWEEN 3 AND 80 AND NOT regexp_matches(line, '[.!?…;,]$') GROUP BY 1, 2 HAVING count(*) >= 2",
     "folio_lines": _FOLIO_SQL,
     "cut_words": _CUT_SQL,

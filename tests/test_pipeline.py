@@ -283,6 +283,38 @@ def test_shapes_and_read_documents(spark):
     assert rows(parsing.read_documents(t, 3)) == [("1", 1, 3, 6, 3)]
 
 
+def test_narrated_turns_and_fronts(spark):
+    t = spark.createDataFrame([("s", "1", "ACTA de la sesión. El señor GIL: Buenas tardes, señorías. Luego dijo el señor Gil Sanz: «no hay fondos» y respondió la diputada Ana de Toro: «los hay»."), ("s", "2", None), ("t", "3", "El señor GIL: Hola.")], "id_session string, id_int string, text string")
+    assert [(r["place"], r["speaker"], r["text"]) for r in parsing.narrated_turns(t).orderBy("place").collect()] == [(1, "Gil Sanz", "no hay fondos"), (2, "Ana de Toro", "los hay")]
+    assert [(r["id_session"], r["part"], r["text"][:12]) for r in parsing.front_of_sittings(t).orderBy("id_session", "part").collect()] == [("s", 0, "ACTA de la s"), ("s", 1, ". El señor G"), ("t", 1, "El señor GIL")]
+    p = spark.createDataFrame([("el honorable representante Luis Gil Sanz, del partido X",), ("La diputada Ana de la Torre",), ("nadie",)], "p string")
+    assert [r[0] for r in p.select(parsing.narrated_name(F.col("p"))).collect()] == ["Luis Gil Sanz", "Ana de la Torre", None]
+
+
+def test_whole_texts_names_and_citations(spark, tmp_path):
+    from stenograph.functions import text
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "acta.1.txt").write_text("uno\ndos")
+    assert rows(parsing.read_texts(spark, f"file://{tmp_path}/in")) == [("acta.1", "uno\ndos")]
+    folded, at = text.fold_map("Ñandú áé")
+    assert folded == "nandu ae" and at[0] == 0 and at[-1] == 8 and "Ñandú áé"[at[6] : at[8]] == "áé"
+    c = spark.createDataFrame([("Ana Gil", "PP", "ES", D(2014, 5, 3)), (None, " ", "ES", None)], "s string, p string, c string, d date").select(text.citation(*[F.col(x) for x in "spcd"]))
+    assert [r[0] for r in c.collect()] == ["Ana Gil (PP), ES, 3/5/2014", "?, ES"]
+    n = spark.createDataFrame([("GIL DE LA TORRE, Ana  María",), ("josé de souza e silva",)], "n string").select(text.display_name(F.col("n")), text.slug("n"))
+    assert [tuple(r) for r in n.collect()] == [("Ana María Gil de la Torre", "gil-de-la-torre-ana-maria"), ("José de Souza e Silva", "jose-de-souza-e-silva")]
+
+
+def test_sex_by_falling_authority_and_reviews(spark):
+    reg = [("a", "Ana Gil", "F", None), ("b", "Eva Paz", None, "sexo: F"), ("c", "Ana Toro", None, None), ("d", "Luis Sanz", "M", None), ("e", "Luis Rey", "M", None), ("f", "Luis Sá", None, None), ("g", "Pedro Roa", None, None), ("h", "Noel X", None, None), ("i", "Zoe Y", "M", None)]
+    register_ = spark.createDataFrame(reg, "id_dep string, speaker_name string, sex string, notes string")
+    turns = spark.createDataFrame([("c", "La Sra. TORO"), ("h", "PAZ")], "id_dep string, speaker_raw string")
+    got = {r["id_dep"]: (r["sex"], r["sex_source"]) for r in register.sex_cascade(turns, register_, spark.createDataFrame([("i", "F")], "id_dep string, sex string")).collect()}
+    assert got == {"a": ("F", "register"), "b": ("F", "note"), "c": ("F", "honorific"), "d": ("M", "register"), "e": ("M", "register"), "f": ("M", "name"), "g": ("M", "ending"), "h": (None, None), "i": ("F", "manual")}
+    sheet = spark.createDataFrame([("a", "M", "manual"), ("b", "M", "machine"), ("c", "F", "manual"), ("c", "M", "manual")], "id_dep string, sex string, source string")
+    assert {r["id_dep"]: r["sex"] for r in register.apply_review(register_.select("id_dep", "sex"), sheet, "id_dep", "sex").where("id_dep in ('a', 'b', 'c')").collect()} == {"a": "M", "b": None, "c": None}
+
+
 # --- matching ---
 def test_match_cascade_and_presence(spark):
     r = spark.createDataFrame([("1", "s", "X", None), ("2", "s", "Y", " "), ("3", "t", "X", "own"), ("4", "t", "Z", "nan"), ("5", None, "X", None)], "id_int string, id_session string, speaker_raw string, id_dep string")
