@@ -10,9 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.terms import Selection, is_chair, occurrences, parse_terms
-from ..functions.text import fold_str, words
+from ..functions.terms import Selection, is_chair, occurrences, parse_terms, search_pattern
+from ..functions.text import fold_str
 from ..sources.tables import one_per_key
+from .spotting import token_lists
 
 #: Below these a yearly value rests on too little text.
 LOW_WORDS, LOW_SESSIONS = 250_000, 10
@@ -230,7 +231,8 @@ def collocations(rows: DataFrame, word: str, window: int = 5, min_count: int = 5
     Tokens are marked and counted within Arrow batches, so the shuffle carries counted words; the work is linear
     in the tokens. The score sums the two cells near and far only.
     """
-    tokens = rows.select(words("text").alias("w")).where(F.array_contains("w", word))
+    # Turns that can't hold the word are left out before theirs are taken apart.
+    tokens = token_lists(rows.where(F.col("text").rlike(search_pattern(word))).select("text")).where(F.array_contains("w", word))
     flagged = _near_hits(tokens, word, window)
     counted = flagged.where((F.col("term") != word) & (F.length("term") > 1) & ~F.col("term").rlike(r"^\p{N}+$"))
     sums = counted.groupBy("term").agg(F.sum("near").alias("a"), F.sum("far").alias("b"))

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import words
 from .analysis import keyness
 from .networks import Graph
+from .spotting import token_lists
 
 #: A theme of fewer terms is no theme: its terms are loose.
 LEAST_TERMS = 3
@@ -19,7 +19,7 @@ MOST_TERMS = 2_000
 
 def tokens_of(rows: DataFrame, *keep: str) -> DataFrame:
     """(keep, w): the folded words of each turn's text; turns without words are left out."""
-    return rows.select(*keep, words("text").alias("w")).where(F.size("w") > 0)
+    return token_lists(rows, *keep).where(F.size("w") > 0)
 
 
 def word_sums(tokens: DataFrame) -> DataFrame:
@@ -114,7 +114,7 @@ def word_themes(edges: DataFrame, vocabulary: DataFrame, resolution: float = 1.0
     rows = []
     for t, score in sorted(g2.items()):
         near = g.near.get(t, {})
-        rows.append((theme.get(t), t, score, round(sum(near.values()), 3), round(sum(w for o, w in near.items() if label[o] == label[t]), 3), len(near)))
+        rows.append((theme.get(t), t, score, round(sum(near.values(), 0.0), 3), round(sum((w for o, w in near.items() if label[o] == label[t]), 0.0), 3), len(near)))
     return spark.createDataFrame(rows, "theme int, fold string, g2 double, strength double, inner double, degree int")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import word_list
 from ..session import materialize
-from .spotting import Trie
+from .spotting import Trie, token_lists
 
 #: Small-graph algorithms run on the driver; a graph may have at most this many edges there.
 DRIVER_EDGES = 200_000
@@ -297,10 +297,9 @@ def reading_list(rows: DataFrame, weights: DataFrame, per_group: int = 25) -> Da
 
     ``weights``: theme, term, g2. Score = sum of ln(1 + g2) tf 2.2 / (tf + 1.2 (0.25 + 0.75 length / average)).
     """
-    from ..functions.text import words
-
-    tokens = rows.select("id_int", words("text").alias("w")).where(F.size("w") > 0).select("id_int", F.size("w").alias("length"), F.explode("w").alias("term"))
-    average = rows.select(F.size(words("text")).alias("n")).where("n > 0").agg(F.avg("n")).first()[0] or 1.0
+    lists = materialize(token_lists(rows, "id_int").where(F.size("w") > 0), "reading-words")
+    average = lists.agg(F.avg(F.size("w"))).first()[0] or 1.0
+    tokens = lists.select("id_int", F.size("w").alias("length"), F.explode("w").alias("term"))
     tf = tokens.join(weights, "term").groupBy("theme", "id_int", "length", "term", "g2").agg(F.count("*").alias("tf"))
     part = F.log1p("g2") * F.col("tf") * 2.2 / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("length") / F.lit(average)))
     scored = tf.groupBy("theme", "id_int").agg(F.round(F.sum(part), 6).alias("score"))

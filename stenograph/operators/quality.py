@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import written_date
 from ..functions.text import fold
 from .asof import flexible_date
+from .spotting import token_lists
 from .texts import indel_ratio
 
 
@@ -286,9 +287,8 @@ def theme_dominance(rows: DataFrame, themes: DataFrame, least_terms: int = 2) ->
 
     ``themes``: theme, term (folded words), a dictionary of bounded size.
     """
-    words = F.array_distinct(F.regexp_extract_all(fold("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     size = themes.groupBy("theme").agg(F.countDistinct("term").alias("size"))
-    hit = rows.select("id_int", F.explode(words).alias("term")).join(themes, "term").groupBy("id_int", "theme").agg(F.count("*").alias("n")).where(F.col("n") >= least_terms)
+    hit = token_lists(rows, "id_int").select("id_int", F.explode(F.array_distinct("w")).alias("term")).join(themes, "term").groupBy("id_int", "theme").agg(F.count("*").alias("n")).where(F.col("n") >= least_terms)
     scored = hit.join(size, "theme").withColumn("share", F.col("n") / F.col("size"))
     w = Window.partitionBy("id_int").orderBy(F.desc("share"), "theme")
     ranked = scored.withColumn("k", F.row_number().over(w)).withColumn("second", F.lead("share").over(w))
