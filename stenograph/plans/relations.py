@@ -320,7 +320,7 @@ def _mentions(spark, d):
     pair = people.select("id_dep", F.expr("array_join(slice(split(trim(regexp_replace(n, ' +', ' ')), ' '), -2, 2), ' ')").alias("s")).select("id_dep", fold("s").alias("s"))
     single = pair.groupBy("s").agg(F.count("*").alias("k"), F.min("id_dep").alias("id_dep")).where("k = 1")
     rows = turns(spark, d, "id_dep", "dm_speech", "text").where("dm_speech = 1")
-    grams = rows.where("id_dep IS NOT NULL").select("id_int", "id_dep", F.regexp_extract_all(fold("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)).alias("w")).where(F.size("w") > 1)
+    grams = P.token_lists(rows.where("id_dep IS NOT NULL"), "id_int", "id_dep").where(F.size("w") > 1)
     two = grams.select("id_int", F.col("id_dep").alias("source"), F.explode(F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).alias("s"))
     return two.join(single.select("s", F.col("id_dep").alias("target")), "s").where("source <> target").groupBy("source", "target").agg(F.countDistinct("id_int").alias("turns"))
 
