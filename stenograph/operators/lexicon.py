@@ -34,6 +34,24 @@ def function_words(tokens: DataFrame, share: float = 0.25) -> DataFrame:
     return used.where(F.col("n") >= n * share).select("fold")
 
 
+def term_type(word: Column, stop: Sequence[str], connectors: Sequence[str], numerals: Sequence[str] = ()) -> Column:
+    """What a folded word is in an expression: ``connector``, ``content`` (three letters or more, no number, no function word) or ``cut``."""
+    content = (F.length(word) >= 3) & ~word.isin([*stop, *numerals, ""]) & ~word.rlike(r"^\d+$")
+    return F.when(content, "content").when(word.isin([*connectors, ""]) & (word != ""), "connector").otherwise("cut")
+
+
+def dossier(themes: DataFrame, statistics: DataFrame, reading: DataFrame, quotes: DataFrame) -> DataFrame:
+    """One row per theme with what a reader needs: its terms by strength, its statistics, what to read and what is said.
+
+    ``themes``: ``word_themes``; ``statistics``: ``theme_statistics``; ``reading``: theme, id_int, place; ``quotes``: id_int, place,
+    passage. A theme's terms and its reading are bounded lists.
+    """
+    terms = themes.where(F.col("theme").isNotNull()).groupBy("theme").agg(F.sort_array(F.collect_list(F.struct((-F.col("inner")).alias("k"), "fold"))).alias("l")).select("theme", F.transform("l", lambda x: x["fold"]).alias("terms"))
+    read = reading.groupBy("theme").agg(F.sort_array(F.collect_list(F.struct("place", "id_int"))).alias("l")).select("theme", F.transform("l", lambda x: x["id_int"]).alias("read"))
+    said = reading.join(quotes.where(F.col("place") == 1).select("id_int", "passage"), "id_int").groupBy("theme").agg(F.min_by("passage", "place").alias("said"))
+    return terms.join(statistics, "theme", "left").join(read, "theme", "left").join(said, "theme", "left").withColumn("label", F.array_join(F.slice("terms", 1, 3), " · "))
+
+
 def lexicon(own: DataFrame, everything: DataFrame, stop: DataFrame | None = None, exclude: Sequence[str] = (), least: int = 5, threshold: float = 10.83, limit: int = 250) -> DataFrame:
     """(rank, fold, a, b, g2, log_ratio): the ``limit`` words a subset over-uses most against the rest.
 

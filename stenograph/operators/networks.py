@@ -62,6 +62,13 @@ def prune_neighbours(edges: DataFrame, weight: str, k: int) -> DataFrame:
     return edges.join(keep, ["a", "b"], "left_semi")
 
 
+def trim_nodes(edges: DataFrame, weight: str, most: int) -> DataFrame:
+    """Edges among the ``most`` nodes of greatest strength (the sum of their edges' weights); ties by name."""
+    ends = edges.select(F.explode(F.array("a", "b")).alias("node"), weight).groupBy("node").agg(F.sum(weight).alias("strength"))
+    kept = ends.orderBy(F.desc("strength"), "node").limit(most).select("node")
+    return edges.join(kept.withColumnRenamed("node", "a"), "a", "left_semi").join(kept.withColumnRenamed("node", "b"), "b", "left_semi")
+
+
 def mention_edges(rows: DataFrame, aliases: Sequence[tuple[str, str]], least: int = 1) -> DataFrame:
     """(source, target, turns): who names whom; naming oneself is left out. ``aliases``: id and folded phrase."""
     named = entity_presence(rows.where(F.col("id_dep").isNotNull()), aliases)

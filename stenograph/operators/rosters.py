@@ -49,6 +49,35 @@ def match_present(rows: DataFrame, present: DataFrame, least: int = 4) -> DataFr
     return hit.where("n = 1").drop("n")
 
 
+def match_names(rows: DataFrame, register: DataFrame) -> DataFrame:
+    """(id_int, id_dep): unlinked turns whose letters are exactly the name under which one member of the country sits, on a day in office.
+
+    ``rows``: id_int, country, date, speaker_raw, id_dep. ``register``: typed terms; names are compared by ``skeleton``. A date
+    outside every term of the member, or a name that two members in office share, gives nothing.
+    """
+    names = register.select("country", "id_dep", skeleton(F.col("speaker_name")).alias("k"), "start_date", F.coalesce("end_date", F.lit("2999-12-31").cast("date")).alias("until")).where("k <> '' AND start_date IS NOT NULL").distinct()
+    asked = rows.where(F.col("id_dep").isNull() & F.col("date").isNotNull()).select("id_int", "country", "date", skeleton(F.col("speaker_raw")).alias("k")).where("k <> ''")
+    hit = asked.join(names, ["country", "k"]).where((F.col("date") >= F.col("start_date")) & (F.col("date") <= F.col("until")))
+    return hit.groupBy("id_int").agg(F.countDistinct("id_dep").alias("n"), F.min("id_dep").alias("id_dep")).where("n = 1").drop("n")
+
+
+def mend_names(rows: DataFrame, register: DataFrame) -> DataFrame:
+    """(speaker_raw, mended): typed names in which a blank cuts a surname of the country's register in two, with the blank taken out.
+
+    Two neighbouring words are one if joined they are a surname and neither is one alone. One cut is mended in a name, the
+    first. Distinct names are looked at once.
+    """
+    words = F.filter(F.split(fold(F.col("last_name")), r"[^\p{L}]+"), lambda w: F.length(w) >= 4)
+    known = register.select("country", F.explode(words).alias("w")).distinct()
+    typed = rows.where(F.col("speaker_raw").isNotNull()).select("country", "speaker_raw").distinct()
+    tokens = F.regexp_extract_all("speaker_raw", F.lit(r"\p{L}+"), F.lit(0))
+    pairs = typed.withColumn("t", tokens).where(F.size("t") > 1).select("country", "speaker_raw", F.explode(F.transform(F.sequence(F.lit(1), F.size("t") - 1), lambda k: F.struct(k.alias("at"), F.get("t", k - 1).alias("a"), F.get("t", k).alias("b")))).alias("p")).select("country", "speaker_raw", "p.*")
+    whole = pairs.withColumn("w", fold(F.concat("a", "b"))).join(known, ["country", "w"])
+    alone = whole.select("country", "speaker_raw", "at", "a", "b", F.explode(F.array(fold("a"), fold("b"))).alias("w")).join(known, ["country", "w"]).select("country", "speaker_raw", "at").distinct()
+    first = whole.join(alone, ["country", "speaker_raw", "at"], "left_anti").groupBy("country", "speaker_raw").agg(F.min(F.struct("at", "a", "b")).alias("m"))
+    return first.select("country", "speaker_raw", F.expr("regexp_replace(speaker_raw, concat(m.a, '[ ]+', m.b), concat(m.a, m.b))").alias("mended"))
+
+
 # --- columns ---
 def valid_number(c: Column) -> Column:
     """A session number in its one form: digits without leading zeros, with letters and one hyphen; ``12.0`` is 12; else null."""

@@ -11,10 +11,12 @@ from ..functions import text as T
 from ..operators import pages as P
 from ..operators import parsing as G
 from ..operators import register as R
+from ..operators import rosters as O
 from ..session import scratch_path
 from ..sources import publishing as B
 from ..sources.tables import table
-from .common import TURNS, normal, turns, uses
+from .common import TERMS, TURNS, terms, turns, uses
+from .pipeline import _SKEL
 
 
 def _texts(spark, d):
@@ -203,11 +205,38 @@ def citations(spark, d):
     return rows.select("id_int", T.citation(F.col("speaker_name"), F.col("party"), F.col("country"), F.col("date")).alias("cited"), T.slug("speaker_name").alias("slug"))
 
 
+def trimmed_network(spark, d):
+    from .relations import pair_network
+
+    return N.trim_nodes(pair_network(spark, d), "co", 5).select("a", "b", "co")
+
+
+def match_by_name(spark, d):
+    return O.match_names(turns(spark, d, "country", "date", "speaker_raw", "id_dep"), terms(spark, d))
+
+
+def mended_names(spark, d):
+    return O.mend_names(turns(spark, d, "country", "speaker_raw"), table(spark, d, "deputies"))
+
+
+_MEND_SQL = f"""WITH {TURNS}, k AS (SELECT DISTINCT country, unnest(list_filter(string_split_regex(trim(strip_accents(lower(last_name))), '[^\\p{{L}}]+'), lambda w: length(w) >= 4)) AS w FROM deputies),
+r AS (SELECT DISTINCT country, speaker_raw FROM t WHERE speaker_raw IS NOT NULL), x AS (SELECT *, regexp_extract_all(speaker_raw, '\\p{{L}}+') AS t FROM r),
+p AS (SELECT country, speaker_raw, n AS at_n, t[n] AS a, t[n + 1] AS b FROM (SELECT *, unnest(range(1, len(t))) AS n FROM x)),
+f AS (SELECT *, strip_accents(lower(a)) AS fa, strip_accents(lower(b)) AS fb FROM p),
+g AS (SELECT f.* FROM f JOIN k ON f.country = k.country AND fa || fb = k.w WHERE NOT EXISTS (SELECT 1 FROM k z WHERE z.country = f.country AND z.w IN (fa, fb))),
+m AS (SELECT * FROM g QUALIFY row_number() OVER (PARTITION BY country, speaker_raw ORDER BY at_n) = 1)
+SELECT country, speaker_raw, regexp_replace(speaker_raw, a || '[ ]+' || b, a || b, 'g') AS mended FROM m"""
+_NAME_SQL = f"""WITH {TURNS}, {TERMS}, n AS (SELECT DISTINCT country, id_dep, {_SKEL.format('speaker_name')} AS k, start_date, coalesce(end_date, DATE '2999-12-31') AS until FROM r WHERE start_date IS NOT NULL),
+a AS (SELECT id_int, country, date, {_SKEL.format('speaker_raw')} AS k FROM t WHERE id_dep IS NULL AND date IS NOT NULL)
+SELECT id_int, min(n.id_dep) AS id_dep FROM a JOIN n ON a.country = n.country AND a.k = n.k AND a.k <> '' AND date BETWEEN start_date AND until GROUP BY 1 HAVING count(DISTINCT n.id_dep) = 1"""
+
 _NAMES = """unpaged_furniture folio_lines cut_words joined_words cleaned_lines repetitions subset_by_country subset_from_query subset_listing subset_notes whitelisted published sql_functions exported_network
-ambiguity_alerts imported_folder narrated_turns front_of_sittings review_sheet citations""".split()
+ambiguity_alerts imported_folder narrated_turns front_of_sittings review_sheet citations trimmed_network match_by_name mended_names""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}
 _HITS = f"{uses('text', ' hospital ')}"
 SQL = {
+    "match_by_name": _NAME_SQL,
+    "mended_names": _MEND_SQL,
     "narrated_turns": _NARRATED_SQL,
     "front_of_sittings": _FRONT_SQL,
     "review_sheet": f"WITH {TURNS} SELECT country, id_int, row_number() OVER (PARTITION BY country ORDER BY md5(id_int || 'review'), id_int)::INT AS place FROM t QUALIFY place <= 20",
@@ -231,3 +260,5 @@ SELECT 'health' AS name, count(*) AS turns, count(DISTINCT country)::INT AS coun
 from .relations import _PAIR_SQL  # noqa: E402
 
 SQL["exported_network"] = f"WITH q AS ({_PAIR_SQL}) SELECT a AS source, b AS target, co AS weight FROM q"
+SQL["trimmed_network"] = f"""WITH q AS ({_PAIR_SQL}), n AS (SELECT node, sum(co) AS s FROM (SELECT unnest([a, b]) AS node, co FROM q) GROUP BY 1), k AS (SELECT node FROM n QUALIFY row_number() OVER (ORDER BY s DESC, node) <= 5)
+SELECT a, b, co FROM q WHERE a IN (SELECT node FROM k) AND b IN (SELECT node FROM k)"""

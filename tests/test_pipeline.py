@@ -327,6 +327,26 @@ def test_match_cascade_and_presence(spark):
     assert rows(rosters.match_rate(t.withColumn("g", F.lit("x")), "g")) == [("x", 6, 5, 1, 20.0)]
 
 
+def test_exact_names_in_office_and_mended_names(spark):
+    reg = spark.createDataFrame([("ES", "p", "Ana Gil Sanz", "Gil Sorguren", D(2010, 1, 1), D(2014, 1, 1)), ("ES", "q", "Luis Toro", "Toro Paz", D(2010, 1, 1), None), ("ES", "u", "LUIS TORO", "Toro", D(2015, 1, 1), None), ("PT", "v", "Luis Toro", "Toro", D(2010, 1, 1), None)], "country string, id_dep string, speaker_name string, last_name string, start_date date, end_date date")
+    t = spark.createDataFrame([("1", "ES", D(2012, 1, 1), "La Sra. ANA GIL SANZ (X)", None), ("2", "ES", D(2015, 1, 1), "Ana Gil Sanz", None), ("3", "ES", D(2012, 1, 1), "LUIS TORO", None), ("4", "ES", D(2016, 1, 1), "LUIS TORO", None), ("5", "ES", None, "LUIS TORO", None), ("6", "PT", D(2016, 1, 1), "Luis Toro", "x"), ("7", "ES", D(2012, 1, 1), None, None)], "id_int string, country string, date date, speaker_raw string, id_dep string")
+    assert rows(rosters.match_names(t, reg)) == [("1", "p"), ("3", "q")]
+    m = spark.createDataFrame([("ES", "SRA. SORG UREN:"), ("ES", "Toro Paz"), ("PT", "SORG UREN"), ("ES", None)], "country string, speaker_raw string")
+    assert rows(rosters.mend_names(m, reg)) == [("ES", "SRA. SORG UREN:", "SRA. SORGUREN:")]
+
+
+def test_trimmed_networks_types_and_dossiers(spark):
+    e = spark.createDataFrame([("a", "b", 5), ("b", "c", 4), ("c", "d", 1)], "a string, b string, co int")
+    assert rows(networks.trim_nodes(e, "co", 3).select("a", "b")) == [("a", "b"), ("b", "c")] and networks.trim_nodes(e, "co", 0).count() == 0
+    w = spark.createDataFrame([("agua",), ("de",), ("la",), ("12",), ("tres",), ("ab",)], "w string").select(lexicon.term_type(F.col("w"), ["de", "la"], ["de"], ["tres"]))
+    assert [r[0] for r in w.collect()] == ["content", "connector", "cut", "cut", "cut", "cut"]
+    themes = spark.createDataFrame([(0, "agua", 1.0), (0, "rio", 3.0), (None, "x", 0.0)], "theme int, fold string, inner double")
+    stats = spark.createDataFrame([(0, 7)], "theme int, turns int")
+    reading = spark.createDataFrame([(0, "t2", 2), (0, "t1", 1)], "theme int, id_int string, place int")
+    quotes = spark.createDataFrame([("t1", 1, "el agua"), ("t1", 2, "otra"), ("t2", 1, "el río")], "id_int string, place int, passage string")
+    assert [(r["label"], r["turns"], r["read"], r["said"]) for r in lexicon.dossier(themes, stats, reading, quotes.withColumnRenamed("place", "p").withColumnRenamed("p", "place")).collect()] == [("rio · agua", 7, ["t1", "t2"], "el agua")]
+
+
 def test_standardize(spark):
     raw = [("s1", "i1", "012", "2020-01-02", "Ordinaria", "Mujer", "ana gil", "PP", "p", "56", "2", "1", "hola"), ("s1", "i2", "12.0", "02/01/2020", " ", "H", None, None, "q", None, "1", "x", "hola"), ("s2", "i3", "7-b", "2020-01-09", "EXTRAORDINÁRIA", "?", None, None, None, None, "1", "0", None)]
     df = spark.createDataFrame(raw, "id_session string, id_int string, numero string, date string, session_type string, sex string, speaker_name string, party string, id_dep string, legislature string, intervention_order string, dm_speech string, text string")
