@@ -97,38 +97,38 @@ def _clock(stamp: str) -> int | None:
     return int(m[1]) * 3600 + int(m[2]) * 60 + int(m[3] or 0) if m and int(m[1]) < 24 else None
 
 
-def segments(rows: DataFrame, notes: dict[str, bool] | None = None) -> DataFrame:
-    """Rows cut at the labels in their text: (id_session, id_int, row_order, ..., segment, label, doubt, text, clock).
+_PIECE = "array<struct<a:int,b:int,kind:string,sure:int,set_off:boolean,form:string>>"
+_SEGMENT = "id_session string, id_int string, row_order int, speaker_raw string, id_dep string, country string, segment int, label string, sure int, set_off boolean, form string"
 
-    ``label`` is null for what the row's own speaker says; ``doubt`` marks a label that only the roster can confirm.
-    ``clock`` is the first stamp of the segment in seconds. ``text`` is without stamps, fillers, sounds and
-    labels; segments left empty are dropped. ``notes``: the forms judged by ``note_forms``, a bounded set.
+
+def segments(rows: DataFrame) -> DataFrame:
+    """Rows cut at everything that may be a label: (id_session, id_int, row_order, ..., segment, label, sure, form, text, pieces).
+
+    ``label`` is null for what the row's own speaker says. A label that the corpus must confirm has ``sure`` below 2; one in
+    square brackets has a ``form`` too, since it may be a note. ``text`` is the segment as it is, ``pieces`` what may
+    not be speech in it. Texts are read here once; what the corpus says of them is applied by ``spoken``.
     """
-    schema = "id_session string, id_int string, row_order int, speaker_raw string, id_dep string, country string, segment int, label string, doubt boolean, text string, clock int"
-    notes = notes or {}
+    schema = f"{_SEGMENT}, text string, pieces {_PIECE}"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[dict] = []
             for r in batch.to_pylist():
                 text = r.pop("text") or ""
-                cuts: list[tuple] = [(0, 0, False, None)]
+                cuts: list[tuple] = [(0, 2, None, None)]
                 inside: list[list] = [[]]
                 for a, b, kind, sure, evidence in candidates(text):
-                    if kind == "bracket":
-                        kind = "sound" if notes.get(note_form(evidence), sure == 1) else "label"
-                        sure = 2
-                    if kind == "label":
-                        cuts.append((a, b, sure < 2, text[a:b]))
+                    if kind in ("label", "bracket"):
+                        cuts[-1] += (a,)
+                        cuts.append((b, sure if kind == "label" else min(sure, 1), note_form(evidence) if kind == "bracket" else None, text[a:b]))
                         inside.append([])
-                    elif kind != "sound" or sure == 2 or notes.get(evidence.strip(), sure == 1):
-                        inside[-1].append((a, b, kind))
-                for k, (_, a, doubt, label) in enumerate(cuts):
-                    b = cuts[k + 1][0] if k + 1 < len(cuts) else len(text)
-                    said = strip_pieces(text[a:b], [(x - a, y - a, kind) for x, y, kind in inside[k]])
-                    if said:
-                        clock = next((c for x, y, kind in inside[k] if kind == "timestamp" and (c := _clock(text[x:y])) is not None), None)
-                        out.append(r | {"segment": k, "label": label, "doubt": doubt, "text": said, "clock": clock})
+                    else:
+                        off = evidence is not None and not evidence.startswith(" ")
+                        inside[-1].append({"a": a - cuts[-1][0], "b": b - cuts[-1][0], "kind": kind, "sure": sure, "set_off": off, "form": evidence and evidence.strip()})
+                cuts[-1] += (len(text),)
+                for k, (a, sure, form, label, b) in enumerate(cuts):
+                    if k or text[a:b].strip():
+                        out.append(r | {"segment": k, "label": label, "sure": sure, "set_off": None if form is None else True, "form": form, "text": text[a:b], "pieces": inside[k]})
             yield pa.RecordBatch.from_pylist(out, schema=_arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -138,6 +138,36 @@ def segments(rows: DataFrame, notes: dict[str, bool] | None = None) -> DataFrame
     return rows.select("id_session", "id_int", F.col("intervention_order").alias("row_order"), "speaker_raw", "id_dep", "country", "text").mapInArrow(run, schema)
 
 
+def spoken(cut: DataFrame, notes: dict[str, bool]) -> DataFrame:
+    """``segments`` with what isn't speech taken out: (..., label, sure, joined, text, clock); those left empty are dropped.
+
+    ``notes``: the forms judged by ``note_forms``, a bounded set. ``joined`` marks a segment behind a note in square
+    brackets, which goes on where the one before stopped. ``clock`` is its first stamp in seconds.
+    """
+    keep = ["id_session", "id_int", "row_order", "speaker_raw", "id_dep", "country", "segment"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, labels, sures, joins, texts, clocks = [], [], [], [], [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("label", "sure", "form", "text", "pieces")))
+            for k, (label, sure, form, text, found) in enumerate(rows):
+                inside = [(p["a"], p["b"], p["kind"]) for p in found if p["kind"] != "sound" or p["sure"] == 2 or notes.get(p["form"], p["sure"] == 1)]
+                said = strip_pieces(text, inside)
+                if said:
+                    joined = form is not None and notes.get(form, sure == 1)
+                    at.append(k)
+                    labels.append(None if joined else label)
+                    sures.append(2 if form is not None else sure)
+                    joins.append(joined)
+                    texts.append(said)
+                    clocks.append(next((c for x, y, kind in inside if kind == "timestamp" and (c := _clock(text[x:y])) is not None), None))
+            own = [batch.column(c).take(pa.array(at, pa.int64())) for c in keep]
+            types = (pa.string(), pa.int32(), pa.bool_(), pa.string(), pa.int32())
+            yield pa.RecordBatch.from_arrays(own + [pa.array(x, t) for x, t in zip((labels, sures, joins, texts, clocks), types)], names=[*keep, "label", "sure", "joined", "text", "clock"])
+
+    return cut.mapInArrow(run, _SEGMENT.split(", label")[0] + ", label string, sure int, joined boolean, text string, clock int")
+
+
 def phonetic(name: str) -> str:
     """A key that spellings of a Spanish or Portuguese surname share: its consonant sounds."""
     s = "".join(c for c in name if c.isalpha())
@@ -379,29 +409,32 @@ def clean_turns(rows: DataFrame, register: DataFrame) -> DataFrame:
 
     Segments are ordered by the row's place in the sitting, the last five digits of ``id_int``, then by segment.
     Rows whose id lacks the place come by their clock stamp, then by ``intervention_order``, which repeats and
-    swaps. Stamps don't overrule a known place (README). ``clock`` carries the last stamp heard so far. Successive
+    swaps. Stamps don't overrule a known place (README). ``clock`` is the last stamp heard when the turn begins, or the first in it. Successive
     segments of one speaker become one turn. A speaker is the row's ``id_dep``, else the person or voice of the
     roster its label is assigned to, else the typed name; a doubtful label the roster doesn't know is speech.
     Order, turn numbers and clocks are found within slices of a sitting and carried over between them. A null
     session or text gives no turn.
     """
-    found = doubtful_pieces(rows)
-    notes = {r["form"]: r["is_note"] for r in note_forms(found).collect()}  # bounded by FORM_SHARE
-    cut = materialize(segments(rows, notes).where(F.col("id_session").isNotNull()), "turn-segments").withColumn("said_by", F.coalesce("label", "speaker_raw"))
-    typed = cut.where((F.col("label").isNotNull() | F.col("id_dep").isNull()) & F.col("said_by").isNotNull())
-    names = typed_names(rows, plain_labels(found))
+    raw = materialize(segments(rows).where(F.col("id_session").isNotNull()), "turn-cuts")
+    remarks = raw.select("id_session", F.explode("pieces").alias("p")).where(F.col("p.form").isNotNull()).select("id_session", "p.form", "p.set_off")
+    forms = remarks.unionByName(raw.where(F.col("form").isNotNull()).select("id_session", "form", "set_off"))
+    notes = {r["form"]: r["is_note"] for r in note_forms(forms).collect()}  # bounded by FORM_SHARE
+    cut = materialize(spoken(raw, notes), "turn-segments").withColumn("said_by", F.coalesce("label", "speaker_raw"))
+    facts = cut.drop("text")  # texts meet their turn numbers once, at the end
+    typed = facts.where((F.col("label").isNotNull() | F.col("id_dep").isNull()) & F.col("said_by").isNotNull())
+    names = typed_names(facts, facts.where(F.col("label").isNotNull() & (F.col("sure") == 2)))
     linked = resolve_labels(typed.select("id_session", "country", F.col("said_by").alias("label")).distinct(), register, names)
-    who = cut.join(linked.withColumnsRenamed({"label": "said_by", "id_dep": "_d", "voice": "_v"}), ["id_session", "said_by"], "left")
+    who = facts.join(linked.withColumnsRenamed({"label": "said_by", "id_dep": "_d", "voice": "_v"}), ["id_session", "said_by"], "left")
     own = F.when(F.col("label").isNull(), F.col("id_dep"))
-    spoken = F.coalesce(own, "_d", "_v", F.lower(F.trim("said_by")), F.lit("?"))
-    unknown = F.col("doubt") & F.col("_d").isNull() & F.col("_v").isNull()
+    spoken_by = F.coalesce(own, "_d", "_v", F.lower(F.trim("said_by")), F.lit("?"))
+    restored = (F.col("sure") < 2) & F.col("_d").isNull() & F.col("_v").isNull()
+    unknown = restored | F.col("joined")
     row_speaker = F.coalesce("id_dep", F.lower(F.trim("speaker_raw")), F.lit("?"))
     place = F.coalesce(F.expr("try_cast(right(id_int, 5) AS int)"), F.lit(1 << 20) + F.coalesce("clock", "row_order", F.lit(0)))
     at = F.struct(place.alias("place"), "row_order", "id_int", "segment")
     who = who.select(
-        "id_session", at.alias("at"), F.floor(place / SLICE).alias("slice"), unknown.alias("unknown"), row_speaker.alias("row_speaker"), F.when(~unknown, spoken).alias("heard"),
-        F.when(~unknown, F.coalesce(own, "_d")).alias("person"), F.when(unknown, F.col("speaker_raw")).otherwise(F.coalesce("_v", "said_by")).alias("said_by"), "clock",
-        F.when(unknown, F.concat_ws(" ", "label", "text")).otherwise(F.col("text")).alias("text"), F.col("id_int").alias("_row"), F.col("id_dep").alias("_own"),
+        "id_session", at.alias("at"), F.floor(place / SLICE).alias("slice"), unknown.alias("unknown"), restored.alias("restored"), "joined", row_speaker.alias("row_speaker"), F.when(~unknown, spoken_by).alias("heard"),
+        F.when(~unknown, F.coalesce(own, "_d")).alias("person"), F.when(unknown, F.col("speaker_raw")).otherwise(F.coalesce("_v", "said_by")).alias("said_by"), "clock", F.col("id_int").alias("_row"), F.col("id_dep").alias("_own"),
     )
     # What a doubtful label turned out to belong to: the segment before it in the row, else the row's own speaker.
     in_row = Window.partitionBy("id_session", "_row").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
@@ -417,13 +450,17 @@ def clean_turns(rows: DataFrame, register: DataFrame) -> DataFrame:
     opens = F.when(F.lag("last").over(slices).eqNullSafe(F.col("first")), 0).otherwise(1)
     edge = edge.withColumn("opens", opens).withColumn("base", F.coalesce(F.sum(F.col("opens") + F.col("changes")).over(before), F.lit(0)) + F.col("opens")).withColumn("carry", F.last("left", True).over(before))
     numbered = runs.join(edge.select("id_session", "slice", "base", "carry"), ["id_session", "slice"]).withColumn("turn", F.col("base") + F.col("inner")).withColumn("clock", F.coalesce("heard_at", "carry"))
-    turns = numbered.groupBy("id_session", "turn").agg(
+    placed = numbered.select("id_session", "turn", "at", "person", "said_by", "clock", "restored", "joined", F.col("at.id_int").alias("id_int"), F.col("at.segment").alias("segment"))
+    whole = F.when(F.col("restored"), F.concat_ws(" ", "label", "text")).otherwise(F.col("text"))
+    parts = cut.select("id_int", "segment", "label", "text").join(placed, ["id_int", "segment"]).withColumn("text", whole)
+    turns = parts.groupBy("id_session", "turn").agg(
         F.first("person", True).alias("id_dep"),
         F.min_by("said_by", "at").alias("speaker"),
         F.array_sort(F.collect_list(F.struct("at", "text"))).alias("parts"),  # what one speaker says without a break: the row that is asked for
-        F.min("clock").alias("clock"),
+        F.min_by("clock", F.when(F.col("clock").isNotNull(), F.col("at"))).alias("clock"),
+        F.count_if(~F.col("joined")).cast("int").alias("n_segments"),
     )
-    return turns.select("id_session", "turn", "id_dep", "speaker", F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"), "clock", F.size("parts").alias("n_segments"))
+    return turns.select("id_session", "turn", "id_dep", "speaker", F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"), "clock", "n_segments")
 
 
 _PIECE_COLUMNS = ["id_session", "country", "speaker_raw", "id_dep", "text"]
