@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from ..sources.tables import one_per_key, table
+from .arrow import lists
 from .names import edits, given_fit, name_part, persons
 from .pieces import candidates, note_form, strip_pieces
 from .terms import speech_rows
@@ -109,27 +110,30 @@ def segments(rows: DataFrame) -> DataFrame:
     not be speech in it. Texts are read here once; what the corpus says of them is applied by ``spoken``.
     """
     schema = f"{_SEGMENT}, text string, pieces {_PIECE}"
+    keep = ["id_session", "id_int", "row_order", "speaker_raw", "id_dep", "country"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[dict] = []
-            for r in batch.to_pylist():
-                text = r.pop("text") or ""
-                cuts: list[tuple] = [(0, 2, None, None)]
-                inside: list[list] = [[]]
-                for a, b, kind, sure, evidence in candidates(text):
-                    if kind in ("label", "bracket"):
-                        cuts[-1] += (a,)
-                        cuts.append((b, sure if kind == "label" else min(sure, 1), note_form(evidence) if kind == "bracket" else None, text[a:b]))
-                        inside.append([])
-                    else:
+            at, numbers, labels, sures, offs, forms, texts, pieces = [], [], [], [], [], [], [], []
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                number, begin, label, sure, form, inside = 0, 0, None, 2, None, []
+                for a, b, kind, how, evidence in [*candidates(text), (len(text or ""), 0, "end", 0, None)]:
+                    if kind not in ("label", "bracket", "end"):
                         off = evidence is not None and not evidence.startswith(" ")
-                        inside[-1].append({"a": a - cuts[-1][0], "b": b - cuts[-1][0], "kind": kind, "sure": sure, "set_off": off, "form": evidence and evidence.strip()})
-                cuts[-1] += (len(text),)
-                for k, (a, sure, form, label, b) in enumerate(cuts):
-                    if k or text[a:b].strip():
-                        out.append(r | {"segment": k, "label": label, "sure": sure, "set_off": None if form is None else True, "form": form, "text": text[a:b], "pieces": inside[k]})
-            yield pa.RecordBatch.from_pylist(out, schema=_arrow)
+                        inside.append((a - begin, b - begin, kind, how, off, evidence and evidence.strip()))
+                        continue
+                    if number or text and text[:a].strip():
+                        for c, v in zip((at, numbers, labels, sures, offs, forms, texts, pieces), (row, number, label, sure, None if form is None else True, form, text[begin:a], inside)):
+                            c.append(v)
+                    number, begin, inside = number + 1, b, []
+                    if kind != "end":
+                        label, sure, form = text[a:b], how if kind == "label" else min(how, 1), note_form(evidence) if kind == "bracket" else None
+            own = [batch.column(c).take(pa.array(at, pa.int64())) for c in keep]
+            sizes, flat = [len(x) for x in pieces], [p for x in pieces for p in x]
+            parts = [pa.array(c, f.type) for c, f in zip(zip(*flat) if flat else [[]] * 6, _arrow.field("pieces").type.value_type)]
+            found = lists(pa.StructArray.from_arrays(parts, fields=list(_arrow.field("pieces").type.value_type)), sizes)
+            rest = [pa.array(c, _arrow.field(n).type) for n, c in zip(("segment", "label", "sure", "set_off", "form", "text"), (numbers, labels, sures, offs, forms, texts))]
+            yield pa.RecordBatch.from_arrays([*own, *rest, found], schema=_arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
